@@ -153,7 +153,10 @@ def count_duplicates(df: DataFrame, *keys: Column | str) -> DataFrame:
     """
     named = [(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(keys)]
     names = [f"k{i}" for i in range(len(keys))]
-    per_key = df.select(*named).dropna(subset=names).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    keyed = df.select(*named)
+    for name in names:
+        keyed = keyed.filter(F.col(name).isNotNull())
+    per_key = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     repeated = F.col("n") > 1
     return per_key.agg(
         F.count_if(repeated).alias("duplicate_groups"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,11 +119,14 @@ def quality_suite(
 
 
 def clean_detail(
-    spark: SparkSession, raw: DataFrame, category_of_type: Mapping[str, str] = CATEGORY_OF_TYPE
+    spark: SparkSession,
+    raw: DataFrame,
+    category_of_type: Mapping[str, str] = CATEGORY_OF_TYPE,
+    one_per_key: Callable[..., DataFrame] = clean.latest_per_key,
 ) -> DataFrame:
     """Typed, one row per id, with time stamps and category. Only rows without a valid id are dropped."""
     typed = clean.keep_valid_keys(clean.retype(raw, CLEAN_TYPES), "id")
-    single = clean.latest_per_key(typed, ["id"], parse_timestamp_any("updated_on"))
+    single = one_per_key(typed, ["id"], parse_timestamp_any("updated_on"))
     timed = single.withColumn("crime_timestamp", parse_timestamp_any("date")).withColumns(
         {"crime_date": F.to_date("crime_timestamp"), "updated_timestamp": parse_timestamp_any("updated_on")}
     )

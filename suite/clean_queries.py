@@ -116,6 +116,17 @@ def dedupe_by_key(spark, sf_dir):
     return rows.withColumn("l_shipdate", F.to_date("l_shipdate"))
 
 
+@query(
+    "dedupe_repeated_only",
+    """SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, l_partkey,
+      l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
+)
+def dedupe_repeated_only(spark, sf_dir):
+    rows = clean.latest_of_repeated(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+    return rows.withColumn("l_shipdate", F.to_date("l_shipdate"))
+
+
 EVENT_CATEGORY = {"purchase": "Commerce", "signup": "Commerce", "click": "Engagement", "view": "Engagement"}
 EVENT_CATEGORY_SQL = (
     "CASE WHEN event_type IN ('purchase', 'signup') THEN 'Commerce'"
