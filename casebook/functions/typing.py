@@ -33,15 +33,18 @@ def flag(value: Column | str) -> Column:
 
 
 def parse_timestamp(value: Column | str, pattern: str = ISO_MILLIS) -> Column:
-    """One exact pattern.
+    """One exact pattern; like Spark's formatter, it takes letters in either case.
 
     A failed match costs a Java exception per row, so text without the pattern's
     own date/time divider is turned away before the formatter sees it.
     """
     text = as_text(value)
-    divider = "T" if "'T'" in pattern else " " if " " in pattern else ""
     parsed = F.try_to_timestamp(text, F.lit(pattern))
-    return F.when(text.contains(divider), parsed) if divider else parsed
+    if "'T'" in pattern:
+        return F.when(text.contains("T") | text.contains("t"), parsed)
+    if " " in pattern:
+        return F.when(text.contains(" "), parsed)
+    return parsed
 
 
 def parse_timestamp_any(value: Column | str, free_form: bool = True) -> Column:

@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from casebook import shared_dir
+from casebook.session import shuffle_settings
+from casebook.sinks import append_partitioned, replace_partitions, write_by_month, write_csv, write_single_csv, write_table
+from casebook.sources import (
+    MissingColumnsError,
+    extract_range,
+    missing_columns,
+    read_table,
+    require_columns,
+    scan_landing,
+    with_lineage,
+)
+from tests.helpers import plan_of, text_frame
+
+CSV = 'id,v,v2\n1,"a ""q"" b\nline2",x\n2,short\n3,a,b,c,d\n,"",\n'
+
+
+def put(path, text):
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_landing_scan(spark, run_dir):
+    rows = [tuple(r) for r in scan_landing(spark, put(run_dir + "/a.csv", CSV)).collect()]
+    assert rows == [("1", 'a "q" b\nline2', "x"), ("2", "short", None), ("3", "a", "b"), (None, None, None)]
+
+
+def test_landing_scan_is_all_text(spark, run_dir):
+    df = scan_landing(spark, put(run_dir + "/a.csv", "id,d\n007,2024-01-01\n"))
+    assert {t for _, t in df.dtypes} == {"string"}
+    assert df.first().id == "007"
+
+
+def test_landing_scan_with_given_columns_and_many_files(spark, run_dir):
+    paths = [put(f"{run_dir}/{n}.csv", f'id,v\n{n},"x\ny"\n') for n in range(3)]
+    df = scan_landing(spark, paths, columns=["id", "v"])
+    assert sorted(r.id for r in df.collect()) == ["0", "1", "2"]
+    assert df.filter("v = 'x\ny'").count() == 3
+
+
+def test_single_line_scan_can_be_split(spark, run_dir):
+    df = scan_landing(spark, put(run_dir + "/a.csv", "id,v\n" + "".join(f"{i},x\n" for i in range(500))), multi_line=False)
+    assert df.count() == 500
+
+
+def test_csv_round_trip_keeps_text(spark, run_dir):
+    texts = ['line\nbreak "quoted", comma', "  padded  ", "back\\slash", "\ttab", "plain", 'ends with "', "a\r\nb"]
+    df = text_frame(spark, ["n", "t"], [(str(i), t) for i, t in enumerate(texts)])
+    write_csv(df, run_dir + "/out")
+    back = {r.n: r.t for r in scan_landing(spark, run_dir + "/out").collect()}
+    assert [back[str(i)] for i in range(len(texts))] == texts
+
+
+def test_single_csv_is_one_ordered_file(spark, run_dir):
+    df = spark.range(12, numPartitions=4).selectExpr("cast(11 - id AS int) AS no", "concat('c', 11 - id) AS name")
+    write_single_csv(df, run_dir + "/one", order_by="no")
+    files = [f for f in os.listdir(run_dir + "/one") if f.endswith(".csv")]
+    assert len(files) == 1
+    with open(f"{run_dir}/one/{files[0]}") as f:
+        assert f.read().split() == ["name"] + [f"c{i}" for i in range(12)]
+
+
+def test_contract_names_are_exact(spark):
+    df = text_frame(spark, ["ID", "b", "c"], [])
+    assert missing_columns(df, ["id", "b", "z"]) == ["id", "z"]
+    with pytest.raises(MissingColumnsError, match="id, z"):
+        require_columns(df, ["id", "b", "z"])
+    assert require_columns(df, ["ID", "c"]) is df
+
+
+def test_lineage(spark, run_dir):
+    path = put(run_dir + "/a.csv", "id,v\n1,x\n")
+    df = with_lineage(scan_landing(spark, path))
+    row = df.first()
+    assert row.source_file.endswith("/a.csv") and row.ingestion_timestamp is not None
+    assert df.columns == ["id", "v", "ingestion_timestamp", "source_file"]
+
+
+def test_extract_is_inclusive_and_pushed_to_the_scan(spark, run_dir):
+    spark.range(100).selectExpr("cast(id AS string) AS s", "id").write.parquet(run_dir + "/t")
+    df = read_table(spark, run_dir + "/t")
+    rows = extract_range(df, "id", 10, 20)
+    assert rows.count() == 11
+    assert "GreaterThanOrEqual(id,10)" in plan_of(rows)
+    assert extract_range(df, "id", 10, 20, max_rows=4).count() == 4
+
+
+def test_scan_reads_only_what_is_asked(spark, run_dir):
+    spark.range(10).selectExpr("id", "id AS a", "id AS b").write.parquet(run_dir + "/t")
+    plan = plan_of(read_table(spark, run_dir + "/t").filter("a > 3").select("id"))
+    assert "ReadSchema: struct<id:bigint,a:bigint>" in plan and "GreaterThan(a,3)" in plan
+
+
+def test_write_counts_rows_and_overwrites(spark, run_dir):
+    assert write_table(spark.range(10), run_dir + "/t") == 10
+    assert write_table(spark.range(4), run_dir + "/t") == 4
+    assert write_table(spark.range(0), run_dir + "/t") == 0
+    write_table(spark.range(3), run_dir + "/t")
+    assert read_table(spark, run_dir + "/t").count() == 3
+
+
+def test_history_appends_and_replaces(spark, run_dir):
+    schema = "v STRING, run_id STRING, logical_date STRING"
+    day1 = text_frame(spark, ["v", "run_id", "logical_date"], [("a", "r:1", "2024-01-01")])
+    day2 = text_frame(spark, ["v", "run_id", "logical_date"], [("b", "r 2", "2024-01-02")])
+    for df in (day1, day2, day2):
+        append_partitioned(df, run_dir + "/appended", ["logical_date"])
+    stored = read_table(spark, run_dir + "/appended", schema)
+    assert dict(stored.dtypes)["logical_date"] == "string"
+    assert sorted(r.v for r in stored.collect()) == ["a", "b", "b"]
+    for df in (day1, day2, day2):
+        replace_partitions(df, run_dir + "/replaced", ["logical_date", "run_id"])
+    stored = read_table(spark, run_dir + "/replaced", schema)
+    assert sorted((r.v, r.run_id) for r in stored.collect()) == [("a", "r:1"), ("b", "r 2")]
+
+
+def test_month_layout_is_pruned(spark, run_dir):
+    days = spark.range(800).selectExpr("date_add(DATE '2022-12-01', cast(id AS int)) AS d", "id")
+    assert write_by_month(days, run_dir + "/m", "d") == 800
+    stored = read_table(spark, run_dir + "/m")
+    march = stored.filter("year = 2023 AND month = 3")
+    assert march.count() == 31
+    assert "PartitionFilters: [isnotnull(year" in plan_of(march)
+    assert stored.count() == 800
+
+
+def test_month_that_holds_most_rows_is_split(spark, run_dir):
+    """One month holds nearly all rows; the rebalance may not leave it to one task."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64KB")
+    try:
+        wide = "sha2(cast(id AS string), 256) AS text"
+        days = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 100 = 0, DATE '2024-02-01', DATE '2024-01-01') AS d", wide)
+        write_by_month(days, run_dir + "/m", "d")
+    finally:
+        spark.conf.set(name, before)
+    hot = [f for f in os.listdir(run_dir + "/m/year=2024/month=1") if f.endswith(".parquet")]
+    assert len(hot) > 4
+    assert read_table(spark, run_dir + "/m").count() == 60_000
+
+
+def test_shared_dir_is_fresh_and_below_the_configured_base(spark):
+    a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert a != b and a.endswith("/x")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    assert base is None or a.startswith(base)
+
+
+def test_partition_count_follows_the_data():
+    small, large = shuffle_settings(10**9, 64), shuffle_settings(100 * 10**12, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "128"
+    assert large["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_one_scan_for_many_counts(spark, run_dir):
+    from casebook.operators import quality
+
+    spark.range(10).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(run_dir + "/t")
+    plan = plan_of(quality.count_offending(read_table(spark, run_dir + "/t"), {"x": F.col("a") > 3, "y": F.col("b") > 5}))
+    assert plan.count("FileScan") == 1 and "c:bigint" not in plan
