@@ -23,6 +23,7 @@ from casebook.sinks import (
     write_lines,
     write_single_csv,
     write_table,
+    write_tables,
 )
 from casebook.sources import (
     MissingColumnsError,
@@ -173,15 +174,11 @@ def transform(
 def build_star(spark: SparkSession, zones: Zones) -> dict[str, int]:
     """Clean detail to seven dimensions, the incident fact and its daily summary. Returns rows per table."""
     detail = read_table(spark, zones.detail)
-    rows = {
-        name: write_table(star.build_dimension(detail, dim), zones.star(name))
-        for name, dim in incidents.dimensions().items()
-    }
-    rows["fact_crime_incident"] = write_table(incidents.incident_fact(detail), zones.star("fact_crime_incident"))
-    rows["agg_daily_crime_summary"] = write_table(
-        incidents.daily_summary_by_key(detail), zones.star("agg_daily_crime_summary")
-    )
-    return rows
+    tables = {name: star.build_dimension(detail, dim) for name, dim in incidents.dimensions().items()}
+    tables["fact_crime_incident"] = incidents.incident_fact(detail)
+    tables["agg_daily_crime_summary"] = incidents.daily_summary_by_key(detail)
+    rows = write_tables({zones.star(name): frame for name, frame in tables.items()})
+    return {name: rows[zones.star(name)] for name in tables}
 
 
 def run_pipeline(

@@ -1,4 +1,4 @@
-from casebook.sinks.tables import append_partitioned, replace_partitions, write_by_month, write_table
+from casebook.sinks.tables import append_partitioned, replace_partitions, write_by_month, write_table, write_tables
 from casebook.sinks.text import write_csv, write_lines, write_single_csv
 
 __all__ = [
@@ -9,4 +9,5 @@ __all__ = [
     "write_lines",
     "write_single_csv",
     "write_table",
+    "write_tables",
 ]

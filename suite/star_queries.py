@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from casebook import shared_dir
 from casebook.operators import star
 from casebook.plans import incidents
-from casebook.sinks import write_table
+from casebook.sinks import write_table, write_tables
 from casebook.sources import read_table
 from suite.clean_queries import SUMMARY_SQL, as_text, as_text_sql, key_sql
 from suite.landing import BOOLEAN, detail_ctes, flag_sql, landing
@@ -111,15 +111,11 @@ def fact_incident(spark, sf_dir):
 def stored_star(spark, sf_dir, names=None, dirty=False):
     """Fact and dimensions as tables: their sizes are known, so Spark picks each join by size."""
     rows = stored_detail(spark, sf_dir, dirty)
-    tables = {}
-    for name, dim in incidents.dimensions().items():
-        if names is None or name in names:
-            path = shared_dir(spark, name)
-            write_table(star.build_dimension(rows, dim), path)
-            tables[dim.key] = read_table(spark, path)
-    path = shared_dir(spark, "fact")
-    write_table(incidents.incident_fact(rows), path)
-    return read_table(spark, path), tables
+    base = shared_dir(spark, "star")
+    dims = {n: d for n, d in incidents.dimensions().items() if names is None or n in names}
+    frames = {f"{base}/{n}": star.build_dimension(rows, d) for n, d in dims.items()}
+    write_tables({**frames, f"{base}/fact": incidents.incident_fact(rows)})
+    return read_table(spark, f"{base}/fact"), {d.key: read_table(spark, f"{base}/{n}") for n, d in dims.items()}
 
 
 @query(
