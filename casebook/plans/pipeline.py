@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casebook.functions import path_token_text
 from casebook.operators import clean, quality, star
@@ -31,6 +32,7 @@ from casebook.sources import (
     read_table,
     require_columns,
     scan_landing,
+    scan_large,
     with_lineage,
 )
 
@@ -96,10 +98,15 @@ def ingest(
     zones: Zones,
     required: Sequence[str] = incidents.REQUIRED_COLUMNS,
     columns: Sequence[str] | None = None,
+    large_files: bool = False,
 ) -> int:
-    """Landing CSV to raw Parquet, all strings, with lineage. Returns the rows written."""
-    scan = require_columns(scan_landing(spark, landing, columns), required)
-    return write_table(with_lineage(scan), zones.raw)
+    """Landing CSV to raw Parquet, all strings, with lineage. Returns the rows written.
+
+    ``large_files`` reads each file with many tasks; see ``scan_large``.
+    """
+    scan = (scan_large if large_files else scan_landing)(spark, landing, columns)
+    require_columns(scan, required)
+    return write_table(with_lineage(scan, source=F.col("source_file") if large_files else None), zones.raw)
 
 
 def check_quality(

@@ -1,5 +1,5 @@
 from casebook.sources.contract import MissingColumnsError, missing_columns, require_columns
-from casebook.sources.landing import extract_range, scan_landing, with_lineage
+from casebook.sources.landing import extract_range, scan_landing, scan_large, with_lineage
 from casebook.sources.tables import lookup_table, read_table
 
 __all__ = [
@@ -10,5 +10,6 @@ __all__ = [
     "read_table",
     "require_columns",
     "scan_landing",
+    "scan_large",
     "with_lineage",
 ]

@@ -17,7 +17,7 @@ from casebook.sinks import (
     write_single_csv,
     write_table,
 )
-from casebook.sources import extract_range, read_table, scan_landing, with_lineage
+from casebook.sources import extract_range, read_table, scan_landing, scan_large, with_lineage
 from suite.landing import landing
 from suite.quality_queries import RUN, records_sql, suite_for
 from suite.registry import query, table
@@ -33,6 +33,16 @@ def scan_csv_multiline(spark, sf_dir):
     return scan_landing(spark, path)
 
 
+@query(
+    "scan_csv_large",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
+)
+def scan_csv_large(spark, sf_dir):
+    path = shared_dir(spark, "documents_csv")
+    write_csv(table(spark, sf_dir, "documents"), path)
+    return scan_large(spark, path).drop("source_file")
+
+
 EXTRACT = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
 
 

@@ -116,6 +116,15 @@ def test_raw_zone_is_text_with_lineage(spark, run_dir, zones):
     assert set(types.values()) == {"string"} and "source_file" in types
 
 
+def test_large_files_land_the_same_rows(spark, run_dir, zones):
+    landing = land(spark, edge_rows(spark), run_dir)
+    other = pipeline.Zones(run_dir + "/other")
+    assert pipeline.ingest(spark, landing, zones) == pipeline.ingest(spark, landing, other, large_files=True) == 17
+    a, b = (read_table(spark, z.raw).drop("ingestion_timestamp") for z in (zones, other))
+    assert a.columns == b.columns
+    assert sorted(map(str, a.drop("source_file").collect())) == sorted(map(str, b.drop("source_file").collect()))
+
+
 def test_star_tables(spark, run_dir, zones):
     pipeline.ingest(spark, land(spark, edge_rows(spark), run_dir), zones)
     assert pipeline.transform(spark, zones)["detail"] == 10

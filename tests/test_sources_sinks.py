@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import contextlib
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +18,7 @@ from casebook.sources import (
     read_table,
     require_columns,
     scan_landing,
+    scan_large,
     with_lineage,
 )
 from tests.helpers import plan_of, text_frame
@@ -51,6 +55,56 @@ def test_single_line_scan_can_be_split(spark, run_dir):
     assert df.count() == 500
 
 
+@contextlib.contextmanager
+def setting(spark, name, value):
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def same_rows(a, b):
+    return Counter(map(tuple, a.collect())) == Counter(map(tuple, b.collect()))
+
+
+def test_large_scan_reads_the_same_rows(spark, run_dir):
+    texts = ['a "q" b\nline2', "plain", "", "x,y", "\n\n", 'ends"', '"', "tail\n", "ünï"]
+    pick = random.Random(5)
+    paths = []
+    for n, end in enumerate(("\n", "\r\n")):
+        rows = ["id,v,w" + end]
+        for i in range(400):
+            fields = [str(i)] + [pick.choice(texts) for _ in range(2)]
+            rows.append(",".join('"' + f.replace('"', '""') + '"' if f else f for f in fields) + end)
+        paths.append(put(f"{run_dir}/{n}.csv", "".join(rows)))
+    expected = scan_landing(spark, paths)
+    assert expected.count() == 800
+    for block in ("128m", "4k", "700b", "64b"):
+        with setting(spark, "spark.sql.files.maxPartitionBytes", block):
+            found = scan_large(spark, paths)
+            assert found.columns == ["id", "v", "w", "source_file"]
+            assert same_rows(found.drop("source_file"), expected), block
+            assert found.select("source_file").distinct().count() == 2
+
+
+def test_large_scan_of_odd_records(spark, run_dir):
+    path = put(run_dir + "/a.csv", CSV)
+    for block in ("128m", "8b"):
+        with setting(spark, "spark.sql.files.maxPartitionBytes", block):
+            assert same_rows(scan_large(spark, path).drop("source_file"), scan_landing(spark, path))
+
+
+def test_large_scan_uses_many_tasks(spark, run_dir):
+    path = put(run_dir + "/a.csv", "id,v\n" + "".join(f'{i},"a\nb"\n' for i in range(2000)))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "2k"):
+        assert scan_landing(spark, path).rdd.getNumPartitions() == 1
+        assert spark.read.text(path, lineSep="\n").rdd.getNumPartitions() > 5
+        rows = scan_large(spark, path)
+        assert rows.count() == 2000 and rows.filter("v = 'a\nb'").count() == 2000
+
+
 def test_csv_round_trip_keeps_text(spark, run_dir):
     texts = ['line\nbreak "quoted", comma', "  padded  ", "back\\slash", "\ttab", "plain", 'ends with "', "a\r\nb"]
     df = text_frame(spark, ["n", "t"], [(str(i), t) for i, t in enumerate(texts)])
@@ -134,15 +188,10 @@ def test_month_layout_is_pruned(spark, run_dir):
 
 def test_month_that_holds_most_rows_is_split(spark, run_dir):
     """One month holds nearly all rows; the rebalance may not leave it to one task."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "64KB")
-    try:
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB"):
         wide = "sha2(cast(id AS string), 256) AS text"
         days = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 100 = 0, DATE '2024-02-01', DATE '2024-01-01') AS d", wide)
         write_by_month(days, run_dir + "/m", "d")
-    finally:
-        spark.conf.set(name, before)
     hot = [f for f in os.listdir(run_dir + "/m/year=2024/month=1") if f.endswith(".parquet")]
     assert len(hot) > 4
     assert read_table(spark, run_dir + "/m").count() == 60_000
