@@ -19,6 +19,24 @@ def period_start(unit: str, day: Column | str) -> Column:
     return F.to_date(F.date_trunc(unit, day))
 
 
+def narrow(
+    summary: DataFrame, day: str, first: Column | None = None, last: Column | None = None, **wanted: Sequence
+) -> DataFrame:
+    """Rows of a date range and of the given values per column, as in ``primary_type=["THEFT"], year=[2024]``.
+
+    Plain comparisons, which reach the scan: as pruned folders of a table laid out by
+    year and month, and as filters on the stored statistics otherwise.
+    """
+    rows = summary
+    if first is not None:
+        rows = rows.filter(F.col(day) >= first)
+    if last is not None:
+        rows = rows.filter(F.col(day) <= last)
+    for column, values in wanted.items():
+        rows = rows.filter(F.col(column).isin(list(values)))
+    return rows
+
+
 def total_by_period(
     summary: DataFrame, day: str, measure: str, units: Sequence[str] = PERIODS, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -39,6 +39,26 @@ def rolling_avg_days(
     return df.withColumn(name, F.avg(value).over(frame))
 
 
+def rolling_avg_days_between(
+    df: DataFrame,
+    value: str,
+    by: Sequence[str],
+    order: str,
+    name: str,
+    first: Column,
+    last: Column,
+    size: int = WINDOW_DAYS,
+) -> DataFrame:
+    """``rolling_avg_days`` for the days from ``first`` to ``last`` only.
+
+    A filter after the window cannot pass through it, so the range is widened by the
+    frame, filtered at the scan, and trimmed afterwards.
+    """
+    day = F.col(order)
+    widened = df.filter(day.between(F.date_sub(first, size - 1), last))
+    return rolling_avg_days(widened, value, by, order, name, size).filter(day >= first)
+
+
 def resum(summary: DataFrame, by: Sequence[Column | str], measures: Sequence[str]) -> DataFrame:
     """Additive measures summed to a coarser grain. Averages are not additive: take them anew."""
     return summary.groupBy(*by).agg(*[F.sum(m).alias(m) for m in measures])

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions import path_token_text
-from casebook.operators import clean, quality, star
+from casebook.operators import clean, merge, quality, star
 from casebook.plans import incidents
 from casebook.session import shared_dir
 from casebook.sinks import (
@@ -61,6 +61,10 @@ class Zones:
     def detail(self) -> str:
         return self._at("clean", f"{self.dataset}_detail")
 
+    @property
+    def changes(self) -> str:
+        return self._at("clean", f"{self.dataset}_changes")
+
     @property
     def daily(self) -> str:
         return self._at("clean", f"{self.dataset}_daily_summary")
@@ -178,6 +182,29 @@ def transform(
     return {"detail": detail_rows, "daily_summary": daily_rows}
 
 
+def refresh(
+    spark: SparkSession,
+    zones: Zones,
+    landing: str | Sequence[str],
+    target: Zones,
+    category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE,
+) -> dict[str, int]:
+    """Applies newly landed rows to the clean tables of ``zones``; the result goes to ``target``.
+
+    Per id the latest ``updated_on`` stays. The old tables are only read, so a refresh
+    that fails half-way is simply run again.
+    """
+    ingest(spark, landing, target)
+    changes = incidents.clean_detail(spark, read_table(spark, target.raw), category_of_type)
+    # Stored, the changes are cleaned once, and their known size decides how they are joined.
+    write_table(changes, target.changes)
+    base, changes = read_table(spark, zones.detail), read_table(spark, target.changes)
+    merged = merge.upsert_latest(base, changes, ["id"], "updated_timestamp")
+    detail_rows = write_table(merged, target.detail)
+    daily_rows = write_table(incidents.daily_summary(read_table(spark, target.detail)), target.daily)
+    return {"detail": detail_rows, "daily_summary": daily_rows}
+
+
 def build_star(spark: SparkSession, zones: Zones) -> dict[str, int]:
     """Clean detail to seven dimensions, the incident fact and its daily summary. Returns rows per table."""
     detail = read_table(spark, zones.detail)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from casebook import shared_dir
 from casebook.operators import quality, reports, summary
 from casebook.plans import incidents, pipeline
-from casebook.sinks import write_csv
+from casebook.sinks import write_by_month, write_csv
+from casebook.sources import read_table
 from suite.clean_queries import ORDERS_SQL, SUMMARY_SQL, orders_daily
 from suite.landing import detail_ctes, landing
 from suite.quality_queries import MAX_ROWS, MIN_ROWS, now
@@ -121,6 +122,35 @@ def rollup_from_summary(spark, sf_dir):
     )
 
 
+@query(
+    "report_filtered",
+    f"""{DAILY} SELECT crime_date, CAST(year(crime_date) AS INTEGER) AS year, CAST(month(crime_date) AS INTEGER) AS month,
+    primary_type, total_crimes FROM daily WHERE year(crime_date) = 1997 AND month(crime_date) IN (3, 4)
+    AND crime_category = 'Rush' AND crime_date >= DATE '1997-03-10'""",
+)
+def report_filtered(spark, sf_dir):
+    path = shared_dir(spark, "by_month")
+    write_by_month(orders_daily(spark, sf_dir), path, "crime_date")
+    first = F.lit("1997-03-10").cast("date")
+    rows = reports.narrow(
+        read_table(spark, path), "crime_date", first, year=[1997], month=[3, 4], crime_category=["Rush"]
+    )
+    return rows.select("crime_date", "year", "month", "primary_type", "total_crimes")
+
+
+@query(
+    "rolling_avg_days_between",
+    f"""SELECT * FROM (SELECT *, avg(total_crimes) OVER (PARTITION BY primary_type ORDER BY crime_date NULLS FIRST
+    RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS seven_day_rolling_avg FROM ({ORDERS_SQL}))
+    WHERE crime_date BETWEEN DATE '1997-03-10' AND DATE '1997-06-30'""",
+)
+def rolling_avg_days_between(spark, sf_dir):
+    first, last = (F.lit(d).cast("date") for d in ("1997-03-10", "1997-06-30"))
+    return summary.rolling_avg_days_between(
+        orders_daily(spark, sf_dir), "total_crimes", ["primary_type"], "crime_date", "seven_day_rolling_avg", first, last
+    )
+
+
 def pipeline_summary(spark, sf_dir, dirty: bool, fail_on_error: bool):
     landed = shared_dir(spark, "landing")
     write_csv(landing(spark, sf_dir, dirty), landed)

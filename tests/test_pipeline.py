@@ -10,7 +10,7 @@ from casebook.operators import quality
 from casebook.plans import pipeline
 from casebook.sinks import write_csv, write_table
 from casebook.sources import MissingColumnsError, read_table, scan_landing
-from tests.helpers import edge_rows
+from tests.helpers import EDGE_ROWS, edge_rows
 
 NOW = "2026-01-01 00:00:00"
 
@@ -116,6 +116,24 @@ def test_raw_zone_is_text_with_lineage(spark, run_dir, zones):
     assert set(types.values()) == {"string"} and "source_file" in types
 
 
+def test_refresh_keeps_the_latest_version(spark, run_dir, zones):
+    pipeline.ingest(spark, land(spark, edge_rows(spark), run_dir), zones)
+    pipeline.transform(spark, zones)
+    base = list(EDGE_ROWS[0])
+    newer, older, fresh = (list(base) for _ in range(3))
+    newer[2], newer[-1] = "ROBBERY", "2024-02-02T00:00:00.000"
+    older[0], older[2], older[-1] = "2", "ROBBERY", "2024-02-02T00:00:00.000"  # id 2 was updated in March
+    fresh[0] = "99"
+    write_csv(edge_rows(spark, [tuple(r) for r in (newer, older, fresh, fresh)]), run_dir + "/changes")
+    target = pipeline.Zones(run_dir + "/next")
+    for _ in range(2):
+        assert pipeline.refresh(spark, zones, run_dir + "/changes", target)["detail"] == 11
+        rows = {r.id: r for r in read_table(spark, target.detail).collect()}
+        assert (rows[1].primary_type, rows[1].crime_category) == ("ROBBERY", "Property Crime")
+        assert rows[2].primary_type == "BATTERY" and rows[99].primary_type == "THEFT"
+    assert read_table(spark, zones.detail).count() == 10
+
+
 def test_large_files_land_the_same_rows(spark, run_dir, zones):
     landing = land(spark, edge_rows(spark), run_dir)
     other = pipeline.Zones(run_dir + "/other")

@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import reports, star
+from casebook.operators import reports, star, summary
 from casebook.plans import incidents
+from casebook.sinks import write_by_month
+from casebook.sources import read_table
 from tests.helpers import edge_rows, plan_of
 
 
@@ -114,6 +116,27 @@ def test_totals_by_period(daily):
         assert sum(n for (u, _), n in found.items() if u == unit) == 23
 
 
+def test_filters_reach_the_scan(spark, daily, run_dir):
+    write_by_month(daily, run_dir + "/m", "d")
+    first = F.lit("2024-01-02").cast("date")
+    rows = reports.narrow(read_table(spark, run_dir + "/m"), "d", first, year=[2024], month=[1], c=["X"])
+    assert sorted(r.n for r in rows.collect()) == [3, 3]
+    plan = plan_of(rows)
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert "GreaterThanOrEqual(d,2024-01-02)" in plan and "EqualTo(c,X)" in plan
+
+
+def test_rolling_range_equals_the_trimmed_whole(spark, run_dir):
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=2 * i), "AB"[i % 2], i) for i in range(60)]
+    spark.createDataFrame(rows, "d DATE, t STRING, n BIGINT").write.parquet(run_dir + "/t")
+    df = read_table(spark, run_dir + "/t")
+    first, last = (F.lit(x).cast("date") for x in ("2024-02-01", "2024-03-01"))
+    whole = summary.rolling_avg_days(df, "n", ["t"], "d", "a").filter(F.col("d").between(first, last))
+    part = summary.rolling_avg_days_between(df, "n", ["t"], "d", "a", first, last)
+    assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
+    assert "GreaterThanOrEqual(d,2024-01-26)" in plan_of(part)
+
+
 def test_trend(daily):
     rows = reports.trend(daily, "d", "n", ["day"], ["t"]).filter("t = 'A'").orderBy("period_start").collect()
     assert [(r.previous, r.change, r.direction) for r in rows] == [
