@@ -35,6 +35,15 @@ RESULT_COLUMNS = (
     "rule",
     "details",
 )
+
+# Names of the two checks that open every suite, and the wording of the report.
+REQUIRED_COLUMNS_CHECK = "required_columns_exist"
+ROW_COUNT_CHECK = "row_count_between_expected_range"
+REPORT_TITLE = "# Raw Data Quality Report"
+REPORT_TABLE_HEAD = "| Check | Status | Severity | Observed Value | Rule |"
+REPORT_TABLE_RULE = "|---|---|---|---:|---|"
+REPORT_MISSING = "Critical failure: missing required columns."
+
 RESULT_SCHEMA = ", ".join(f"{name} STRING" for name in RESULT_COLUMNS)
 
 
@@ -196,7 +205,7 @@ def assess(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
     from_rows = [
         _record(
             1,
-            "required_columns_exist",
+            REQUIRED_COLUMNS_CHECK,
             F.lit(not missing),
             "FAIL",
             CRITICAL,
@@ -206,7 +215,7 @@ def assess(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
         ),
         _record(
             2,
-            "row_count_between_expected_range",
+            ROW_COUNT_CHECK,
             F.col("total_rows").between(suite.min_rows, suite.max_rows),
             "FAIL",
             CRITICAL,
@@ -248,15 +257,15 @@ def blocking(results: DataFrame) -> DataFrame:
 def report_lines(results: DataFrame, run: Run, short: bool = False) -> DataFrame:
     """Markdown report as ``line_no, line``; ``short`` when required columns are missing."""
     head = [
-        "# Raw Data Quality Report",
+        REPORT_TITLE,
         f"Run ID: {run.run_id}",
         f"Logical Date: {run.logical_date}",
         f"Run Timestamp: {run.run_timestamp}",
     ]
     if short:
         lines = [F.lit(text) for title in head for text in (title, "")]
-        lines.append(F.lit("Critical failure: missing required columns."))
-        first = results.filter(F.col("check_no") == 1)
+        lines.append(F.lit(REPORT_MISSING))
+        first = results.filter(F.col("check_name") == REQUIRED_COLUMNS_CHECK)
         return first.select(F.posexplode(F.array(*lines)).alias("line_no", "line"))
 
     head += [f"Dataset: {run.dataset_name}", f"Layer: {run.layer_name}"]
@@ -264,10 +273,10 @@ def report_lines(results: DataFrame, run: Run, short: bool = False) -> DataFrame
     lines += [
         F.concat(F.lit("Total Rows: "), "observed_value"),
         F.lit(""),
-        F.lit("| Check | Status | Severity | Observed Value | Rule |"),
-        F.lit("|---|---|---|---:|---|"),
+        F.lit(REPORT_TABLE_HEAD),
+        F.lit(REPORT_TABLE_RULE),
     ]
-    row_count = results.filter(F.col("check_no") == 2)
+    row_count = results.filter(F.col("check_name") == ROW_COUNT_CHECK)
     top = row_count.select(F.posexplode(F.array(*lines)).alias("line_no", "line"))
     cells = ["check_name", "status", "severity", "observed_value", "rule"]
     table = results.select(

@@ -82,6 +82,18 @@ LONGITUDE_RANGE = (-88.0, -87.0)
 
 EXTRACT_MAX_ROWS = 500_000
 
+# Names of the checks on rows and ids, in the order of their records.
+NULL_ID_CHECK = "null_id_count"
+INVALID_ID_CHECK = "invalid_id_count"
+DUPLICATE_IDS_CHECK = "duplicate_id_group_count"
+DUPLICATE_ROWS_CHECK = "duplicate_record_count"
+NULL_DATE_CHECK = "null_date_count"
+INVALID_DATE_CHECK = "invalid_date_count"
+FUTURE_DATE_CHECK = "future_date_count"
+NULL_TYPE_CHECK = "null_primary_type_count"
+LATITUDE_CHECK = "invalid_latitude_count"
+LONGITUDE_CHECK = "invalid_longitude_count"
+
 # ---------------------------------------------------------------------------
 
 
@@ -93,27 +105,24 @@ def quality_suite(
 ) -> quality.Suite:
     """The twelve checks of the raw zone. Coordinates are optional and only warn."""
     derived, (invalid_date, future_date) = quality.time_checks(
-        "invalid_date_count", "future_date_count", "date", "Date", now
+        INVALID_DATE_CHECK, FUTURE_DATE_CHECK, "date", "Date", now
     )
+    latitude, longitude = column_or_null(df, "latitude"), column_or_null(df, "longitude")
     return quality.Suite(
         required=REQUIRED_COLUMNS,
         min_rows=min_rows,
         max_rows=max_rows,
         derived=derived,
         checks=(
-            quality.null_check("null_id_count", "id", "ID"),
-            quality.cast_check("invalid_id_count", "id", "bigint", "ID"),
-            quality.key_check("duplicate_id_group_count", "duplicate_record_count", "id", "bigint", "ID"),
-            quality.null_check("null_date_count", "date", "Date"),
+            quality.null_check(NULL_ID_CHECK, "id", "ID"),
+            quality.cast_check(INVALID_ID_CHECK, "id", "bigint", "ID"),
+            quality.key_check(DUPLICATE_IDS_CHECK, DUPLICATE_ROWS_CHECK, "id", "bigint", "ID"),
+            quality.null_check(NULL_DATE_CHECK, "date", "Date"),
             invalid_date,
             future_date,
-            quality.null_check("null_primary_type_count", "primary_type", "Primary type"),
-            quality.range_check(
-                "invalid_latitude_count", column_or_null(df, "latitude"), *LATITUDE_RANGE, "Latitude"
-            ),
-            quality.range_check(
-                "invalid_longitude_count", column_or_null(df, "longitude"), *LONGITUDE_RANGE, "Longitude"
-            ),
+            quality.null_check(NULL_TYPE_CHECK, "primary_type", "Primary type"),
+            quality.range_check(LATITUDE_CHECK, latitude, *LATITUDE_RANGE, "Latitude"),
+            quality.range_check(LONGITUDE_CHECK, longitude, *LONGITUDE_RANGE, "Longitude"),
         ),
     )
 

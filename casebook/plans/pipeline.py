@@ -165,17 +165,27 @@ def read_history(spark: SparkSession, zones: Zones) -> DataFrame:
     return read_table(spark, zones.history, quality.RESULT_SCHEMA)
 
 
+def ids_are_unique(results: DataFrame) -> bool:
+    """Whether a quality run has found every readable id once."""
+    check = incidents.DUPLICATE_IDS_CHECK
+    return not results.filter((F.col("check_name") == check) & (F.col("status") == "PASS")).isEmpty()
+
+
 def transform(
-    spark: SparkSession, zones: Zones, category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE
+    spark: SparkSession,
+    zones: Zones,
+    category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE,
+    unique_ids: bool = False,
 ) -> dict[str, int]:
     """Raw to clean detail and daily summary. Returns rows written per table.
 
     Repeated ids are the exception behind the gate, so wide rows are only shuffled for
-    those. The summary is computed from the stored detail, so the two always agree.
+    those; with ``unique_ids``, known from a quality run on the same raw table, nothing is.
+    The summary is computed from the stored detail, so the two always agree.
     """
     raw = read_table(spark, zones.raw)
-    detail = incidents.clean_detail(spark, raw, category_of_type, clean.latest_of_repeated)
-    detail_rows = write_table(detail, zones.detail)
+    one_per_key = clean.already_unique if unique_ids else clean.latest_of_repeated
+    detail_rows = write_table(incidents.clean_detail(spark, raw, category_of_type, one_per_key), zones.detail)
     daily = incidents.daily_summary(read_table(spark, zones.detail))
     daily_rows = write_table(daily, zones.daily)
     write_by_month(read_table(spark, zones.daily), zones.by_month, "crime_date")
@@ -228,6 +238,6 @@ def run_pipeline(
 ) -> DataFrame:
     """Ingest, check, transform; returns the stored daily summary. A failed gate stops before the transform."""
     ingest(spark, landing, zones)
-    check_quality(spark, zones, run, min_rows, max_rows, fail_on_error, now)
-    transform(spark, zones, category_of_type)
+    results = check_quality(spark, zones, run, min_rows, max_rows, fail_on_error, now)
+    transform(spark, zones, category_of_type, ids_are_unique(results))
     return read_table(spark, zones.daily)

@@ -16,7 +16,12 @@ def spark():
     session = build_session(
         "casebook-tests",
         master=os.environ.get("TEST_MASTER", "local[8]"),
-        conf={"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"},
+        conf={
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "6g",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.session.timeZone": os.environ.get("TEST_TIME_ZONE", "UTC"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

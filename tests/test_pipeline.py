@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from casebook import __main__ as runner
-from casebook.operators import quality
-from casebook.plans import pipeline
+from casebook.operators import clean, quality
+from casebook.plans import incidents, pipeline
 from casebook.sinks import write_csv, write_table
 from casebook.sources import MissingColumnsError, read_table, scan_landing
-from tests.helpers import EDGE_ROWS, edge_rows
+from tests.helpers import EDGE_ROWS, edge_rows, plan_of
 
 NOW = "2026-01-01 00:00:00"
 
@@ -67,6 +67,18 @@ def test_gate_stops_after_writing_the_results(spark, run_dir, zones):
     assert not os.path.exists(zones.detail)
 
 
+def test_ids_found_unique_are_not_brought_together_again(spark, run_dir, zones):
+    landing = land(spark, good(spark), run_dir)
+    pipeline.ingest(spark, landing, zones)
+    results = pipeline.check_quality(spark, zones, run_of(), 1, 10, now=now())
+    assert pipeline.ids_are_unique(results)
+    detail = incidents.clean_detail(spark, read_table(spark, zones.raw), one_per_key=clean.already_unique)
+    assert "Exchange hashpartitioning" not in plan_of(detail)
+    assert pipeline.transform(spark, zones, unique_ids=True) == pipeline.transform(spark, zones)
+    write_table(edge_rows(spark), zones.raw)
+    assert not pipeline.ids_are_unique(pipeline.check_quality(spark, zones, run_of(), 1, 99, False, now()))
+
+
 def test_inspection_mode_goes_on(spark, run_dir, zones):
     landing = land(spark, edge_rows(spark), run_dir)
     daily = pipeline.run_pipeline(spark, landing, zones, run_of(), 1, 100, fail_on_error=False, now=now())

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 import pytest
@@ -53,6 +54,49 @@ def test_fact_and_dimensions_fit(spark, detail):
     assert star.denormalize(fact, dims).count() == 10
 
 
+@contextlib.contextmanager
+def settings(spark, **values):
+    names = {f"spark.sql.{k.replace('__', '.')}": v for k, v in values.items()}
+    before = {n: spark.conf.get(n) for n in names}  # only settings that have a value
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_hot_member_of_a_large_dimension_is_split(spark, run_dir):
+    """A third of the fact points at one member of a dimension too large to broadcast."""
+    rows = 60_000
+    spark.range(0, rows, 1, 16).selectExpr(
+        "id", "sha2(cast(if(id % 3 = 0, 0, id) AS string), 256) AS k", "repeat(uuid(), 4) AS payload"
+    ).write.parquet(run_dir + "/fact")
+    spark.range(rows).selectExpr("sha2(cast(id AS string), 256) AS k", "id AS member").write.parquet(run_dir + "/dim")
+    with settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="256KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__coalescePartitions__enabled="false",
+    ):
+        wide = star.denormalize(read_table(spark, run_dir + "/fact"), {"k": read_table(spark, run_dir + "/dim")})
+        found = wide.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(wide)
+    assert len(found) == rows
+    assert sum(r.member == 0 for r in found) == rows // 3
+
+
+def test_hot_member_is_one_row_in_the_totals(spark, detail):
+    fact = incidents.incident_fact(detail)
+    dims = {d.key: star.build_dimension(detail, d) for d in incidents.dimensions().values() if d.name == "dim_crime_type"}
+    plan = plan_of(star.star_totals(fact, dims, ["crime_category"], {"n": F.count(F.lit(1))}))
+    join = plan.index("Join [crime_type_key")
+    assert "HashAggregate(keys=[crime_type_key" in plan[join:]
+
+
 def test_orphans_are_counted(spark, detail):
     fact = incidents.incident_fact(detail)
     dims = {d.key: star.build_dimension(detail, d) for d in incidents.dimensions().values()}
