@@ -69,14 +69,25 @@ def star_totals(
     dimensions: Mapping[str, DataFrame],
     by: Sequence[str],
     measures: Mapping[str, Column],
+    large: Sequence[str] = (),
 ) -> DataFrame:
     """Additive measures of the fact by dimension attributes.
 
-    The fact is summed per foreign key before any join. What is joined is the summary,
-    in which a key that holds a large part of the fact is one row.
+    Small dimensions are looked up first, cut to the attributes asked for: as broadcast
+    joins they let each task sum what it reads, and only sums are shuffled. Dimensions
+    whose keys are named in ``large`` come after that: the fact is summed per such key,
+    so a key that holds much of the fact is a handful of rows in the join.
     """
-    per_key = fact.groupBy(*dimensions).agg(*[m.alias(n) for n, m in measures.items()])
-    wide = denormalize(per_key, dimensions)
+    def cut(key: str) -> DataFrame:
+        return dimensions[key].select(key, *[c for c in by if c in dimensions[key].columns])
+
+    small = {key: cut(key) for key in dimensions if key not in large}
+    wide = denormalize(fact, small)
+    early = [c for c in by if c in wide.columns]
+    sums = wide.groupBy(*early, *large).agg(*[m.alias(n) for n, m in measures.items()])
+    if not large:
+        return sums
+    wide = denormalize(sums, {key: cut(key) for key in large})
     return wide.groupBy(*by).agg(*[F.sum(n).alias(n) for n in measures])
 
 

@@ -146,6 +146,19 @@ def star_totals(spark, sf_dir):
     return star.star_totals(fact, tables, ["weekday", "daypart", "district", "crime_category"], measures)
 
 
+@query(
+    "star_totals_large",
+    f"""{detail_ctes()} SELECT crime_category, block, latitude, longitude, count(*) AS total_crimes,
+    count(*) FILTER ({flag_sql('arrest')}) AS total_arrests FROM detail GROUP BY 1, 2, 3, 4""",
+)
+def star_totals_large(spark, sf_dir):
+    """By an attribute of the one dimension that grows with the data."""
+    fact, tables = stored_star(spark, sf_dir, ("dim_crime_type", "dim_location_point"))
+    measures = {"total_crimes": F.count(F.lit(1)), "total_arrests": F.count_if("arrest")}
+    by = ["crime_category", "block", "latitude", "longitude"]
+    return star.star_totals(fact, tables, by, measures, large=["location_point_key"])
+
+
 @query("star_join_summary", f"{detail_ctes(dirty=True)} {SUMMARY_SQL}")
 def star_join_summary(spark, sf_dir):
     """The daily summary again, this time from the fact and two dimensions."""

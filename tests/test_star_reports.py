@@ -89,12 +89,38 @@ def test_hot_member_of_a_large_dimension_is_split(spark, run_dir):
     assert sum(r.member == 0 for r in found) == rows // 3
 
 
-def test_hot_member_is_one_row_in_the_totals(spark, detail):
-    fact = incidents.incident_fact(detail)
-    dims = {d.key: star.build_dimension(detail, d) for d in incidents.dimensions().values() if d.name == "dim_crime_type"}
-    plan = plan_of(star.star_totals(fact, dims, ["crime_category"], {"n": F.count(F.lit(1))}))
-    join = plan.index("Join [crime_type_key")
-    assert "HashAggregate(keys=[crime_type_key" in plan[join:]
+def stored_star(spark, detail, path):
+    detail.write.parquet(path + "/detail")
+    detail = read_table(spark, path + "/detail")
+    incidents.incident_fact(detail).write.parquet(path + "/fact")
+    dims = {}
+    for dim in incidents.dimensions().values():
+        star.build_dimension(detail, dim).write.parquet(f"{path}/{dim.name}")
+        dims[dim.key] = read_table(spark, f"{path}/{dim.name}")
+    return read_table(spark, path + "/fact"), dims
+
+
+def test_totals_over_small_dimensions_shuffle_sums_only(spark, detail, run_dir):
+    fact, dims = stored_star(spark, detail, run_dir)
+    used = {k: dims[k] for k in ("date_key", "crime_type_key")}
+    plan = plan_of(star.star_totals(fact, used, ["weekday", "crime_category"], {"n": F.count(F.lit(1))}))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("BroadcastHashJoin") == 2
+    assert "partial_count" in plan[plan.index("Exchange hashpartitioning") : plan.index("BroadcastHashJoin")]
+    assert "ReadSchema: struct<date_key:string,weekday:string>" in plan
+
+
+def test_hot_member_of_a_large_dimension_is_summed_before_the_join(spark, detail, run_dir):
+    fact, dims = stored_star(spark, detail, run_dir)
+    used = {k: dims[k] for k in ("crime_type_key", "location_point_key")}
+    by, count = ["crime_category", "latitude"], {"n": F.count(F.lit(1))}
+    totals = star.star_totals(fact, used, by, count, large=["location_point_key"])
+    plan = plan_of(totals)
+    assert "HashAggregate(keys=[crime_category" in plan[plan.index("Join [location_point_key") :]
+    together = star.star_totals(fact, used, by, count)
+    assert sorted(map(str, totals.select("latitude", "n").collect())) == sorted(
+        map(str, together.select("latitude", "n").collect())
+    )
 
 
 def test_orphans_are_counted(spark, detail):
