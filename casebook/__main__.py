@@ -6,7 +6,7 @@ import argparse
 import os
 
 from casebook.plans import incidents, pipeline
-from casebook.session import build_session
+from casebook.session import build_session, shuffle_settings
 
 STEPS = ("ingest", "quality", "transform", "star", "pipeline")
 
@@ -26,17 +26,21 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         choices=("true", "false"),
         default="true" if os.getenv("FAIL_ON_DQ_ERROR", "true").lower() == "true" else "false",
     )
+    parser.add_argument("--large-files", action="store_true", help="read each landing file with many tasks")
+    parser.add_argument("--shuffle-gb", type=float, help="expected shuffle size, sets partition counts")
+    parser.add_argument("--cores", type=int, default=8, help="executor cores, used with --shuffle-gb")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session(f"casebook-{args.step}")
+    conf = shuffle_settings(int(args.shuffle_gb * 10**9), args.cores) if args.shuffle_gb else None
+    spark = build_session(f"casebook-{args.step}", conf=conf)
     zones = pipeline.Zones(args.root, args.dataset)
     run = pipeline.new_run(args.dataset, args.run_id, args.logical_date)
     gate = {"min_rows": args.min_rows, "max_rows": args.max_rows, "fail_on_error": args.fail_on_error == "true"}
     if args.step == "ingest":
-        print("rows loaded:", pipeline.ingest(spark, args.landing, zones))
+        print("rows loaded:", pipeline.ingest(spark, args.landing, zones, large_files=args.large_files))
     elif args.step == "quality":
         pipeline.check_quality(spark, zones, run, **gate).orderBy("check_no").show(100, truncate=False)
     elif args.step == "transform":

@@ -17,13 +17,15 @@ def shuffle_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
     """Partition counts for a job that is expected to shuffle ``shuffle_bytes``.
 
     The initial count keeps a reduce task near 128 MB without relying on a fixed
-    200; AQE merges what turns out to be small and splits what turns out skewed.
+    200; AQE merges what turns out to be small, up to the same size, and splits what
+    turns out skewed. The cap bounds the map-output bookkeeping on the driver.
     """
     wanted = math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES)
     initial = min(max(wanted, 2 * cores), 100_000)
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
     }
 

@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from casebook.operators import quality
@@ -139,3 +144,44 @@ def test_short_report(spark):
     lines = report(spark, assess(edge_rows(spark).drop("id")), short=True)
     assert len([line for line in lines if line]) == 5
     assert lines[-1] == "Critical failure: missing required columns."
+
+
+ids = st.one_of(st.none(), st.sampled_from(["", "  ", "\t", "x", "1.0", " 7 ", "+7", "7", "007", "12", "99999999999999999999"]))
+days = st.one_of(st.none(), st.sampled_from(["", " ", "junk", "2024-01-01 10:00:00", "2999-01-01T00:00:00.000", "2024-02-30"]))
+kinds = st.sampled_from([None, "", "   ", "THEFT", "theft"])
+latitudes = st.sampled_from([None, "", " ", "41", "42.1", "42.2", "40.9", "NaN", "x", "-Infinity", "41.5d"])
+
+
+def brute_force(rows):
+    """The checks over plain Python rows."""
+    blank = lambda v: v is None or v.strip(" ") == ""
+
+    def number(v):
+        digits = v.strip().lstrip("+-")
+        return int(v) if digits.isdigit() and abs(int(v)) < 2**63 else None
+
+    readable = {"2024-01-01 10:00:00": False, "2999-01-01T00:00:00.000": True}
+    inside = {"41", "42.1", "41.5d"}
+    keys = Counter(number(r[0]) for r in rows if not blank(r[0]) and number(r[0]) is not None)
+    return {
+        "null_id_count": sum(blank(r[0]) for r in rows),
+        "invalid_id_count": sum(not blank(r[0]) and number(r[0]) is None for r in rows),
+        "duplicate_id_group_count": sum(n > 1 for n in keys.values()),
+        "duplicate_record_count": sum(n - 1 for n in keys.values()),
+        "null_date_count": sum(blank(r[1]) for r in rows),
+        "invalid_date_count": sum(not blank(r[1]) and r[1] not in readable for r in rows),
+        "future_date_count": sum(readable.get(r[1], False) for r in rows),
+        "null_primary_type_count": sum(blank(r[2]) for r in rows),
+        "invalid_latitude_count": sum(not blank(r[3]) and r[3] not in inside for r in rows),
+    }
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(ids, days, kinds, latitudes), min_size=30, max_size=150))
+def test_checks_against_brute_force(spark, rows):
+    columns = {n: pa.array([r[i] for r in rows], pa.string()) for i, n in enumerate(["id", "date", "primary_type", "latitude"])}
+    columns |= {n: pa.array(["v"] * len(rows)) for n in ("case_number", "arrest", "domestic", "year")}
+    result = found(assess(spark.createDataFrame(pa.table(columns)), 1, 1000))
+    expected = brute_force(rows)
+    assert {name: int(result[name][2]) for name in expected} == expected
+    assert {name for name in expected if result[name][0] == "PASS"} == {n for n, v in expected.items() if v == 0}
