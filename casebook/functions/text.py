@@ -26,9 +26,8 @@ def present(value: Column | str) -> Column:
 
 
 def column_or_null(df: DataFrame, name: str, type_: str = "string") -> Column:
-    """The named column, or a typed NULL when the input does not have it."""
-    known = {c.lower() for c in df.columns}
-    return F.col(name).cast(type_) if name.lower() in known else F.lit(None).cast(type_)
+    """The named column, or a typed NULL when the input has no column of exactly that name."""
+    return F.col(name).cast(type_) if name in df.columns else F.lit(None).cast(type_)
 
 
 def path_token(value: Column | str) -> Column:

@@ -195,7 +195,13 @@ def dimensions() -> dict[str, star.Dimension]:
         star.Dimension(
             "dim_location_point",
             "location_point_key",
-            star.columns("block", "latitude", "longitude", "x_coordinate", "y_coordinate"),
+            {
+                "block": F.col("block"),
+                # Grouping takes -0.0 for 0.0; adding zero makes the fact's key do the same.
+                "latitude": F.col("latitude") + F.lit(0.0),
+                "longitude": F.col("longitude") + F.lit(0.0),
+                **star.columns("x_coordinate", "y_coordinate"),
+            },
         ),
     )
     return {dim.name: dim for dim in dims}

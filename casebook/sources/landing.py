@@ -46,7 +46,8 @@ def scan_large(spark: SparkSession, paths: str | Sequence[str], columns: Sequenc
     one group of bounded size, and the text is shuffled once. Records that cross a block
     end, at most one per block end, are put together afterwards.
 
-    Takes files in which every quote is part of a quoted field, with LF or CRLF line ends.
+    Takes files in which every quote is part of a quoted field, with LF or CRLF line ends;
+    a file whose quotes do not pair up is an error.
     """
     names = list(columns or scan_landing(spark, paths).columns)
     text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="\n")
@@ -61,10 +62,12 @@ def scan_large(spark: SparkSession, paths: str | Sequence[str], columns: Sequenc
     # Per block: does it start, and does it end, inside a field?
     in_file = Window.partitionBy("source_file").orderBy("block")
     earlier = F.sum("quotes").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    all_quotes = F.sum("quotes").over(Window.partitionBy("source_file"))
+    unbalanced = F.raise_error(F.concat(F.lit("quotes do not pair up in "), "source_file"))
     blocks = (
         lines.groupBy("source_file", "block")
         .agg(F.sum("quotes").alias("quotes"))
-        .withColumn("opened", F.coalesce(earlier, F.lit(0)) % 2)
+        .withColumn("opened", F.when(all_quotes % 2 == 1, unbalanced).otherwise(F.coalesce(earlier, F.lit(0)) % 2))
         .select("source_file", "block", "opened", F.lead("opened", 1, 0).over(in_file).alias("left_open"))
     )
 

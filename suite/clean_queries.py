@@ -298,7 +298,7 @@ CHANGES_SQL = ", ".join(f"{text} AS {name}" for name, text in CHANGES.items())
 )
 def incremental_upsert(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    base = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").alias("updated_on"))
+    base = orders.withColumnRenamed("o_orderdate", "updated_on").drop("o_orderpriority")
     changes = orders.selectExpr(*[f"{text} AS {name}" for name, text in CHANGES.items()])
     merged = merge.upsert_latest(base, changes, ["o_orderkey"], "updated_on")
     return merged.withColumn("updated_on", F.to_date("updated_on"))

@@ -82,7 +82,10 @@ def expressions(dialect: str, dirty: bool) -> dict[str, str]:
                 "CASE event_id % 79 WHEN 1 THEN 'Y' WHEN 2 THEN 'maybe' WHEN 3 THEN NULL WHEN 4 THEN ' T '"
                 " ELSE CASE WHEN value > 60 THEN 'true' ELSE 'false' END END"
             ),
-            "district": "CASE event_id % 67 WHEN 1 THEN 'x' WHEN 2 THEN NULL ELSE lpad(CAST(user_id % 23 AS STRING), 3, '0') END",
+            "district": (
+                "CASE event_id % 67 WHEN 1 THEN 'x' WHEN 2 THEN NULL"
+                " ELSE lpad(CAST(user_id % 23 AS STRING), 3, '0') END"
+            ),
             "latitude": (
                 "CASE event_id % 73 WHEN 1 THEN 'NaN' WHEN 2 THEN 'north' WHEN 3 THEN '  ' WHEN 4 THEN '40.9'"
                 f" WHEN 5 THEN NULL WHEN 6 THEN '42.1' WHEN 7 THEN '41.0' ELSE {LATITUDE} END"

@@ -162,7 +162,11 @@ def dq_invalid_cast(spark, sf_dir):
     )
 
 
-@query("dq_future_date", f"SELECT count(*) AS total_rows, count(*) FILTER (l_shipdate > TIMESTAMP '1999-06-01') AS future FROM lineitem")
+@query(
+    "dq_future_date",
+    """SELECT count(*) AS total_rows, count(*) FILTER (l_shipdate > TIMESTAMP '1999-06-01') AS future
+    FROM lineitem""",
+)
 def dq_future_date(spark, sf_dir):
     later = F.col("l_shipdate") > F.lit("1999-06-01 00:00:00").cast("timestamp_ntz")
     return quality.count_offending(table(spark, sf_dir, "lineitem"), {"future": later})

@@ -182,10 +182,7 @@ def write_row_count(spark, sf_dir):
 
 @query("row_count", COUNTS_SQL)
 def row_count(spark, sf_dir):
-    counts = [
-        table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-        for t in COUNTED
-    ]
+    counts = [table(spark, sf_dir, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in COUNTED]
     merged = counts[0]
     for one in counts[1:]:
         merged = merged.unionByName(one)

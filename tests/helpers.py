@@ -39,12 +39,9 @@ def edge_rows(spark, rows=EDGE_ROWS):
     from casebook.plans.incidents import LANDING_COLUMNS
 
     df = text_frame(spark, EDGE_COLUMNS, rows)
-    return df.select(
-        *[F.col(c) if c in df.columns else F.lit("v").alias(c) for c in LANDING_COLUMNS if c not in ("year", "ward", "community_area")],
-        F.lit("2024").alias("year"),
-        F.lit("7").alias("ward"),
-        F.lit("32").alias("community_area"),
-    )
+    fixed = {"year": "2024", "ward": "7", "community_area": "32"}
+    given = [F.col(c) if c in df.columns else F.lit("v").alias(c) for c in LANDING_COLUMNS if c not in fixed]
+    return df.select(*given, *[F.lit(value).alias(name) for name, value in fixed.items()])
 
 
 def plan_of(df) -> str:

@@ -118,8 +118,8 @@ def test_path_token(spark):
 
 def test_column_or_null(spark):
     df = text_frame(spark, ["a"], [("1",)])
-    row = df.select(fn.column_or_null(df, "a").alias("a"), fn.column_or_null(df, "b").alias("b")).first()
-    assert (row.a, row.b) == ("1", None)
+    row = df.select(*[fn.column_or_null(df, c).alias(n) for n, c in (("x", "a"), ("y", "b"), ("z", "A"))]).first()
+    assert (row.x, row.y, row.z) == ("1", None, None)
 
 
 def test_daypart_buckets(spark):

@@ -4,6 +4,7 @@ import contextlib
 import os
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,13 @@ def test_large_scan_of_odd_records(spark, run_dir):
             assert same_rows(scan_large(spark, path).drop("source_file"), scan_landing(spark, path))
 
 
+def test_large_scan_refuses_unpaired_quotes(spark, run_dir):
+    good, bad = put(run_dir + "/good.csv", 'id,v\n1,"x"\n'), put(run_dir + "/bad.csv", 'id,v\n1,"x\n2,y\n')
+    assert scan_large(spark, good).count() == 1
+    with pytest.raises(Exception, match="quotes do not pair up in .*bad.csv"):
+        scan_large(spark, [good, bad]).collect()
+
+
 def test_large_scan_uses_many_tasks(spark, run_dir):
     path = put(run_dir + "/a.csv", "id,v\n" + "".join(f'{i},"a\nb"\n' for i in range(2000)))
     with setting(spark, "spark.sql.files.maxPartitionBytes", "2k"):
@@ -204,6 +212,19 @@ def test_shared_dir_is_fresh_and_below_the_configured_base(spark):
     assert base is None or a.startswith(base)
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default=None: default),
+        sparkContext=SimpleNamespace(master="yarn", applicationId="app"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(cluster, "x")
+    cluster.sparkContext.master = "local[2]"
+    assert shared_dir(cluster, "x").startswith("/")
+    cluster.conf.get = lambda name, default=None: "s3a://bucket/shared/"
+    assert shared_dir(cluster, "x").startswith("s3a://bucket/shared/casebook-")
+
+
 def test_partition_count_follows_the_data():
     small, large = shuffle_settings(10**9, 64), shuffle_settings(100 * 10**12, 8000)
     assert small["spark.sql.shuffle.partitions"] == "128"

@@ -10,7 +10,7 @@ from casebook.operators import reports, star, summary
 from casebook.plans import incidents
 from casebook.sinks import write_by_month
 from casebook.sources import read_table
-from tests.helpers import edge_rows, plan_of
+from tests.helpers import EDGE_ROWS, edge_rows, plan_of
 
 
 @pytest.fixture
@@ -123,6 +123,17 @@ def test_hot_member_of_a_large_dimension_is_summed_before_the_join(spark, detail
     )
 
 
+def test_negative_zero_and_nan_coordinates_find_their_member(spark):
+    rows = [list(EDGE_ROWS[0]) for _ in range(4)]
+    for i, (row, latitude) in enumerate(zip(rows, ("-0.0", "0.0", "NaN", "nan"), strict=True)):
+        row[0], row[6] = str(i), latitude
+    detail = incidents.clean_detail(spark, edge_rows(spark, [tuple(r) for r in rows]))
+    dim = incidents.dimensions()["dim_location_point"]
+    fact = incidents.incident_fact(detail)
+    orphans = star.foreign_key_orphans(fact, {dim.key: star.build_dimension(detail, dim)}).first()
+    assert (orphans.fact_rows, orphans.orphan_rows) == (4, 0)
+
+
 def test_orphans_are_counted(spark, detail):
     fact = incidents.incident_fact(detail)
     dims = {d.key: star.build_dimension(detail, d) for d in incidents.dimensions().values()}
