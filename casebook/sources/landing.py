@@ -56,7 +56,7 @@ def scan_large(spark: SparkSession, paths: str | Sequence[str], columns: Sequenc
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
-        (F.length("value") - F.length(F.translate("value", '"', ""))).alias("quotes"),
+        (F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
     )
 
     # Per block: does it start, and does it end, inside a field?
