@@ -1,5 +1,6 @@
 from casebook.sources.contract import MissingColumnsError, missing_columns, require_columns
-from casebook.sources.landing import extract_range, scan_landing, scan_large, with_lineage
+from casebook.sources.landing import extract_range, scan_landing, with_lineage
+from casebook.sources.large_csv import scan_large
 from casebook.sources.tables import lookup_table, read_table
 
 __all__ = [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ def scan_landing(
     """CSV with header, every field a string.
 
     Spark reads a file of multi-line records in one task. That suits many files of
-    moderate size; for a file of many gigabytes see ``scan_large``.
+    moderate size; for a file of many gigabytes see ``large_csv.scan_large``.
     ``multi_line=False`` splits files as well, and is right only for sources whose
     fields hold no line ends. ``columns`` skips the look at the header.
     """
@@ -36,78 +36,6 @@ def _all_text(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def scan_large(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """The rows of ``scan_landing`` for files too large for one task, plus ``source_file``.
-
-    A line end is inside a field exactly when an odd number of quotes precedes it. The
-    file is read as lines, in blocks of ``spark.sql.files.maxPartitionBytes``: quotes are
-    counted per block, which tells for each block whether it starts inside a field, and
-    within a block a running count finds the lines that start a record. Each block is
-    one group of bounded size, and the text is shuffled once. Records that cross a block
-    end, at most one per block end, are put together afterwards.
-
-    Takes files in which every quote is part of a quoted field, with LF or CRLF line ends;
-    a file whose quotes do not pair up is an error.
-    """
-    names = list(columns or scan_landing(spark, paths).columns)
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="\n")
-    lines = text.select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-        (F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
-    )
-
-    # Per block: does it start, and does it end, inside a field?
-    in_file = Window.partitionBy("source_file").orderBy("block")
-    earlier = F.sum("quotes").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-    all_quotes = F.sum("quotes").over(Window.partitionBy("source_file"))
-    unbalanced = F.raise_error(F.concat(F.lit("quotes do not pair up in "), "source_file"))
-    blocks = (
-        lines.groupBy("source_file", "block")
-        .agg(F.sum("quotes").alias("quotes"))
-        .withColumn("opened", F.when(all_quotes % 2 == 1, unbalanced).otherwise(F.coalesce(earlier, F.lit(0)) % 2))
-        .select("source_file", "block", "opened", F.lead("opened", 1, 0).over(in_file).alias("left_open"))
-    )
-
-    # Per line: the line of the same block that starts its record, NULL before the first.
-    in_block = Window.partitionBy("source_file", "block").orderBy("line")
-    before = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    begins = F.when((F.col("opened") + before) % 2 == 0, F.col("line"))
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
-        lines.join(blocks, ["source_file", "block"])
-        .withColumns({"begins": begins, "place": F.row_number().over(in_block)})
-        .withColumn("start", F.last("begins", ignorenulls=True).over(so_far))
-        .withColumn("last_start", F.max("begins").over(Window.partitionBy("source_file", "block")))
-    )
-    pieces = placed.groupBy("source_file", "block", "start", "last_start", "left_open").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("line", "value")))["value"], "\n").alias("record"),
-        F.min("place").alias("place"),
-    )
-
-    # A block's first piece may continue, and its last record may go on in, another block.
-    is_head = F.col("start").isNull()
-    goes_on = (F.col("left_open") == 1) & (F.col("start") == F.col("last_start"))
-    is_part = is_head | F.coalesce(goes_on, F.lit(False))
-    position = Window.partitionBy("source_file").orderBy("block", "place")
-    parts = pieces.filter(is_part).withColumn("whole", F.count("start").over(position))
-    joined = parts.groupBy("source_file", "whole").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("block", "place", "record")))["record"], "\n").alias("record"),
-        F.min(F.struct("block", "place")).alias("at"),
-    )
-    records = pieces.filter(~is_part).select("source_file", "block", "place", "record")
-    records = records.unionByName(joined.select("source_file", "at.block", "at.place", "record"))
-
-    is_header = (F.col("block") == 0) & (F.col("place") == 1)
-    content = F.regexp_replace("record", "\r$", "")
-    ddl = ", ".join(f"`{name}` STRING" for name in names)
-    parsed = F.from_csv(content, ddl, {**CSV_DIALECT, "multiLine": "true"})
-    rows = records.filter(~is_header & (content != "")).select(parsed.alias("row"), "source_file")
-    return rows.select("row.*", "source_file")
-
-
 def with_lineage(scan: DataFrame, loaded_at: Column | None = None, source: Column | None = None) -> DataFrame:
     """Adds when the row was loaded and from which file.
 
