@@ -43,6 +43,10 @@ class QualityError(ValueError):
         super().__init__(f"Critical data quality checks failed: {', '.join(self.failed)}")
 
 
+# One layout for both ways of storing, so that they can be mixed in one history.
+HISTORY_PARTITIONS = ("logical_date", "run_id")
+
+
 @dataclass(frozen=True)
 class Zones:
     """Where the tables of one data set live; any path Spark can write to."""
@@ -140,10 +144,8 @@ def check_quality(
     rows = results.drop("check_no")
 
     write_single_csv(results, zones.current(run.run_id), order_by="check_no")
-    if keep_every_attempt:
-        append_partitioned(rows, zones.history, ["logical_date"])
-    else:
-        replace_partitions(rows, zones.history, ["logical_date", "run_id"])
+    store = append_partitioned if keep_every_attempt else replace_partitions
+    store(rows, zones.history, HISTORY_PARTITIONS)
     write_lines(quality.report_lines(results, run, short=bool(missing)), zones.report)
 
     if missing:

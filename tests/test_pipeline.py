@@ -104,6 +104,10 @@ def test_history_can_keep_every_attempt(spark, run_dir, zones):
     for _ in range(2):
         pipeline.check_quality(spark, zones, run_of(), 1, 10, now=now(), keep_every_attempt=True)
     assert pipeline.read_history(spark, zones).count() == 24
+    pipeline.check_quality(spark, zones, run_of("other"), 1, 10, now=now())
+    assert pipeline.read_history(spark, zones).count() == 36
+    pipeline.check_quality(spark, zones, run_of(), 1, 10, now=now())
+    assert pipeline.read_history(spark, zones).count() == 24
 
 
 def test_missing_columns_stop_the_ingest_before_any_write(spark, run_dir, zones):
