@@ -1,4 +1,4 @@
 """Importing this module registers the queries of all operators of the subpackage."""
 
-from casebook.llm import decontaminate, exact_dedup, language, ngram_join, packing  # noqa: F401
+from casebook.llm import chat_format, decontaminate, exact_dedup, html_extract, language, ngram_join, packing, sharding  # noqa: F401
 from casebook.llm.common import ENTRIES  # noqa: F401
