@@ -10,8 +10,8 @@ or weighs too little to matter. Only bin sums and node ranges reach the driver,
 * Dimensions: text length (log scale), the smallest key, and the named metadata columns (by a hash of their
   values). Units with the same value are told apart by a hash of the text, so a hot value can be split;
   equal texts never are.
-* Law ``bytes``: shard sizes are near equal, up to one unit per split; a unit above a shard's share makes
-  its shard larger. Null text has no bytes and goes with empty texts.
+* Law ``bytes``: shard sizes are near equal, up to one unit per split. A unit above a shard's share gets a
+  shard to itself first. Null text has no bytes and goes with empty texts.
 * Rows are numbered in each shard without gaps: cells of a bounded number of rows are numbered by
   themselves and get the rows before them as offset. Repeated rows are rows of their own with slots of
   their own. Extra columns do not matter. An empty table gives an empty result; more shards than units
@@ -126,9 +126,25 @@ def medians(units: DataFrame, nodes: list[Node], dimensions: int) -> None:
                 del seeking[number]
 
 
+def giants(units: DataFrame, shards: int) -> list[str]:
+    """Units that weigh at least a shard's share of what is left beside heavier ones: fewer than there are shards."""
+    left = units.agg(F.sum("weight")).first()[0] or 0
+    found = []
+    for r in units.select("unit", "weight").orderBy(F.desc("weight"), "unit").limit(shards - 1).collect():
+        if r["weight"] * (shards - len(found)) < left:
+            break
+        found.append(r["unit"])
+        left -= r["weight"]
+    return found
+
+
 def assigned(scratch: Scratch, units: DataFrame, shards: int, dimensions: int) -> DataFrame:
-    """``unit, shard`` after all splits."""
-    nodes = [Node(0, shards)]
+    """``unit, shard`` after all splits. Units too heavy for any split get the first shards to themselves."""
+    alone = giants(units, shards)
+    single = units.where(F.col("unit").isin(alone)).select("unit", (F.array_position(F.array(*map(F.lit, alone)), F.col("unit")) - 1).cast("int").alias("shard"))
+    if alone:
+        units = units.where(~F.col("unit").isin(alone))
+    nodes = [Node(len(alone), shards - len(alone))]
     step = 0
     while any(n.shards > 1 for n in nodes):
         medians(units, nodes, dimensions)
@@ -144,9 +160,11 @@ def assigned(scratch: Scratch, units: DataFrame, shards: int, dimensions: int) -
             following += parts
         step += 1
         units = scratch.store(units.withColumn("node", number), f"units-{step}")
-        scratch.drop("units" if step == 1 else f"units-{step - 1}")
+        if step > 1:
+            scratch.drop(f"units-{step - 1}")
         nodes = following
-    return units.select("unit", choose("node", nodes, lambda n: F.lit(n.first)).cast("int").alias("shard"))
+    split = units.select("unit", choose("node", nodes, lambda n: F.lit(n.first)).cast("int").alias("shard"))
+    return split.union(single) if alone else split
 
 
 def slots(scratch: Scratch, placed: DataFrame) -> DataFrame:
