@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions import safe_cast
-from casebook.session import shared_dir
-from casebook.sinks import write_table
-from casebook.sources import read_table
 
 
 def retype(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -34,30 +31,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Column | str) ->
     return df.withColumn("__position", position).filter(F.col("__position") == 1).drop("__position")
 
 
-def latest_of_repeated(df: DataFrame, keys: Sequence[str], newest: Column | str) -> DataFrame:
-    """Same rows as ``latest_per_key``, for stored tables in which repeated keys are the exception.
-
-    Only the keys are shuffled to find the repeated ones, which are then stored. Their
-    size being known, Spark broadcasts a short list, and the wide rows of all other keys
-    pass through without a shuffle; a long list is merge-joined. With no repeated key
-    the input is returned as it is. Runs a job when called; keys must not be NULL.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, "repeated_keys")
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__versions"))
-    if write_table(per_key.filter(F.col("__versions") > 1).select(*keys), path) == 0:
-        return df
-    repeated = read_table(spark, path)
-    single = df.join(repeated, on=list(keys), how="left_anti").select(*df.columns)
-    versions = df.join(repeated, on=list(keys), how="left_semi").select(*df.columns)
-    return single.unionByName(latest_per_key(versions, keys, newest))
-
-
-def already_unique(df: DataFrame, keys: Sequence[str], newest: Column | str) -> DataFrame:
-    """Stands in for the two above where a check of the same table has found no repeated key."""
-    return df
-
-
 def attach_category(df: DataFrame, lookup: DataFrame, on: str, category: str, default: str = "Other") -> DataFrame:
     """Left join to a lookup with unique keys; exact match, everything else is ``default``.
 

@@ -43,8 +43,28 @@ def distinct_profile(
     return _long(row, names, distinct_count="d").drop("total_rows").orderBy("distinct_count", "column_name")
 
 
+def possible_keys(df: DataFrame, columns: Sequence[str] | None = None, log_size: int = 12) -> list[str]:
+    """Columns without NULLs whose sketched count of values is near the number of rows.
+
+    One pass that moves a sketch per column and task. Six standard errors below the row
+    count are allowed for, so a real key is not missed; exact counts can then be confined to these.
+    """
+    names = list(columns or df.columns)
+    row = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(names)],
+        *[_sketched(df, c, log_size).alias(f"d_{i}") for i, c in enumerate(names)],
+    ).first()
+    least = row["total"] * (1 - 6 * 1.04 / 2 ** (log_size / 2))
+    return [c for i, c in enumerate(names) if row[f"n_{i}"] == 0 and row[f"d_{i}"] >= least]
+
+
 def key_candidates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows, NULLs and distinct values per column, and whether the column identifies a row."""
+    """Rows, NULLs and distinct values per column, and whether the column identifies a row.
+
+    Exact counts copy each row once per column; for many columns of a large table ask
+    ``possible_keys`` first and pass what it leaves.
+    """
     names = list(columns or df.columns)
     row = df.agg(
         F.count(F.lit(1)).alias("total_rows"),

@@ -77,10 +77,6 @@ def top(summary: DataFrame, by: Sequence[str], measure: str, k: int = 10) -> Dat
 
 
 def share(summary: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
-    """Sum per group and its part of the overall sum.
-
-    The window holds one row per group of a short list such as categories.
-    """
-    totals = total_by(summary, by, measure)
-    everything = F.sum(measure).over(Window.partitionBy(F.lit(1)))
-    return totals.withColumn("share", F.col(measure) / everything)
+    """Sum per group and its part of the overall sum, which is computed once as a scalar."""
+    everything = summary.agg(F.sum(measure)).scalar()
+    return total_by(summary, by, measure).withColumn("share", F.col(measure) / everything)

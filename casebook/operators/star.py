@@ -53,14 +53,15 @@ def build_fact(detail: DataFrame, dims: Sequence[Dimension], carried: Mapping[st
 
 
 def denormalize(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact rows with the columns of all dimensions, given as ``{key column: dimension}``.
+    """All fact rows with the columns of all dimensions, given as ``{key column: dimension}``.
 
+    A fact whose member is absent keeps its row, with NULLs in that dimension's columns.
     No hints: dimensions stored as tables have a known size, so small ones are
     broadcast and a large one is merge-joined with skewed keys split at run time.
     """
     wide = fact
     for key, dim in dimensions.items():
-        wide = wide.join(dim, on=key, how="inner")
+        wide = wide.join(dim, on=key, how="left")
     return wide
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,8 +80,6 @@ MAX_RAW_ROWS = 400_000
 LATITUDE_RANGE = (41.0, 42.1)
 LONGITUDE_RANGE = (-88.0, -87.0)
 
-EXTRACT_MAX_ROWS = 500_000
-
 # Names of the checks on rows and ids, in the order of their records.
 NULL_ID_CHECK = "null_id_count"
 INVALID_ID_CHECK = "invalid_id_count"
@@ -131,14 +129,13 @@ def clean_detail(
     spark: SparkSession,
     raw: DataFrame,
     category_of_type: Mapping[str, str] = CATEGORY_OF_TYPE,
-    one_per_key: Callable[..., DataFrame] = clean.latest_per_key,
 ) -> DataFrame:
     """Typed, one row per id, with time stamps and category. Only rows without a valid id are dropped."""
     typed = clean.keep_valid_keys(clean.retype(raw, CLEAN_TYPES), "id")
-    single = one_per_key(typed, ["id"], parse_timestamp_any("updated_on"))
-    timed = single.withColumn("crime_timestamp", parse_timestamp_any("date")).withColumns(
-        {"crime_date": F.to_date("crime_timestamp"), "updated_timestamp": parse_timestamp_any("updated_on")}
-    )
+    dated = typed.withColumn("updated_timestamp", parse_timestamp_any("updated_on"))
+    single = clean.latest_per_key(dated, ["id"], "updated_timestamp")
+    timed = single.withColumn("crime_timestamp", parse_timestamp_any("date"))
+    timed = timed.withColumn("crime_date", F.to_date("crime_timestamp"))
     lookup = lookup_table(spark, category_of_type, "primary_type", "crime_category")
     return clean.attach_category(timed, lookup, "primary_type", "crime_category", OTHER_CATEGORY)
 

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions import path_token_text
-from casebook.operators import clean, merge, quality, star
+from casebook.operators import merge, quality, star
 from casebook.plans import incidents
-from casebook.session import shared_dir
 from casebook.sinks import (
     append_partitioned,
     replace_partitions,
@@ -28,9 +27,11 @@ from casebook.sinks import (
 )
 from casebook.sources import (
     MissingColumnsError,
+    landing_layouts,
     missing_columns,
     read_table,
     require_columns,
+    require_in_files,
     scan_landing,
     scan_large,
     with_lineage,
@@ -61,6 +62,10 @@ class Zones:
     def raw(self) -> str:
         return self._at("raw", self.dataset)
 
+    @property
+    def raw_changes(self) -> str:
+        return self._at("raw", f"{self.dataset}_changes")
+
     @property
     def detail(self) -> str:
         return self._at("clean", f"{self.dataset}_detail")
@@ -85,6 +90,9 @@ class Zones:
     def report(self) -> str:
         return self._at("quality", f"raw_{self.dataset}", "reports", "raw_dq_latest.md")
 
+    def records(self, run_id: str) -> str:
+        return self._at("quality", f"raw_{self.dataset}", "dq_records", f"run_id={path_token_text(run_id)}")
+
     def current(self, run_id: str) -> str:
         return self._at("quality", f"raw_{self.dataset}", "dq_results", f"run_id={path_token_text(run_id)}")
 
@@ -107,14 +115,17 @@ def ingest(
     required: Sequence[str] = incidents.REQUIRED_COLUMNS,
     columns: Sequence[str] | None = None,
     large_files: bool = False,
+    raw: str | None = None,
 ) -> int:
     """Landing CSV to raw Parquet, all strings, with lineage. Returns the rows written.
 
-    ``large_files`` reads each file with many tasks; see ``scan_large``.
+    Every file must have the required columns. ``large_files`` reads each file with many
+    tasks; see ``scan_large``. ``raw`` lands somewhere else than in the raw zone.
     """
-    scan = (scan_large if large_files else scan_landing)(spark, landing, columns)
+    require_in_files(landing_layouts(spark, landing), required)
+    scan = (scan_large if large_files else scan_landing)(spark, landing, columns, source_file=True)
     require_columns(scan, required)
-    return write_table(with_lineage(scan, source=F.col("source_file") if large_files else None), zones.raw)
+    return write_table(with_lineage(scan), raw or zones.raw)
 
 
 def check_quality(
@@ -126,19 +137,20 @@ def check_quality(
     fail_on_error: bool = True,
     now: Column | None = None,
     keep_every_attempt: bool = False,
+    raw: str | None = None,
 ) -> DataFrame:
     """Runs the suite on the raw zone, stores the records three ways, then applies the gate.
 
     The history keeps one copy per logical date and run. ``keep_every_attempt``
     appends instead, so that a repeated run shows up twice.
     """
-    raw = read_table(spark, zones.raw)
-    missing = missing_columns(raw, incidents.REQUIRED_COLUMNS)
-    suite = incidents.quality_suite(raw, min_rows, max_rows, now)
-    records = quality.assess(raw, suite, run)
+    table = read_table(spark, raw or zones.raw)
+    missing = missing_columns(table, incidents.REQUIRED_COLUMNS)
+    suite = incidents.quality_suite(table, min_rows, max_rows, now)
+    records = quality.assess(table, suite, run)
 
     # The checks run once; sinks and gate read the dozen stored records.
-    stored = shared_dir(spark, "quality")
+    stored = zones.records(run.run_id)
     write_table(records, stored)
     results = read_table(spark, stored, records.schema)
     rows = results.drop("check_no")
@@ -167,31 +179,31 @@ def read_history(spark: SparkSession, zones: Zones) -> DataFrame:
     return read_table(spark, zones.history, quality.RESULT_SCHEMA)
 
 
-def ids_are_unique(results: DataFrame) -> bool:
-    """Whether a quality run has found every readable id once."""
-    check = incidents.DUPLICATE_IDS_CHECK
-    return not results.filter((F.col("check_name") == check) & (F.col("status") == "PASS")).isEmpty()
-
-
 def transform(
-    spark: SparkSession,
-    zones: Zones,
-    category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE,
-    unique_ids: bool = False,
+    spark: SparkSession, zones: Zones, category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE
 ) -> dict[str, int]:
     """Raw to clean detail and daily summary. Returns rows written per table.
 
-    Repeated ids are the exception behind the gate, so wide rows are only shuffled for
-    those; with ``unique_ids``, known from a quality run on the same raw table, nothing is.
-    The summary is computed from the stored detail, so the two always agree.
+    De-duplication leaves one row per id and task before its one shuffle, whether or not
+    ids are repeated. The summary is computed from the stored detail, so the two always agree.
     """
     raw = read_table(spark, zones.raw)
-    one_per_key = clean.already_unique if unique_ids else clean.latest_of_repeated
-    detail_rows = write_table(incidents.clean_detail(spark, raw, category_of_type, one_per_key), zones.detail)
-    daily = incidents.daily_summary(read_table(spark, zones.detail))
-    daily_rows = write_table(daily, zones.daily)
+    detail_rows = write_table(incidents.clean_detail(spark, raw, category_of_type), zones.detail)
+    return {"detail": detail_rows, "daily_summary": _summarize(spark, zones)}
+
+
+def _summarize(spark: SparkSession, zones: Zones) -> int:
+    """Daily summary and its layout by month, from the stored detail."""
+    rows = write_table(incidents.daily_summary(read_table(spark, zones.detail)), zones.daily)
     write_by_month(read_table(spark, zones.daily), zones.by_month, "crime_date")
-    return {"detail": detail_rows, "daily_summary": daily_rows}
+    return rows
+
+
+def _apart(source: Zones, target: Zones) -> None:
+    """A refresh reads the source while it writes the target: neither may hold the other."""
+    a, b = (zones.root.rstrip("/") + "/" for zones in (source, target))
+    if a.startswith(b) or b.startswith(a):
+        raise ValueError(f"the target {target.root} must lie apart from the source {source.root}")
 
 
 def refresh(
@@ -199,22 +211,31 @@ def refresh(
     zones: Zones,
     landing: str | Sequence[str],
     target: Zones,
+    run: quality.Run,
+    min_rows: int = 1,
+    max_rows: int = incidents.MAX_RAW_ROWS,
+    fail_on_error: bool = True,
+    now: Column | None = None,
     category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE,
+    large_files: bool = False,
 ) -> dict[str, int]:
-    """Applies newly landed rows to the clean tables of ``zones``; the result goes to ``target``.
+    """Applies newly landed rows to the tables of ``zones``; all tables of the result go to ``target``.
 
-    Per id the latest ``updated_on`` stays. The old tables are only read, so a refresh
-    that fails half-way is simply run again.
+    The changes land in a zone of their own, pass the same gate as a full load, and per id
+    the latest ``updated_on`` stays. The old tables are only read, so a refresh that fails
+    half-way is simply run again. ``target`` must be another place than ``zones``.
     """
-    ingest(spark, landing, target)
-    changes = incidents.clean_detail(spark, read_table(spark, target.raw), category_of_type)
+    _apart(zones, target)
+    ingest(spark, landing, target, large_files=large_files, raw=target.raw_changes)
+    check_quality(spark, target, run, min_rows, max_rows, fail_on_error, now, raw=target.raw_changes)
+    changes = incidents.clean_detail(spark, read_table(spark, target.raw_changes), category_of_type)
     # Stored, the changes are cleaned once, and their known size decides how they are joined.
     write_table(changes, target.changes)
     base, changes = read_table(spark, zones.detail), read_table(spark, target.changes)
     merged = merge.upsert_latest(base, changes, ["id"], "updated_timestamp")
     detail_rows = write_table(merged, target.detail)
-    daily_rows = write_table(incidents.daily_summary(read_table(spark, target.detail)), target.daily)
-    return {"detail": detail_rows, "daily_summary": daily_rows}
+    daily_rows = _summarize(spark, target)
+    return {"detail": detail_rows, "daily_summary": daily_rows, **build_star(spark, target)}
 
 
 def build_star(spark: SparkSession, zones: Zones) -> dict[str, int]:
@@ -237,9 +258,10 @@ def run_pipeline(
     fail_on_error: bool = True,
     now: Column | None = None,
     category_of_type: Mapping[str, str] = incidents.CATEGORY_OF_TYPE,
+    large_files: bool = False,
 ) -> DataFrame:
     """Ingest, check, transform; returns the stored daily summary. A failed gate stops before the transform."""
-    ingest(spark, landing, zones)
-    results = check_quality(spark, zones, run, min_rows, max_rows, fail_on_error, now)
-    transform(spark, zones, category_of_type, ids_are_unique(results))
+    ingest(spark, landing, zones, large_files=large_files)
+    check_quality(spark, zones, run, min_rows, max_rows, fail_on_error, now)
+    transform(spark, zones, category_of_type)
     return read_table(spark, zones.daily)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 
 
 class MissingColumnsError(ValueError):
-    def __init__(self, missing: Sequence[str]):
+    def __init__(self, missing: Sequence[str], file: str | None = None):
         self.missing = list(missing)
-        super().__init__(f"Missing required columns: {', '.join(self.missing)}")
+        super().__init__(f"Missing required columns: {', '.join(self.missing)}" + (f" in {file}" if file else ""))
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

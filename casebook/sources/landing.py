@@ -2,54 +2,142 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casebook.sources.contract import MissingColumnsError
+
 # Quoted fields may hold line ends, a quote is written as two quotes,
 # short or long records are kept, and no type is inferred.
 CSV_DIALECT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
+HEADERS_AT_ONCE = 16
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Files that share one header and kind of line end."""
+
+    columns: tuple[str, ...]
+    files: tuple[str, ...]
+    line_end: str = "\n"
+
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField(name, T.StringType()) for name in self.columns])
+
+
+def landing_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[Layout]:
+    """The headers of all files, with the files of each. Only the first record of a file is read; empty files have none."""
+    files = spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles()
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: _header(spark, file), files))
+    by_header: dict[tuple, list[str]] = {}
+    for file, (names, line_end) in sorted(zip(files, headers, strict=True)):
+        if names:
+            by_header.setdefault((names, line_end), []).append(file)
+    return [Layout(names, tuple(of), line_end) for (names, line_end), of in by_header.items()]
+
+
+def _header(spark: SparkSession, file: str) -> tuple[tuple[str, ...], str]:
+    """Column names of one file, and what ends its first line."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    lines = jvm.org.apache.hadoop.util.LineReader(codec.createInputStream(stream) if codec else stream, b"\n")
+    line, text = jvm.org.apache.hadoop.io.Text(), ""
+    try:
+        while lines.readLine(line) > 0:
+            text += line.toString() + "\n"
+            if text.strip() and text.count('"') % 2 == 0:
+                break
+    finally:
+        lines.close()
+    line_end = "\r\n" if "\r\n" in text else "\n"
+    names = next(csv.reader(io.StringIO(text.removeprefix("\ufeff").strip("\r\n"), newline="")), [])
+    names = tuple(name or f"_c{i}" for i, name in enumerate(names))
+    if len(set(names)) < len(names):
+        raise ValueError(f"a column name occurs twice in the header of {file}")
+    return names, line_end
+
+
+def require_in_files(layouts: Sequence[Layout], required: Sequence[str]) -> None:
+    """The column contract, for every file."""
+    for layout in layouts:
+        missing = [name for name in required if name not in layout.columns]
+        if missing:
+            raise MissingColumnsError(missing, layout.files[0])
+
 
 def scan_landing(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     multi_line: bool = True,
+    source_file: bool = False,
 ) -> DataFrame:
-    """CSV with header, every field a string.
+    """CSV with header, every field a string; files with other headers are united by name.
 
     Spark reads a file of multi-line records in one task. That suits many files of
     moderate size; for a file of many gigabytes see ``large_csv.scan_large``.
     ``multi_line=False`` splits files as well, and is right only for sources whose
-    fields hold no line ends. ``columns`` skips the look at the header.
+    fields hold no line ends. ``columns`` picks columns that every file must have; without
+    it, a column that a file lacks is NULL there.
     """
-    reader = spark.read.options(header=True, inferSchema=False, multiLine=multi_line, **CSV_DIALECT)
+    options = {"header": True, "enforceSchema": False, "multiLine": multi_line, **CSV_DIALECT}
+    reader = spark.read.options(**options)
+
+    def scan(layout: Layout) -> DataFrame:
+        return reader.schema(layout.schema()).csv(list(layout.files)).withColumn("source_file", F.col("_metadata.file_path"))
+
+    return united(spark, landing_layouts(spark, paths), scan, columns, source_file)
+
+
+def united(spark: SparkSession, layouts: Sequence[Layout], scan, columns: Sequence[str] | None, source_file: bool) -> DataFrame:
+    """One frame of all layouts, each read by ``scan``, which adds ``source_file``."""
     if columns:
-        reader = reader.schema(_all_text(columns))
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+        require_in_files(layouts, columns)
+    names = list(columns or dict.fromkeys(name for layout in layouts for name in layout.columns))
+    if source_file and "source_file" in names:
+        raise ValueError("the files have a column source_file of their own")
+    frames = []
+    for layout in layouts:
+        rows = scan(layout)
+        frames.append(rows.select(*[_named(name, layout) for name in names], *["source_file"] * source_file))
+    if not frames:
+        fields = [T.StructField(name, T.StringType()) for name in [*names, *["source_file"] * source_file]]
+        return spark.createDataFrame([], T.StructType(fields))
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.union(frame)
+    return result
 
 
-def _all_text(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in columns])
+def _named(name: str, layout: Layout) -> Column:
+    return F.col(f"`{name}`") if name in layout.columns else F.lit(None).cast("string").alias(name)
 
 
 def with_lineage(scan: DataFrame, loaded_at: Column | None = None, source: Column | None = None) -> DataFrame:
     """Adds when the row was loaded and from which file.
 
-    Takes a file scan, or any frame if ``source`` says which column names the file.
+    Takes a scan with ``source_file``, or any frame if ``source`` says which column names the file.
     """
     return scan.withColumns(
         {
             "ingestion_timestamp": F.current_timestamp() if loaded_at is None else loaded_at,
-            "source_file": F.col("_metadata.file_path") if source is None else source,
+            "source_file": F.col("source_file") if source is None else source,
         }
     )
 
 
-def extract_range(df: DataFrame, column: str, first, last, max_rows: int | None = None) -> DataFrame:
-    """Rows with ``first <= column <= last``, at most ``max_rows`` of them if given."""
-    rows = df.filter(F.col(column).between(first, last))
-    return rows if max_rows is None else rows.limit(max_rows)
+def extract_range(df: DataFrame, column: str, first, last) -> DataFrame:
+    """All rows with ``first <= column <= last``."""
+    return df.filter(F.col(column).between(first, last))

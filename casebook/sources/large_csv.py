@@ -6,40 +6,63 @@ per block, which tells for each block whether it starts inside a field; within a
 running count then finds the lines that start a record. A block is a group of bounded
 size, and the text is shuffled once. Records that cross the end of a block, at most one
 per block, are put together afterwards.
+
+Counting is right only if every quote opens, closes or is doubled in a quoted field, so
+every record is checked for that, and for stray line ends, before it is parsed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casebook.sources.landing import CSV_DIALECT, scan_landing
+from casebook.sources.landing import CSV_DIALECT, Layout, landing_layouts, united
 
 BLOCK = ("source_file", "block")
 
 
-def scan_large(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """The rows of ``scan_landing``, and ``source_file``, with many tasks per file.
+def scan_large(
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, source_file: bool = True
+) -> DataFrame:
+    """The rows of ``scan_landing``, with many tasks per file.
 
     Takes uncompressed files in which every quote is part of a quoted field, with LF or
-    CRLF line ends. A file whose quotes do not pair up is an error.
+    CRLF line ends. Any other file is an error, never other rows.
     """
-    names = list(columns or scan_landing(spark, paths).columns)
-    lines = _lines(spark, paths)
-    records = _records(_pieces(lines.join(_blocks(lines), list(BLOCK))))
+    return united(spark, landing_layouts(spark, paths), lambda layout: _scan(spark, layout), columns, source_file)
+
+
+def _scan(spark: SparkSession, layout: Layout) -> DataFrame:
+    lines = _lines(spark, layout)
+    records = _records(_pieces(lines.join(_blocks(lines), list(BLOCK)), layout.line_end), layout.line_end)
 
     is_header = (F.col("block") == 0) & (F.col("place") == 1)
-    content = F.regexp_replace("record", "\r$", "")
-    ddl = ", ".join(f"`{name}` STRING" for name in names)
-    row = F.from_csv(content, ddl, {**CSV_DIALECT, "multiLine": "true"}).alias("row")
-    return records.filter(~is_header & (content != "")).select(row, "source_file").select("row.*", "source_file")
+    # as the scan of whole files does, which reads the file's own line end as a line feed
+    content = F.replace(_in_dialect(F.col("record"), layout.line_end), F.lit(layout.line_end), F.lit("\n"))
+    ddl = ", ".join(f"`{name}` STRING" for name in layout.columns)
+    row = F.from_csv("content", ddl, {**CSV_DIALECT, "multiLine": "true"}).alias("row")
+    rows = records.filter(~is_header).withColumn("content", content).filter("content <> ''")
+    return rows.select(row, "source_file").select("row.*", "source_file")
+
+
+def _in_dialect(record: Column, line_end: str) -> Column:
+    """The record, or an error if it is not made of quoted fields and fields without quotes and line ends.
+
+    Doubled quotes go first, then whole quoted fields; nothing that is left may be a quote or line end.
+    Inside quotes the file's own line end may stand, or, if that is CRLF, single line feeds instead.
+    """
+    bare = F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), r'(\A|,)"[^"]*"(?=,|\z)', "$1")
+    mixed = record.contains("\r") if line_end == "\n" else record.rlike(r"\r(?!\n)") | record.rlike(r"(?s)\r\n.*(?<!\r)\n|(?<!\r)\n.*\r\n")
+    stray = bare.rlike(r'["\r\n]') | mixed
+    message = F.concat(F.lit("a quote or line end is out of place in "), "source_file", F.lit(" in the record: "), F.left(record, F.lit(200)))
+    return F.when(stray, F.raise_error(message)).otherwise(record)
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def _lines(spark: SparkSession, layout: Layout) -> DataFrame:
     """Lines in file order within a block, with the number of quotes in each."""
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep="\n")
+    text = spark.read.text(list(layout.files), lineSep=layout.line_end)
     without = F.replace("value", F.lit('"'), F.lit(""))
     return text.select(
         F.col("_metadata.file_path").alias("source_file"),
@@ -64,7 +87,7 @@ def _blocks(lines: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(lines: DataFrame) -> DataFrame:
+def _pieces(lines: DataFrame, line_end: str) -> DataFrame:
     """Lines of one record in one block joined into a piece, ``place`` being its first line.
 
     ``is_head`` marks the end of a record that began in an earlier block, ``goes_on`` the
@@ -81,20 +104,20 @@ def _pieces(lines: DataFrame) -> DataFrame:
     )
     in_order = F.sort_array(F.collect_list(F.struct("line", "value")))["value"]
     pieces = placed.groupBy(*BLOCK, "start", "last_start", "left_open").agg(
-        F.array_join(in_order, "\n").alias("record"), F.min("place").alias("place")
+        F.array_join(in_order, line_end).alias("record"), F.min("place").alias("place")
     )
     goes_on = F.coalesce((F.col("left_open") == 1) & (F.col("start") == F.col("last_start")), F.lit(False))
     return pieces.select(*BLOCK, "place", "record", F.col("start").isNull().alias("is_head"), goes_on.alias("goes_on"))
 
 
-def _records(pieces: DataFrame) -> DataFrame:
+def _records(pieces: DataFrame, line_end: str) -> DataFrame:
     """Whole records: most are one piece, the others are joined across blocks."""
     is_part = F.col("is_head") | F.col("goes_on")
     position = Window.partitionBy("source_file").orderBy("block", "place")
     parts = pieces.filter(is_part).withColumn("whole", F.count_if(~F.col("is_head")).over(position))
     in_order = F.sort_array(F.collect_list(F.struct("block", "place", "record")))["record"]
     joined = parts.groupBy("source_file", "whole").agg(
-        F.array_join(in_order, "\n").alias("record"), F.min(F.struct("block", "place")).alias("first")
+        F.array_join(in_order, line_end).alias("record"), F.min(F.struct("block", "place")).alias("first")
     )
     single = pieces.filter(~is_part).select(*BLOCK, "place", "record")
     return single.unionByName(joined.select("source_file", "first.block", "first.place", "record"))

@@ -15,10 +15,12 @@ TIME_FORMATS = {
     "spark": {
         "iso": "concat(date_format({0}, 'yyyy-MM-dd'), 'T', date_format({0}, 'HH:mm:ss.SSS'))",
         "spaced": "date_format({0}, 'yyyy-MM-dd HH:mm:ss')",
+        "day": "date_format({0}, 'yyyy-MM-dd')",
     },
     "duckdb": {
         "iso": "strftime({0}, '%Y-%m-%dT%H:%M:%S.%g')",
         "spaced": "strftime({0}, '%Y-%m-%d %H:%M:%S')",
+        "day": "strftime({0}, '%Y-%m-%d')",
     },
 }
 
@@ -34,6 +36,7 @@ LONGITUDE = "CAST(-87.900 + (user_id % 700) * 0.001 AS STRING)"
 def expressions(dialect: str, dirty: bool) -> dict[str, str]:
     iso = TIME_FORMATS[dialect]["iso"].format
     spaced = TIME_FORMATS[dialect]["spaced"].format
+    day = TIME_FORMATS[dialect]["day"].format
     columns = {
         "id": "CAST(event_id AS STRING)",
         "case_number": "concat('C', CAST(event_id AS STRING))",
@@ -73,7 +76,7 @@ def expressions(dialect: str, dirty: bool) -> dict[str, str]:
             "date": (
                 "CASE event_id % 89 WHEN 1 THEN NULL WHEN 2 THEN 'not a date' WHEN 3 THEN '  '"
                 f" WHEN 4 THEN {spaced('ts')} WHEN 5 THEN {spaced('ts')}"
-                f" WHEN 6 THEN '2999-01-01T00:00:00.000' ELSE {iso('ts')} END"
+                f" WHEN 6 THEN '2999-01-01T00:00:00.000' WHEN 7 THEN {day('ts')} ELSE {iso('ts')} END"
             ),
             "primary_type": (
                 f"CASE event_id % 83 WHEN 1 THEN NULL WHEN 2 THEN '  ' WHEN 3 THEN lower({TYPE}) ELSE {TYPE} END"
@@ -114,7 +117,12 @@ INT = "CASE WHEN regexp_full_match(trim({0}), '[+-]?[0-9]+') THEN TRY_CAST(trim(
 DOUBLE = "TRY_CAST(trim({0}) AS DOUBLE)".format
 BLANK = "({0} IS NULL OR trim({0}) = '')".format
 ISO = "TRY_STRPTIME({0}, '%Y-%m-%dT%H:%M:%S.%g')".format
-ANY_TIME = "COALESCE(TRY_STRPTIME({0}, '%Y-%m-%dT%H:%M:%S.%g'), TRY_STRPTIME({0}, '%Y-%m-%d %H:%M:%S'))".format
+PATTERN_TIME = "COALESCE(TRY_STRPTIME({0}, '%Y-%m-%dT%H:%M:%S.%g'), TRY_STRPTIME({0}, '%Y-%m-%d %H:%M:%S'))".format
+# A day alone is read by the free form only.
+ANY_TIME = (
+    "COALESCE(TRY_STRPTIME({0}, '%Y-%m-%dT%H:%M:%S.%g'), TRY_STRPTIME({0}, '%Y-%m-%d %H:%M:%S'),"
+    " TRY_STRPTIME({0}, '%Y-%m-%d'))"
+).format
 BOOLEAN = (
     "CASE WHEN lower(trim({0})) IN ('true', 't', '1', 'yes', 'y') THEN true"
     " WHEN lower(trim({0})) IN ('false', 'f', '0', 'no', 'n') THEN false END"

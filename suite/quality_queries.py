@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from casebook.functions import blank, outside, uncastable
 from casebook.functions.typing import parse_timestamp_any
 from casebook.operators import quality
-from casebook.plans import incidents
+from casebook.plans import incidents, pipeline
+from casebook.session import shared_dir
+from casebook.sinks import write_table
+from casebook.sources import MissingColumnsError
 from suite.landing import ANY_TIME, BIGINT, BLANK, DOUBLE, landing, landing_sql
 from suite.registry import query, table
 
@@ -116,6 +119,31 @@ def dq_gate(spark, sf_dir):
     return quality.blocking(quality.assess(raw, suite_for(raw), RUN)).select("check_name", "observed_value")
 
 
+@query(
+    "dq_missing_columns",
+    f"""SELECT 'record' AS part, 'required_columns_exist FAIL arrest,year' AS line
+    UNION ALL SELECT 'record', 'row_count_between_expected_range PASS ' || CAST(count(*) AS VARCHAR) FROM events
+    UNION ALL SELECT 'report', line FROM (VALUES ('{quality.REPORT_TITLE}'), (''), ('Run ID: {RUN.run_id}'), (''),
+      ('Logical Date: {RUN.logical_date}'), (''), ('Run Timestamp: {RUN.run_timestamp}'), (''),
+      ('{quality.REPORT_MISSING}')) l(line)""",
+)
+def dq_missing_columns(spark, sf_dir):
+    """The early end: the two records and the lines of the short report, as stored."""
+    raw = landing(spark, sf_dir).drop("arrest", "year")
+    zones = pipeline.Zones(shared_dir(spark, "missing_columns"))
+    write_table(raw, zones.raw)
+    try:
+        pipeline.check_quality(spark, zones, RUN, MIN_ROWS, MAX_ROWS, fail_on_error=False, now=now())
+    except MissingColumnsError:
+        pass
+    else:
+        raise AssertionError("the check must end with an error")
+    records = pipeline.read_history(spark, zones)
+    lines = spark.read.text(zones.report).select(F.lit("report").alias("part"), F.col("value").alias("line"))
+    found = records.select(F.lit("record").alias("part"), F.concat_ws(" ", "check_name", "status", "observed_value").alias("line"))
+    return found.union(lines)
+
+
 def _offending_sql(names: dict[str, str]) -> str:
     counts = ", ".join(f"count(*) FILTER ({text}) AS {name}" for name, text in names.items())
     return f"WITH landing AS ({landing_sql(dirty=True)}) SELECT count(*) AS total_rows, {counts} FROM landing"
@@ -164,12 +192,15 @@ def dq_invalid_cast(spark, sf_dir):
 
 @query(
     "dq_future_date",
-    """SELECT count(*) AS total_rows, count(*) FILTER (l_shipdate > TIMESTAMP '1999-06-01') AS future
-    FROM lineitem""",
+    """SELECT count(*) AS total_rows, 0::BIGINT AS unreadable,
+    count(*) FILTER (l_shipdate > TIMESTAMP '1999-06-01') AS future FROM lineitem""",
 )
 def dq_future_date(spark, sf_dir):
-    later = F.col("l_shipdate") > F.lit("1999-06-01 00:00:00").cast("timestamp_ntz")
-    return quality.count_offending(table(spark, sf_dir, "lineitem"), {"future": later})
+    """The two time checks of the suite, on ship dates as text and with a fixed present."""
+    moment = F.to_timestamp(F.lit("1999-06-01 00:00:00"))
+    derived, checks = quality.time_checks("unreadable", "future", "shipped", "Ship date", moment)
+    lines = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"))
+    return quality.count_offending(lines.withColumns(derived), {c.name: c.offends for c in checks})
 
 
 @query(

@@ -10,9 +10,9 @@ from casebook.plans import incidents, pipeline
 from casebook.sinks import write_by_month, write_csv
 from casebook.sources import read_table
 from suite.clean_queries import ORDERS_SQL, SUMMARY_SQL, orders_daily
-from suite.landing import detail_ctes, landing
+from suite.landing import CATEGORY, ISO, detail_ctes, expressions, landing, landing_sql
 from suite.quality_queries import MAX_ROWS, MIN_ROWS, now
-from suite.registry import query
+from suite.registry import query, table
 
 DAILY = f"WITH daily AS ({ORDERS_SQL})"
 PERIODS_SQL = "(VALUES ('day'), ('week'), ('month'), ('year')) unit(period_unit)"
@@ -66,6 +66,14 @@ def report_volume_trend(spark, sf_dir):
     return reports.trend(daily, "crime_date", "total_crimes", ("month", "year"), ["primary_type"])
 
 
+DAYS_SQL = "(VALUES ('day')) unit(period_unit)"
+
+
+@query("report_volume_trend_daily", trend_sql("total_crimes", ("primary_type",), DAYS_SQL))
+def report_volume_trend_daily(spark, sf_dir):
+    return reports.trend(orders_daily(spark, sf_dir), "crime_date", "total_crimes", ("day",), ["primary_type"])
+
+
 @query(
     "report_category_share",
     f"""{DAILY} SELECT crime_category, CAST(sum(total_crimes) AS BIGINT) AS total_crimes,
@@ -151,12 +159,19 @@ def rolling_avg_days_between(spark, sf_dir):
     )
 
 
-def pipeline_summary(spark, sf_dir, dirty: bool, fail_on_error: bool):
-    landed = shared_dir(spark, "landing")
-    write_csv(landing(spark, sf_dir, dirty), landed)
+RUN = quality.Run("manual_run", "2026-01-01", "2026-01-01T00:00:00+00:00", "incidents")
+
+
+def landed_rows(spark, rows) -> str:
+    path = shared_dir(spark, "landing")
+    write_csv(rows, path)
+    return path
+
+
+def pipeline_summary(spark, sf_dir, dirty: bool, fail_on_error: bool, large_files: bool = False):
+    landed = landed_rows(spark, landing(spark, sf_dir, dirty))
     zones = pipeline.Zones(shared_dir(spark, "zones"))
-    run = quality.Run("manual_run", "2026-01-01", "2026-01-01T00:00:00+00:00", zones.dataset)
-    return pipeline.run_pipeline(spark, landed, zones, run, MIN_ROWS, MAX_ROWS, fail_on_error, now())
+    return pipeline.run_pipeline(spark, landed, zones, RUN, MIN_ROWS, MAX_ROWS, fail_on_error, now(), large_files=large_files)
 
 
 def pipeline_sql(dirty: bool) -> str:
@@ -173,3 +188,49 @@ def pipeline_end_to_end(spark, sf_dir):
 @query("pipeline_inspection_mode", pipeline_sql(dirty=True))
 def pipeline_inspection_mode(spark, sf_dir):
     return pipeline_summary(spark, sf_dir, dirty=True, fail_on_error=False)
+
+
+@query("pipeline_large_files", pipeline_sql(dirty=False))
+def pipeline_large_files(spark, sf_dir):
+    return pipeline_summary(spark, sf_dir, dirty=False, fail_on_error=True, large_files=True)
+
+
+# Later versions of every third incident, outdated ones of others, and new ids.
+CHANGED = {
+    "id": "CASE event_id % 5 WHEN 0 THEN CAST(event_id + 1000000000 AS STRING) ELSE CAST(event_id AS STRING) END",
+    "primary_type": "'ROBBERY'",
+    "updated_on": "CASE WHEN event_id % 3 = 0 THEN '2025-12-31T00:00:00.000' ELSE '1990-01-01T00:00:00.000' END",
+}
+
+
+def changes_sql(dialect: str) -> str:
+    columns = {**expressions(dialect, dirty=False), **CHANGED}
+    names = ", ".join(f"{text} AS `{name}`" for name, text in columns.items())
+    return f"SELECT {names} FROM events WHERE event_id % 2 = 0"
+
+
+def refreshed_sql() -> str:
+    changes = changes_sql("duckdb").replace("`", '"')
+    union = f"SELECT 0 AS change, * FROM ({landing_sql()}) UNION ALL SELECT 1, * FROM ({changes})"
+    return f"""WITH landing AS ({union}), dated AS (SELECT *, {ISO('date')} AS moment, {ISO('updated_on')} AS updated FROM landing),
+    newest AS (SELECT * FROM dated QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated DESC, change DESC) = 1),
+    daily AS (SELECT CAST(moment AS DATE) AS crime_date, primary_type, count(*) AS total_crimes,
+      count(*) FILTER (arrest = 'true') AS total_arrests, count(*) FILTER (domestic = 'true') AS domestic_crimes
+      FROM newest GROUP BY 1, 2)
+    SELECT crime_date, CAST(year(crime_date) AS INTEGER) AS year, CAST(month(crime_date) AS INTEGER) AS month, primary_type,
+      CASE primary_type WHEN 'ROBBERY' THEN 'Property Crime' ELSE {CATEGORY} END AS crime_category,
+      total_crimes, total_arrests, domestic_crimes,
+      avg(total_crimes) OVER (PARTITION BY primary_type ORDER BY crime_date NULLS FIRST
+        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS seven_day_rolling_avg FROM daily"""
+
+
+@query("pipeline_refresh", refreshed_sql())
+def pipeline_refresh(spark, sf_dir):
+    """A full load, then changes landed apart, gated and applied; the refreshed summary by month."""
+    zones, target = (pipeline.Zones(shared_dir(spark, name)) for name in ("zones", "refreshed"))
+    pipeline.run_pipeline(spark, landed_rows(spark, landing(spark, sf_dir)), zones, RUN, MIN_ROWS, MAX_ROWS, True, now())
+    columns = {**expressions("spark", dirty=False), **CHANGED}
+    events = table(spark, sf_dir, "events").where("event_id % 2 = 0")
+    changes = events.selectExpr(*[f"{text} AS `{name}`" for name, text in columns.items()])
+    pipeline.refresh(spark, zones, landed_rows(spark, changes), target, RUN, MIN_ROWS, MAX_ROWS, True, now())
+    return read_table(spark, target.by_month)

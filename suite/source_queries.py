@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from casebook import shared_dir
 from casebook.functions import column_or_null
 from casebook.operators import quality
-from casebook.plans import incidents
 from casebook.sinks import (
     append_partitioned,
     replace_partitions,
@@ -40,7 +39,21 @@ def scan_csv_multiline(spark, sf_dir):
 def scan_csv_large(spark, sf_dir):
     path = shared_dir(spark, "documents_csv")
     write_csv(table(spark, sf_dir, "documents"), path)
-    return scan_large(spark, path).drop("source_file")
+    return scan_large(spark, path, source_file=False)
+
+
+@query(
+    "scan_csv_layouts",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 3 < 2 THEN lang END AS lang, text FROM documents",
+)
+def scan_csv_layouts(spark, sf_dir):
+    """Files whose columns stand in another order, or are not all there, are united by name."""
+    docs = table(spark, sf_dir, "documents")
+    path = shared_dir(spark, "documents_layouts")
+    layouts = (("doc_id", "text", "lang"), ("lang", "doc_id", "text"), ("text", "doc_id"))
+    for number, names in enumerate(layouts):
+        write_csv(docs.where(F.col("doc_id") % 3 == number).select(*names), f"{path}/{number}")
+    return scan_landing(spark, [f"{path}/{n}" for n in range(len(layouts))])
 
 
 EXTRACT = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
@@ -49,12 +62,11 @@ EXTRACT = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
 @query(
     "extract_date_range",
     f"""SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
-    WHERE o_orderdate BETWEEN TIMESTAMP '{EXTRACT[0]}' AND TIMESTAMP '{EXTRACT[1]}'
-    LIMIT {incidents.EXTRACT_MAX_ROWS}""",
+    WHERE o_orderdate BETWEEN TIMESTAMP '{EXTRACT[0]}' AND TIMESTAMP '{EXTRACT[1]}'""",
 )
 def extract_date_range(spark, sf_dir):
     first, last = (F.lit(t).cast("timestamp_ntz") for t in EXTRACT)
-    rows = extract_range(table(spark, sf_dir, "orders"), "o_orderdate", first, last, incidents.EXTRACT_MAX_ROWS)
+    rows = extract_range(table(spark, sf_dir, "orders"), "o_orderdate", first, last)
     return rows.select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("o_orderdate"))
 
 
@@ -87,7 +99,7 @@ def add_metadata(spark, sf_dir):
     path = shared_dir(spark, "customer_csv")
     write_csv(table(spark, sf_dir, "customer"), path)
     loaded_at = F.to_timestamp(F.lit("2026-01-01 00:00:00"))
-    rows = with_lineage(scan_landing(spark, path), loaded_at)
+    rows = with_lineage(scan_landing(spark, path, source_file=True), loaded_at)
     return rows.select(
         "c_custkey",
         "c_mktsegment",

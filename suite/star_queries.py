@@ -9,7 +9,7 @@ from casebook.operators import star
 from casebook.plans import incidents
 from casebook.sinks import write_table, write_tables
 from casebook.sources import read_table
-from suite.clean_queries import SUMMARY_SQL, as_text, as_text_sql, key_sql
+from suite.clean_queries import as_text, as_text_sql, key_sql
 from suite.landing import BOOLEAN, detail_ctes, flag_sql, landing
 from suite.registry import query
 
@@ -68,7 +68,7 @@ def dim_date(spark, sf_dir):
 )
 def dim_time_of_day(spark, sf_dir):
     """All minutes of a day, with the number of incidents that point at each."""
-    rows = detail(spark, sf_dir, dirty=True)
+    rows = stored_detail(spark, sf_dir, dirty=True)
     dim = incidents.dimensions()["dim_time_of_day"]
     used = rows.groupBy(dim.key_on_detail()).agg(F.count(F.lit(1)).alias("incidents"))
     members = star.build_dimension(rows, dim).join(used, on=dim.key, how="left")
@@ -159,16 +159,22 @@ def star_totals_large(spark, sf_dir):
     return star.star_totals(fact, tables, by, measures, large=["location_point_key"])
 
 
-@query("star_join_summary", f"{detail_ctes(dirty=True)} {SUMMARY_SQL}")
+@query(
+    "star_join_summary",
+    f"""{detail_ctes(dirty=True)} SELECT dayname(crime_date) AS weekday, CAST(month(crime_date) AS INTEGER) AS month, iucr,
+    count(*) AS total_crimes, count(*) FILTER ({flag_sql('arrest')}) AS total_arrests,
+    count(*) FILTER ({flag_sql('domestic')}) AS domestic_crimes FROM detail GROUP BY ALL""",
+)
 def star_join_summary(spark, sf_dir):
-    """The daily summary again, this time from the fact and two dimensions."""
-    fact, tables = stored_star(spark, sf_dir, ("dim_date", "dim_crime_type"), dirty=True)
-    measures = {
-        "total_crimes": F.count(F.lit(1)),
-        "total_arrests": F.count_if("arrest"),
-        "domestic_crimes": F.count_if("domestic"),
-    }
-    return star.star_totals(fact, tables, incidents.SUMMARY_GRAIN, measures)
+    """The stored daily summary by key, with the dimensions its two keys point at."""
+    rows = stored_detail(spark, sf_dir, dirty=True)
+    base = shared_dir(spark, "star_summary")
+    dims = {n: incidents.dimensions()[n] for n in ("dim_date", "dim_crime_type")}
+    frames = {f"{base}/{n}": star.build_dimension(rows, d) for n, d in dims.items()}
+    write_tables({**frames, f"{base}/agg": incidents.daily_summary_by_key(rows)})
+    tables = {d.key: read_table(spark, f"{base}/{n}") for n, d in dims.items()}
+    measures = {name: F.sum(name) for name in incidents.SUMMARY_MEASURES}
+    return star.star_totals(read_table(spark, f"{base}/agg"), tables, ["weekday", "month", "iucr"], measures)
 
 
 @query(

@@ -25,9 +25,8 @@ SUMMARY = {
 }
 
 
-@pytest.mark.parametrize("one_per_key", [clean.latest_per_key, clean.latest_of_repeated])
-def test_clean_detail(spark, one_per_key):
-    detail = incidents.clean_detail(spark, edge_rows(spark), one_per_key=one_per_key)
+def test_clean_detail(spark):
+    detail = incidents.clean_detail(spark, edge_rows(spark))
     rows = {r.id: r for r in detail.withColumn("updated", F.col("updated_timestamp").cast("timestamp_ntz")).collect()}
     assert sorted(rows) == [1, 2, 8, 9, 10, 11, 12, 13, 14, 15]
     assert rows[2].arrest == "true"
@@ -59,9 +58,8 @@ VERSIONS = [("a", i, f"v{i % 7}") for i in range(500)] + [("b", 1, "x"), ("b", 1
 def test_latest_per_key_breaks_ties(spark):
     df = spark.createDataFrame(VERSIONS, "k STRING, u INT, v STRING")
     expected = {("a", 499, "v2"), ("b", 1, "w"), ("c", 0, "m")}
-    for operator in (clean.latest_per_key, clean.latest_of_repeated):
-        for parts in (1, 7):
-            assert {tuple(r) for r in operator(df.repartition(parts), ["k"], "u").collect()} == expected
+    for parts in (1, 7):
+        assert {tuple(r) for r in clean.latest_per_key(df.repartition(parts), ["k"], "u").collect()} == expected
 
 
 def test_repeated_key_is_reduced_before_the_shuffle(spark):
@@ -79,18 +77,6 @@ def test_hot_key_sends_one_row_per_task(spark):
     assert found.filter("k = -1").first().u == rows - 3
 
 
-def test_only_repeated_keys_are_shuffled_wide(spark, run_dir):
-    (spark.range(2000).selectExpr("if(id < 5, 0, id) AS k", "id AS u", "repeat('x', 20) AS v").write.parquet(run_dir + "/t"))
-    stored = spark.read.parquet(run_dir + "/t")
-    found = clean.latest_of_repeated(stored, ["k"], "u")
-    assert found.count() == 1996
-    plan = plan_of(found)
-    single = plan[: plan.index("WindowGroupLimit")]
-    assert "BroadcastHashJoin [k" in single and "LeftAnti" in single
-    unique = spark.read.parquet(run_dir + "/t").filter("u >= 5")
-    assert "Join" not in plan_of(clean.latest_of_repeated(unique, ["k"], "u"))
-
-
 def test_category_is_an_exact_match(spark):
     lookup = lookup_table(spark, {"THEFT": "Property"}, "t", "c")
     df = text_frame(spark, ["x", "t"], [("1", "THEFT"), ("2", "theft"), ("3", None), ("4", "THEFT ")])

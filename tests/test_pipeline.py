@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from casebook import __main__ as runner
-from casebook.operators import clean, quality
+from casebook.operators import quality
 from casebook.plans import incidents, pipeline
 from casebook.sinks import write_csv, write_table
 from casebook.sources import MissingColumnsError, read_table, scan_landing
@@ -67,16 +68,21 @@ def test_gate_stops_after_writing_the_results(spark, run_dir, zones):
     assert not os.path.exists(zones.detail)
 
 
-def test_ids_found_unique_are_not_brought_together_again(spark, run_dir, zones):
-    landing = land(spark, good(spark), run_dir)
-    pipeline.ingest(spark, landing, zones)
-    results = pipeline.check_quality(spark, zones, run_of(), 1, 10, now=now())
-    assert pipeline.ids_are_unique(results)
-    detail = incidents.clean_detail(spark, read_table(spark, zones.raw), one_per_key=clean.already_unique)
-    assert "Exchange hashpartitioning" not in plan_of(detail)
-    assert pipeline.transform(spark, zones, unique_ids=True) == pipeline.transform(spark, zones)
+def test_rows_are_shuffled_once_for_the_detail(spark, run_dir, zones):
     write_table(edge_rows(spark), zones.raw)
-    assert not pipeline.ids_are_unique(pipeline.check_quality(spark, zones, run_of(), 1, 99, False, now()))
+    plan = plan_of(incidents.clean_detail(spark, read_table(spark, zones.raw)))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")  # before the shuffle and after it
+
+
+def test_a_run_leaves_no_intermediate_folder(spark, run_dir, zones, monkeypatch):
+    made = []
+    monkeypatch.setattr("casebook.session.shared_dir", lambda *a: made.append(a))
+    before = set(os.listdir(tempfile.gettempdir()))
+    pipeline.run_pipeline(spark, land(spark, good(spark), run_dir), zones, run_of(), 1, 10, now=now())
+    pipeline.refresh(spark, zones, run_dir + "/landing", pipeline.Zones(run_dir + "/next"), run_of(), 1, 10, now=now())
+    assert not made
+    assert not [f for f in set(os.listdir(tempfile.gettempdir())) - before if f.startswith("casebook")]
 
 
 def test_inspection_mode_goes_on(spark, run_dir, zones):
@@ -142,14 +148,48 @@ def test_refresh_keeps_the_latest_version(spark, run_dir, zones):
     fresh[0] = "99"
     write_csv(edge_rows(spark, [tuple(r) for r in (newer, older, fresh, fresh)]), run_dir + "/changes")
     target = pipeline.Zones(run_dir + "/next")
+    with pytest.raises(pipeline.QualityError) as stopped:  # id 99 comes twice
+        pipeline.refresh(spark, zones, run_dir + "/changes", target, run_of(), now=now())
+    assert stopped.value.failed == ["duplicate_id_group_count", "duplicate_record_count"]
     for _ in range(2):
-        assert pipeline.refresh(spark, zones, run_dir + "/changes", target)["detail"] == 11
+        counts = pipeline.refresh(spark, zones, run_dir + "/changes", target, run_of(), fail_on_error=False, now=now())
+        assert counts["detail"] == counts["fact_crime_incident"] == 11
+        assert read_table(spark, target.by_month).agg(F.sum("total_crimes")).first()[0] == 11
+        assert pipeline.read_history(spark, target).count() == 12
+        assert not os.path.exists(target.raw)
         rows = {r.id: r for r in read_table(spark, target.detail).collect()}
         assert (rows[1].primary_type, rows[1].crime_category) == ("ROBBERY", "Property Crime")
         assert rows[2].primary_type == "BATTERY" and rows[99].primary_type == "THEFT"
     assert read_table(spark, zones.detail).count() == 10
 
 
+def contents(root):
+    return {os.path.join(at, f): os.path.getmtime(os.path.join(at, f)) for at, _, files in os.walk(root) for f in files}
+
+
+def test_refresh_never_touches_its_source(spark, run_dir, zones):
+    pipeline.ingest(spark, land(spark, good(spark), run_dir), zones)
+    pipeline.transform(spark, zones)
+    before = contents(zones.root)
+    for root in (zones.root, zones.root + "/", zones.root + "/raw", run_dir):
+        with pytest.raises(ValueError, match="apart"):
+            pipeline.refresh(spark, zones, run_dir + "/landing", pipeline.Zones(root), run_of(), now=now())
+    write_csv(edge_rows(spark).drop("year"), run_dir + "/short")
+    write_csv(edge_rows(spark), run_dir + "/bad")
+    with pytest.raises(MissingColumnsError):
+        pipeline.refresh(spark, zones, run_dir + "/short", pipeline.Zones(run_dir + "/next"), run_of(), now=now())
+    with pytest.raises(pipeline.QualityError):
+        pipeline.refresh(spark, zones, run_dir + "/bad", pipeline.Zones(run_dir + "/next"), run_of(), now=now())
+    assert contents(zones.root) == before
+
+
+def test_every_landing_file_must_keep_the_contract(spark, run_dir, zones):
+    write_csv(good(spark), run_dir + "/a")
+    write_csv(good(spark).drop("arrest"), run_dir + "/b")
+    with pytest.raises(MissingColumnsError, match="arrest in .*/b/"):
+        pipeline.ingest(spark, [run_dir + "/a", run_dir + "/b"], zones)
+
+
 def test_large_files_land_the_same_rows(spark, run_dir, zones):
     landing = land(spark, edge_rows(spark), run_dir)
     other = pipeline.Zones(run_dir + "/other")
@@ -177,6 +217,10 @@ def test_steps_as_jobs(spark, run_dir, monkeypatch):
     runner.main(["quality", "--root", root, "--run-id", "r9"])
     runner.main(["transform", "--root", root])
     runner.main(["star", "--root", root])
+    runner.main(["refresh", "--root", root, "--landing", landing, "--target", root + "-next", "--large-files"])
+    assert read_table(spark, pipeline.Zones(root + "-next").daily).count() == 2
+    with pytest.raises(SystemExit):
+        runner.main(["refresh", "--root", root, "--landing", landing])
     zones = pipeline.Zones(root)
     assert {r.run_id for r in pipeline.read_history(spark, zones).collect()} == {"r9"}
     assert read_table(spark, zones.daily).count() == 2

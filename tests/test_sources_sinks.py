@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casebook import shared_dir
-from casebook.session import shuffle_settings
+from casebook.session import INITIAL_PARTITIONS, SCALE_SETTINGS, shuffle_settings
 from casebook.sinks import append_partitioned, replace_partitions, write_by_month, write_csv, write_single_csv, write_table
 from casebook.sources import (
     MissingColumnsError,
@@ -140,10 +140,10 @@ def test_contract_names_are_exact(spark):
 
 def test_lineage(spark, run_dir):
     path = put(run_dir + "/a.csv", "id,v\n1,x\n")
-    df = with_lineage(scan_landing(spark, path))
+    df = with_lineage(scan_landing(spark, path, source_file=True))
     row = df.first()
     assert row.source_file.endswith("/a.csv") and row.ingestion_timestamp is not None
-    assert df.columns == ["id", "v", "ingestion_timestamp", "source_file"]
+    assert sorted(df.columns) == ["id", "ingestion_timestamp", "source_file", "v"]
 
 
 def test_extract_is_inclusive_and_pushed_to_the_scan(spark, run_dir):
@@ -152,7 +152,65 @@ def test_extract_is_inclusive_and_pushed_to_the_scan(spark, run_dir):
     rows = extract_range(df, "id", 10, 20)
     assert rows.count() == 11
     assert "GreaterThanOrEqual(id,10)" in plan_of(rows)
-    assert extract_range(df, "id", 10, 20, max_rows=4).count() == 4
+
+
+def test_extract_has_no_cap(spark, run_dir):
+    spark.range(700_000).write.parquet(run_dir + "/t")
+    rows = extract_range(read_table(spark, run_dir + "/t"), "id", 0, 600_000)
+    assert rows.count() == 600_001
+    assert "Limit" not in plan_of(rows)
+
+
+def test_files_with_other_headers_are_united_by_name(spark, run_dir):
+    paths = [put(run_dir + "/1.csv", "id,x\n1,one\n"), put(run_dir + "/2.csv", 'x,id\n"t\nwo",2\n'), put(run_dir + "/3.csv", "id\n3\n")]
+    paths.append(put(run_dir + "/4.csv", ""))
+    want = [("1", "one"), ("2", "t\nwo"), ("3", None)]
+    assert sorted(tuple(r) for r in scan_landing(spark, paths).select("id", "x").collect()) == want
+    assert sorted(tuple(r) for r in scan_large(spark, paths, source_file=False).select("id", "x").collect()) == want
+    assert [tuple(r) for r in scan_landing(spark, paths[1], columns=["id", "x"]).collect()] == [("2", "t\nwo")]
+    for scan in (scan_landing, scan_large):
+        with pytest.raises(MissingColumnsError, match="x in .*3.csv"):
+            scan(spark, paths, columns=["id", "x"])
+    with pytest.raises(ValueError, match="twice"):
+        scan_landing(spark, put(run_dir + "/5.csv", "a,a\n1,2\n"))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'id,v\n1,5" pipe\n2,plain\n3,6" pipe\n4,z\n',
+        'id,v\n1,"x" y\n',
+        'id,v\n1, "x"\n',
+        'id,v\n1,a\rb\n',
+        'id,v\n1,"a\rb"\n',
+    ],
+)
+def test_large_scan_refuses_other_dialects(spark, run_dir, text):
+    with pytest.raises(Exception, match="out of place"):
+        scan_large(spark, put(run_dir + "/a.csv", text)).collect()
+
+
+def test_scans_agree_on_random_text_or_the_large_one_refuses(spark, run_dir):
+    pick = random.Random(13)
+    agreed = 0
+    for number in range(30):
+        end = pick.choice(["\n", "\r\n"])
+        fields = ["", "a", " b ", '"x"', '""', '"b' + end + 'c"', '"q""q"', '",' + end + end + '"']
+        records = [",".join(pick.choices(fields, k=pick.randrange(1, 4))) for _ in range(pick.randrange(1, 12))]
+        body = end.join(records) + pick.choice(["", end])
+        if number % 2:  # one character put in somewhere
+            at = pick.randrange(len(body) + 1)
+            body = body[:at] + pick.choice('",\n\r a') + body[at:]
+        path = put(f"{run_dir}/{number}.csv", "id,v" + end + body)
+        with setting(spark, "spark.sql.files.maxPartitionBytes", pick.choice(["128m", "9b"])):
+            try:
+                found = Counter(map(tuple, scan_large(spark, path, source_file=False).collect()))
+            except Exception as refused:
+                assert "out of place" in str(refused) or "do not pair up" in str(refused)
+                continue
+            assert found == Counter(map(tuple, scan_landing(spark, path).collect())), body
+            agreed += 1
+    assert agreed >= 15
 
 
 def test_scan_reads_only_what_is_asked(spark, run_dir):
@@ -228,7 +286,12 @@ def test_no_machine_local_folder_on_a_cluster():
 def test_partition_count_follows_the_data():
     small, large = shuffle_settings(10**9, 64), shuffle_settings(100 * 10**12, 8000)
     assert small["spark.sql.shuffle.partitions"] == "128"
-    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.shuffle.partitions"] == "745059"  # no cap: 100 TB in 128 MB
+
+
+def test_cluster_sessions_have_many_initial_partitions():
+    assert int(SCALE_SETTINGS[INITIAL_PARTITIONS]) >= 10_000
+    assert SCALE_SETTINGS["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
 
 
 def test_one_scan_for_many_counts(spark, run_dir):

@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import reports, star, summary
+from casebook.operators import profile, reports, star, summary
 from casebook.plans import incidents
 from casebook.sinks import write_by_month
 from casebook.sources import read_table
@@ -235,3 +235,24 @@ def test_top_breaks_ties_by_name(daily):
 def test_shares_add_up(daily):
     rows = {r.c: r.share for r in reports.share(daily, ["c"], "n").collect()}
     assert rows == {"X": 11 / 23, "Y": 12 / 23}
+
+
+def test_no_fact_is_lost_when_a_member_is_missing(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id INT, k STRING")
+    dim = spark.createDataFrame([("a", "x")], "k STRING, name STRING")
+    assert {(r.id, r.name) for r in star.denormalize(fact, {"k": dim}).collect()} == {(1, "x"), (2, None), (3, None)}
+    totals = star.star_totals(fact, {"k": dim}, ["name"], {"n": F.count(F.lit(1))})
+    assert {(r.name, r.n) for r in totals.collect()} == {("x", 1), (None, 2)}
+    large = star.star_totals(fact, {"k": dim}, ["name"], {"n": F.count(F.lit(1))}, large=["k"])
+    assert {(r.name, r.n) for r in large.collect()} == {("x", 1), (None, 2)}
+
+
+def test_shares_use_no_single_partition_window(daily):
+    plan = plan_of(reports.share(daily, ["c"], "n"))
+    assert "Window" not in plan
+
+
+def test_possible_keys_are_found_by_sketches(spark):
+    df = spark.range(20_000).selectExpr("id", "id % 19000 AS near", "id % 100 AS few", "nullif(id, 5) AS gap", "cast(id AS string) AS text")
+    assert set(profile.possible_keys(df)) >= {"id", "text"}
+    assert not {"few", "gap"} & set(profile.possible_keys(df))
