@@ -25,10 +25,22 @@ def detail(spark, sf_dir, dirty=False):
     return incidents.clean_detail(spark, landing(spark, sf_dir, dirty))
 
 
+_built: dict[tuple, str] = {}
+
+
+def built(spark, label: str, build, *key) -> str:
+    """The folder that ``build`` fills. Built once per session, so that a query's time is its own; ``star_build`` times it."""
+    key = (spark.sparkContext.applicationId, label, *key)
+    if key not in _built:
+        path = shared_dir(spark, label)
+        build(path)
+        _built[key] = path
+    return _built[key]
+
+
 def stored_detail(spark, sf_dir, dirty=False):
-    """The clean detail as a table, for queries that read it more than once."""
-    path = shared_dir(spark, "detail")
-    write_table(detail(spark, sf_dir, dirty), path)
+    """The clean detail as a table."""
+    path = built(spark, "detail", lambda at: write_table(detail(spark, sf_dir, dirty), at), sf_dir, dirty)
     return read_table(spark, path)
 
 
@@ -39,7 +51,7 @@ def dimension_sql(key: str, columns: tuple[str, ...], dirty: bool = False) -> st
 
 def dimension(name: str, dirty: bool = False):
     def run(spark, sf_dir):
-        return star.build_dimension(detail(spark, sf_dir, dirty), incidents.dimensions()[name])
+        return star.build_dimension(stored_detail(spark, sf_dir, dirty), incidents.dimensions()[name])
 
     return run
 
@@ -108,14 +120,49 @@ def fact_incident(spark, sf_dir):
     return fact.withColumns({c: as_text(F.col(c)) for c in ("crime_timestamp", "updated_on")})
 
 
-def stored_star(spark, sf_dir, names=None, dirty=False):
+def build(rows, base) -> dict[str, int]:
+    """All dimensions, the fact and its daily summary below ``base``; rows written per table."""
+    frames = {n: star.build_dimension(rows, d) for n, d in incidents.dimensions().items()}
+    frames |= {"fact": incidents.incident_fact(rows), "agg": incidents.daily_summary_by_key(rows)}
+    counts = write_tables({f"{base}/{n}": frame for n, frame in frames.items()})
+    return {n: counts[f"{base}/{n}"] for n in frames}
+
+
+def stored_star(spark, sf_dir, names=None, dirty=False, fact="fact"):
     """Fact and dimensions as tables: their sizes are known, so Spark picks each join by size."""
-    rows = stored_detail(spark, sf_dir, dirty)
-    base = shared_dir(spark, "star")
+    base = built(spark, "star", lambda at: build(stored_detail(spark, sf_dir, dirty), at), sf_dir, dirty)
     dims = {n: d for n, d in incidents.dimensions().items() if names is None or n in names}
-    frames = {f"{base}/{n}": star.build_dimension(rows, d) for n, d in dims.items()}
-    write_tables({**frames, f"{base}/fact": incidents.incident_fact(rows)})
-    return read_table(spark, f"{base}/fact"), {d.key: read_table(spark, f"{base}/{n}") for n, d in dims.items()}
+    return read_table(spark, f"{base}/{fact}"), {d.key: read_table(spark, f"{base}/{n}") for n, d in dims.items()}
+
+
+def members_sql(columns: tuple[str, ...]) -> str:
+    return f"SELECT count(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM detail)"
+
+
+BUILT_SQL = {
+    "dim_date": members_sql(("crime_date",)),
+    "dim_time_of_day": "SELECT 1440 + CAST(bool_or(crime_timestamp IS NULL) AS INTEGER) FROM detail",
+    "dim_crime_type": members_sql(TYPE_COLUMNS),
+    "dim_police_area": members_sql(("beat", "district")),
+    "dim_civic_area": members_sql(("ward", "community_area")),
+    "dim_location_type": members_sql(("location_description",)),
+    "dim_location_point": members_sql(POINT_COLUMNS),
+    "fact": "SELECT count(*) FROM detail",
+    "agg": members_sql(("crime_date", *TYPE_COLUMNS)),
+}
+
+
+@query(
+    "star_build",
+    f"{detail_ctes(dirty=True)} "
+    + " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST(({sql}) AS BIGINT) AS row_count" for n, sql in BUILT_SQL.items()),
+)
+def star_build(spark, sf_dir):
+    """Cleans the landing rows and writes the whole star anew; rows per table."""
+    path = shared_dir(spark, "star_build")
+    write_table(detail(spark, sf_dir, dirty=True), f"{path}/detail")
+    counts = build(read_table(spark, f"{path}/detail"), path)
+    return spark.createDataFrame(list(counts.items()), "table_name STRING, row_count BIGINT")
 
 
 @query(
@@ -167,14 +214,9 @@ def star_totals_large(spark, sf_dir):
 )
 def star_join_summary(spark, sf_dir):
     """The stored daily summary by key, with the dimensions its two keys point at."""
-    rows = stored_detail(spark, sf_dir, dirty=True)
-    base = shared_dir(spark, "star_summary")
-    dims = {n: incidents.dimensions()[n] for n in ("dim_date", "dim_crime_type")}
-    frames = {f"{base}/{n}": star.build_dimension(rows, d) for n, d in dims.items()}
-    write_tables({**frames, f"{base}/agg": incidents.daily_summary_by_key(rows)})
-    tables = {d.key: read_table(spark, f"{base}/{n}") for n, d in dims.items()}
+    daily, tables = stored_star(spark, sf_dir, ("dim_date", "dim_crime_type"), dirty=True, fact="agg")
     measures = {name: F.sum(name) for name in incidents.SUMMARY_MEASURES}
-    return star.star_totals(read_table(spark, f"{base}/agg"), tables, ["weekday", "month", "iucr"], measures)
+    return star.star_totals(daily, tables, ["weekday", "month", "iucr"], measures)
 
 
 @query(
