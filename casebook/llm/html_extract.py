@@ -8,7 +8,7 @@ are (fixed lists below) need no statistics: navigation, forms, scripts and the l
 if a page marks an article or main part, only that part counts.
 
 * Hosts with fewer than ``LEAST_PAGES`` different pages are judged by the tree merged over all hosts.
-  Equal pages of a host count once. Plain paragraphs and headings of a marked article always stay.
+  Equal pages of a host count once.
 * Character references are decoded, white space in a block becomes one space, blocks are joined in page order by a
   line end. Unclosed elements end with their parent. A page without text gives an empty string.
 * Null html is empty; a null URL or one without host belongs to the host ``""``. Repeated rows are pages of their
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from casebook.llm.common import Scratch, narrow, query, table
 
-LEAST_PAGES = 5
+LEAST_PAGES = 20
 CONTENT_SHARE = 0.8  # of a node's importance; the rest is that of its presentation
 LOW_IMPORTANCE = 0.3
 DEEPEST = 256  # elements below are taken as their ancestor at that depth
@@ -56,7 +56,6 @@ BLOCKS = frozenset(
 )
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot caption html body option optgroup legend".split())
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre b i em strong a span".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -187,21 +186,12 @@ class Page:
         return [b for b in self.blocks if b[2]] if self.has_article and any(b[2] for b in self.blocks) else self.blocks
 
 
-def always_kept(path: str) -> bool:
-    """Plain paragraphs and headings right in a marked article."""
-    parts = path.split("/")
-    for number, part in enumerate(parts):
-        if part.split(".")[0] in ("article", "main"):
-            return all(p in PLAIN for p in parts[number + 1 :])
-    return False
-
-
 def with_blocks(rows: DataFrame) -> DataFrame:
     """Replaces the last column, ``html``, by the page's blocks, styles, and a checksum of its text."""
     kept = rows.schema.fields[:-1]
 
     def run(batches):
-        block = pa.struct([("path", pa.string()), ("text", pa.string()), ("fixed", pa.bool_())])
+        block = pa.struct([("path", pa.string()), ("text", pa.string())])
         style = pa.struct([("path", pa.string()), ("children", pa.int64())])
         for whole in batches:
             for offset in range(0, whole.num_rows, 200):
@@ -210,14 +200,14 @@ def with_blocks(rows: DataFrame) -> DataFrame:
                 for value in batch.column(len(kept)):
                     page = Page(value.as_py() or "")
                     found = page.kept()
-                    blocks.append([{"path": p, "text": t, "fixed": inside and always_kept(p)} for p, t, inside in found])
+                    blocks.append([{"path": p, "text": t} for p, t, _ in found])
                     styles.append([{"path": p, "children": c} for p, c in page.styles])
                     sums.append(zlib.crc32("\n".join(t for _, t, _ in found).encode()))
                 own = [batch.column(i) for i in range(len(kept))]
                 arrays = [*own, pa.array(blocks, pa.list_(block)), pa.array(styles, pa.list_(style)), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in kept] + ["blocks", "styles", "checksum"])
 
-    blocks = "blocks array<struct<path:string,text:string,fixed:boolean>>, styles array<struct<path:string,children:long>>, checksum long"
+    blocks = "blocks array<struct<path:string,text:string>>, styles array<struct<path:string,children:long>>, checksum long"
     return rows.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [blocks]))
 
 
@@ -236,8 +226,7 @@ def low_nodes(scratch: Scratch, pages: DataFrame) -> tuple[DataFrame, DataFrame]
     hosts = distinct.groupBy("host").agg(F.count("*").alias("pages"))
     first = scratch.store(distinct.join(hosts, "host").select("row_id", "pages"), "first")
     judged = pages.join(first, "row_id").withColumn("tree", F.when(F.col("pages") >= LEAST_PAGES, F.col("host")).otherwise("*"))
-    block = F.explode("blocks").alias("b")
-    texts = judged.select("tree", block).where("not b.fixed")
+    texts = judged.select("tree", F.explode("blocks").alias("b"))
     texts = texts.select("tree", F.col("b.path").alias("path"), F.xxhash64("b.text").alias("value"))
     styles = judged.select("tree", F.explode("styles").alias("s"))
     styles = styles.select("tree", F.col("s.path").alias("path"), F.col("s.children").alias("value"))
@@ -260,7 +249,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     low, trees = low_nodes(scratch, found.select("row_id", "host", "blocks", "styles", "checksum"))
     trees = scratch.store(trees.join(low, "tree").select("host", "low"), "trees")
     none = F.array().cast("array<string>")
-    keep = F.filter("blocks", lambda b: b["fixed"] | ~F.array_contains(F.coalesce(F.col("low"), none), b["path"]))
+    keep = F.filter("blocks", lambda b: ~F.array_contains(F.coalesce(F.col("low"), none), b["path"]))
     text = F.array_join(F.transform(keep, lambda b: b["text"]), "\n")
     joined = found.select("key", "url", "host", "blocks").join(trees, "host", "left")
     return joined.select(F.col("key").alias(key), F.col("url").alias(url), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
