@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+FEW_VALUES = 5_000  # a column of so few is counted as a set
+
+
 def _long(row: DataFrame, columns: Sequence[str], **fields: str) -> DataFrame:
     """One row of ``<field>_<i>`` columns turned into one row per profiled column."""
     records = [
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{p}_{i}").alias(n) for n, p in fields.items()])
         for i, c in enumerate(columns)
     ]
-    return row.select("total_rows", F.inline(F.array(*records)))
+    return row.select(*[c for c in ("total_rows",) if c in row.columns], F.inline(F.array(*records)))
 
 
 def _sketched(df: DataFrame, column: str, log_size: int) -> Column:
@@ -25,6 +28,27 @@ def _sketched(df: DataFrame, column: str, log_size: int) -> Column:
     return F.coalesce(estimate, F.lit(0)).cast("bigint")
 
 
+def _exact(df: DataFrame, names: Sequence[str], log_size: int = 12) -> DataFrame:
+    """One row of exact distinct counts ``d_<i>``.
+
+    Sketches come first. Columns of few values are counted as sets, all in one pass and
+    of bounded size; only the others pay for a copy of the rows per column.
+    """
+    guess = df.agg(*[_sketched(df, c, log_size).alias(f"d_{i}") for i, c in enumerate(names)]).first()
+    few = [i for i in range(len(names)) if guess[f"d_{i}"] <= FEW_VALUES]
+    sets = [F.size(F.collect_set(_plain(df, names[i]))).cast("bigint").alias(f"d_{i}") for i in few]
+    rest = [F.count_distinct(c).alias(f"d_{i}") for i, c in enumerate(names) if i not in few]
+    parts = [df.agg(*aggregates) for aggregates in (sets, rest) if aggregates]
+    if len(parts) == 1:
+        return parts[0]
+    return parts[0].withColumn("one", F.lit(1)).join(parts[1].withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def _plain(df: DataFrame, column: str) -> Column:
+    """Zero has one sign, as in grouping."""
+    return F.col(column) + F.lit(0.0) if dict(df.dtypes)[column] in ("double", "float") else F.col(column)
+
+
 def distinct_profile(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False, log_size: int = 12
 ) -> DataFrame:
@@ -35,12 +59,11 @@ def distinct_profile(
     standard error is about ``1.04 / sqrt(2 ** log_size)``, 1.6 % by default.
     """
     names = list(columns or df.columns)
-    counts = [
-        (_sketched(df, c, log_size) if approximate else F.count_distinct(c)).alias(f"d_{i}")
-        for i, c in enumerate(names)
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("total_rows"), *counts)
-    return _long(row, names, distinct_count="d").drop("total_rows").orderBy("distinct_count", "column_name")
+    if approximate:
+        row = df.agg(*[_sketched(df, c, log_size).alias(f"d_{i}") for i, c in enumerate(names)])
+    else:
+        row = _exact(df, names, log_size)
+    return _long(row, names, distinct_count="d").orderBy("distinct_count", "column_name")
 
 
 def possible_keys(df: DataFrame, columns: Sequence[str] | None = None, log_size: int = 12) -> list[str]:
@@ -62,15 +85,13 @@ def possible_keys(df: DataFrame, columns: Sequence[str] | None = None, log_size:
 def key_candidates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, NULLs and distinct values per column, and whether the column identifies a row.
 
-    Exact counts copy each row once per column; for many columns of a large table ask
-    ``possible_keys`` first and pass what it leaves.
+    If only the keys matter, ask ``possible_keys`` first and pass what it leaves.
     """
     names = list(columns or df.columns)
     row = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(names)],
-        *[F.count_distinct(c).alias(f"d_{i}") for i, c in enumerate(names)],
+        F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(names)]
     )
+    row = row.withColumn("one", F.lit(1)).join(_exact(df, names).withColumn("one", F.lit(1)), "one").drop("one")
     is_key = F.col("distinct_count") == F.col("total_rows")
     verdict = F.when(is_key, "unique key").otherwise("review")
     return _long(row, names, null_count="n", distinct_count="d").withColumn("verdict", verdict)

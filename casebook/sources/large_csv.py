@@ -2,10 +2,9 @@
 
 A line end is inside a field exactly when an odd number of quotes precedes it. The file
 is read as lines, in blocks of ``spark.sql.files.maxPartitionBytes``. Quotes are counted
-per block, which tells for each block whether it starts inside a field; within a block a
-running count then finds the lines that start a record. A block is a group of bounded
-size, and the text is shuffled once. Records that cross the end of a block, at most one
-per block, are put together afterwards.
+per block first, which tells for each block whether it starts inside a field. With that,
+each task puts together the records of the block it reads, without moving the text.
+Records that cross the end of a block, at most one per block, are put together afterwards.
 
 Counting is right only if every quote opens, closes or is doubled in a quoted field, so
 every record is checked for that, and for stray line ends, before it is parsed.
@@ -15,12 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebook.sources.landing import CSV_DIALECT, Layout, landing_layouts, united
 
 BLOCK = ("source_file", "block")
+BROADCAST_BLOCKS = 200_000  # blocks, of some hundred bytes each, that are told to all tasks
 
 
 def scan_large(
@@ -36,11 +39,18 @@ def scan_large(
 
 def _scan(spark: SparkSession, layout: Layout) -> DataFrame:
     lines = _lines(spark, layout)
-    records = _records(_pieces(lines.join(_blocks(lines), list(BLOCK)), layout.line_end), layout.line_end)
-
-    is_header = (F.col("block") == 0) & (F.col("place") == 1)
-    # as the scan of whole files does, which reads the file's own line end as a line feed
-    content = F.replace(_in_dialect(F.col("record"), layout.line_end), F.lit(layout.line_end), F.lit("\n"))
+    blocks = _blocks(lines)
+    known = blocks.limit(BROADCAST_BLOCKS + 1).collect()  # counted once; small whatever the file, by its limit
+    if len(known) <= BROADCAST_BLOCKS:
+        ordered = lines.join(F.broadcast(spark.createDataFrame(known, blocks.schema)), list(BLOCK))
+    else:  # the lines are shuffled to their block's row and sorted again
+        ordered = lines.join(blocks, list(BLOCK)).sortWithinPartitions(*BLOCK, "line")
+    records = _records(_pieces(ordered, layout.line_end), layout.line_end)
+
+    is_header = (F.col("block") == 0) & (F.col("place") == 0)
+    content = _in_dialect(F.col("record"), layout.line_end)
+    if layout.line_end != "\n":  # the scan of whole files reads the file's own line end as a line feed
+        content = F.replace(content, F.lit(layout.line_end), F.lit("\n"))
     ddl = ", ".join(f"`{name}` STRING" for name in layout.columns)
     row = F.from_csv("content", ddl, {**CSV_DIALECT, "multiLine": "true"}).alias("row")
     rows = records.filter(~is_header).withColumn("content", content).filter("content <> ''")
@@ -57,6 +67,7 @@ def _in_dialect(record: Column, line_end: str) -> Column:
     mixed = record.contains("\r") if line_end == "\n" else record.rlike(r"\r(?!\n)") | record.rlike(r"(?s)\r\n.*(?<!\r)\n|(?<!\r)\n.*\r\n")
     stray = bare.rlike(r'["\r\n]') | mixed
     message = F.concat(F.lit("a quote or line end is out of place in "), "source_file", F.lit(" in the record: "), F.left(record, F.lit(200)))
+    stray = F.coalesce(~F.col("in_dialect"), stray)  # whole pieces have been looked at by their task
     return F.when(stray, F.raise_error(message)).otherwise(record)
 
 
@@ -87,27 +98,82 @@ def _blocks(lines: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(lines: DataFrame, line_end: str) -> DataFrame:
-    """Lines of one record in one block joined into a piece, ``place`` being its first line.
+def _pieces(ordered: DataFrame, line_end: str) -> DataFrame:
+    """Lines of one record in one block joined into a piece, ``place`` being its number in the block.
 
     ``is_head`` marks the end of a record that began in an earlier block, ``goes_on`` the
-    beginning of one that ends in a later block.
+    beginning of one that ends in a later block. A task sees the lines of a block in order;
+    it holds a batch of lines and the record that the batch ends in.
     """
-    in_block = Window.partitionBy(*BLOCK).orderBy("line")
-    before = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    begins = F.when((F.col("opened") + before) % 2 == 0, F.col("line"))
-    up_to_here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
-        lines.withColumns({"begins": begins, "place": F.row_number().over(in_block)})
-        .withColumn("start", F.last("begins", ignorenulls=True).over(up_to_here))
-        .withColumn("last_start", F.max("begins").over(Window.partitionBy(*BLOCK)))
-    )
-    in_order = F.sort_array(F.collect_list(F.struct("line", "value")))["value"]
-    pieces = placed.groupBy(*BLOCK, "start", "last_start", "left_open").agg(
-        F.array_join(in_order, line_end).alias("record"), F.min("place").alias("place")
+    fields = r'(?:[^",\r\n]*|"[^"]*")'
+    whole_record = rf"\A{fields}(?:,{fields})*\z"
+
+    def run(batches):
+        names = ["source_file", "block", "place", "record", "is_head", "goes_on", "in_dialect"]
+
+        def in_dialect(records):
+            """The same rule as in ``_in_dialect``, for a pattern matcher that takes linear time."""
+            good = pc.match_substring_regex(pc.replace_substring(records, '""', ""), whole_record)
+            if line_end == "\n":
+                return pc.and_not(good, pc.match_substring(records, "\r"))
+            plain = pc.replace_substring(records, "\r\n", "")
+            pairs, feeds = pc.match_substring(records, "\r\n"), pc.match_substring(plain, "\n")
+            return pc.and_not(good, pc.or_(pc.match_substring(plain, "\r"), pc.and_(pairs, feeds)))
+
+        def emit(state, values, starts, last):
+            """Pieces that begin at ``starts``; the last one only if the block ends with it."""
+            count = len(starts) if last else len(starts) - 1
+            if count <= 0:
+                return None
+            ends = np.append(starts[1:], len(values))
+            offsets = pa.array(np.append(starts[:count], ends[count - 1]), pa.int32())
+            joined = pc.binary_join(pa.ListArray.from_arrays(offsets, values), line_end)
+            place = np.arange(state["place"], state["place"] + count)
+            head = (place == 0) & (state["opened"] == 1)
+            goes_on = np.zeros(count, bool)
+            goes_on[-1] = last and state["left_open"] == 1
+            state["place"] += count
+            columns = [pa.array([state["file"]] * count), pa.array([state["block"]] * count, pa.int64()), pa.array(place, pa.int64()), joined]
+            checked = pc.if_else(pa.array(head | goes_on), pa.scalar(None, pa.bool_()), in_dialect(joined))
+            return pa.RecordBatch.from_arrays([*columns, pa.array(head), pa.array(goes_on), checked], names=names)
+
+        state, values, starts = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            text = batch.column("value").cast(pa.string())
+            quotes = batch.column("quotes").to_numpy(zero_copy_only=False)
+            block = batch.column("block").to_numpy(zero_copy_only=False)
+            file = batch.column("source_file").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(block, prepend=block[0]) | np.diff(file, prepend=file[0]))
+            for start, end in zip(np.append(0, cuts), np.append(cuts, batch.num_rows)):
+                start, end = int(start), int(end)
+                if start == end:
+                    continue
+                here = (batch.column("source_file")[start].as_py(), int(block[start]))
+                if state is None or (state["file"], state["block"]) != here:
+                    if state is not None and (done := emit(state, values, starts, True)) is not None:
+                        yield done
+                    opened, left_open = (batch.column(c)[start].as_py() for c in ("opened", "left_open"))
+                    state = {"file": here[0], "block": here[1], "opened": opened, "left_open": left_open, "place": 0, "parity": opened}
+                    values, starts = pa.array([], pa.string()), np.zeros(0, np.int64)
+                part = quotes[start:end]
+                before = state["parity"] + np.cumsum(part) - part
+                begins = np.flatnonzero(before % 2 == 0) + len(values)
+                state["parity"] = int(before[-1] + part[-1]) % 2
+                if not len(values) and not (len(begins) and begins[0] == 0):
+                    begins = np.append(0, begins)  # the end of a record that began before the block
+                values = pa.concat_arrays([values, text.slice(start, end - start)])
+                starts = np.append(starts, begins)
+                if (done := emit(state, values, starts, False)) is not None:
+                    yield done
+                    values, starts = values.slice(int(starts[-1])), np.zeros(1, np.int64)
+        if state is not None and (done := emit(state, values, starts, True)) is not None:
+            yield done
+
+    return ordered.select(*BLOCK, "value", "quotes", "opened", "left_open").mapInArrow(
+        run, "source_file string, block long, place long, record string, is_head boolean, goes_on boolean, in_dialect boolean"
     )
-    goes_on = F.coalesce((F.col("left_open") == 1) & (F.col("start") == F.col("last_start")), F.lit(False))
-    return pieces.select(*BLOCK, "place", "record", F.col("start").isNull().alias("is_head"), goes_on.alias("goes_on"))
 
 
 def _records(pieces: DataFrame, line_end: str) -> DataFrame:
@@ -119,5 +185,6 @@ def _records(pieces: DataFrame, line_end: str) -> DataFrame:
     joined = parts.groupBy("source_file", "whole").agg(
         F.array_join(in_order, line_end).alias("record"), F.min(F.struct("block", "place")).alias("first")
     )
-    single = pieces.filter(~is_part).select(*BLOCK, "place", "record")
-    return single.unionByName(joined.select("source_file", "first.block", "first.place", "record"))
+    single = pieces.filter(~is_part).select(*BLOCK, "place", "record", "in_dialect")
+    joined = joined.withColumn("in_dialect", F.lit(None).cast("boolean"))
+    return single.unionByName(joined.select("source_file", "first.block", "first.place", "record", "in_dialect"))
