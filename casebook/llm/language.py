@@ -3,8 +3,8 @@
 Script ranges narrow the languages a word may have, letter n-grams score each word, and Viterbi
 decoding with a penalty per change labels spans of words.
 
-* Training: letter 3- and 4-grams (hashed into ``BUCKETS``) of at most ``per_language`` labelled rows
-  of each language, those with the lowest hashes of key and text. The model is a fixed-size table of log odds.
+* Training: letter 3- and 4-grams (hashed into ``BUCKETS``) of about ``per_language`` labelled texts
+  of each language, those with the lowest hashes. The model is a fixed-size table of log odds.
 * Prediction: every whole text. Long texts are decoded in pieces of ``PIECE`` letters; the scores of
   the last word are carried into the next piece, so memory does not grow with a text.
 * Null text, or text without a letter: language ``und``, score 0, no span. No labelled row at all:
@@ -18,13 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm.common import flat, narrow, place, query, table
 
 BUCKETS = 1 << 17
-PER_LANGUAGE = 4000  # labelled rows that the model is fitted on, per language
+PER_LANGUAGE = 4000  # labelled texts that the model is fitted on, per language
 SWITCH_PENALTY = 8.0  # natural log units that a change of language must gain
 SMOOTHING = 0.05
 PIECE = 1 << 19
@@ -205,11 +205,18 @@ def label_texts(texts: list[str], model: Model, kinds: np.ndarray, penalty: floa
 
 
 def fit(labelled: DataFrame, text: str, lang: str, per_language: int = PER_LANGUAGE) -> Model:
-    """Fits the model on at most ``per_language`` rows of each language; the result has a fixed size per language."""
+    """Fits the model on about ``per_language`` distinct texts of each language, those with the lowest hashes.
+
+    The share of texts that makes so many is counted first, so that only chosen texts are moved. The
+    result has a fixed size per language.
+    """
     spark = labelled.sparkSession
     rows = narrow(labelled, text, lang).toDF("text", "lang").where("text is not null and lang is not null")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text", "lang")))
-    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
+    hashed = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    share = F.lit(0)
+    for name, n in rows.groupBy("lang").agg(F.approx_count_distinct(hashed)).collect():  # one row per language
+        share = F.when(F.col("lang") == name, F.lit(int((1 << 40) * min(1.0, per_language / max(n, 1))))).otherwise(share)
+    chosen = rows.where(hashed < share).groupBy("lang", hashed.alias("hash")).agg(F.first("text").alias("text")).select("lang", "text")
     scripts = len(SCRIPTS) + 2
 
     def count(batches):
