@@ -11,7 +11,8 @@ All pairs of texts with ``den * |A & B| >= num * |A | B|`` are found and joined
    ``MOST_MATCHES``; the cheapest is taken, and a pair must then share so many prefix shingles.
 4. Each document is first verified against one partner per end of its lists. What is linked is
    contracted, so a group of near copies costs a row per member. Only pairs between components are left:
-   per list, members outside its largest component meet the others. They are counted, verified, linked.
+   per list, members outside its largest component meet the others. A pair goes on if the parities of both
+   sets, 1,024 bits each, allow so few differing shingles; then matches are counted, and sets compared.
 
 * Words: after lower-casing A-Z, runs of anything but space and 0x09-0x0D. Texts with fewer words than a
   shingle have one shingle, the whole sequence; null texts and texts without words have none and are
@@ -40,6 +41,7 @@ MOST_MATCHES = 4
 VERIFY_COST = 0.02  # of one shingle of a candidate, against one list entry
 MOST_BITS = 28  # of the counters: a map of 32 MB at most
 MOST_FREQUENT = 1 << 21  # shingles whose counts are told to all tasks: 16 MB at most
+PARITY_BITS = 1024
 FLUSH = 1 << 22
 PART_BYTES = 1 << 20
 
@@ -197,15 +199,23 @@ def prefixes(rows: DataFrame, words: int, num: int, den: int, bits: int, shared)
     return rows.select("row_id", "text").mapInArrow(run, "row_id long, n long, digest binary, tokens array<long>, places array<int>")
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Of how many shingles fall in each of PARITY_BITS classes, as bits. Two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((found >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def sets_of(rows: DataFrame, words: int) -> DataFrame:
     def run(batches):
         for whole in batches:
             for offset in range(0, whole.num_rows, 1000):
                 batch = whole.slice(offset, 1000)
-                found = [shingles(t, words).tobytes() for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "items"])
+                found = [shingles(t, words) for t in batch.column(1).to_pylist()]
+                items = pa.array([s.tobytes() for s in found], pa.binary())
+                bits = pa.array([parities(s) for s in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), items, bits], names=["id", "items", "bits"])
 
-    return rows.select("row_id", "text").mapInArrow(run, "id long, items binary")
+    return rows.select("row_id", "text").mapInArrow(run, "id long, items binary, bits array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -246,6 +256,13 @@ def may_match(x: str, y: str, num: int, den: int) -> Column:
     )
 
 
+def may_be_similar(x: str, y: str, num: int, den: int) -> Column:
+    """False where the parities show more differing shingles than a similar pair of these sizes can have."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(PARITY_BITS // 64)]
+    return sum(differ[1:], differ[0]) <= n + m - 2 * pair_overlap(n, m, num, den)
+
+
 def with_matches(lists: DataFrame, num: int, den: int) -> DataFrame:
     """Adds ``matches``: how many shared prefix shingles are asked for, the cheapest number by the document's lists."""
     own = F.ceil(F.col("n") * num / F.lit(float(den)) - F.lit(1e-9))
@@ -304,13 +321,14 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
     )
     per_list = grouped.groupBy("token", "component").agg(F.count("*").alias("members"))
     main = per_list.groupBy("token").agg(F.count("*").alias("groups"), F.max_by("component", F.struct("members", "component")).alias("main"))
-    mixed = scratch.store(grouped.join(main.where("groups > 1").select("token", "main"), "token"), "mixed")
+    mixed = grouped.join(main.where("groups > 1").select("token", "main"), "token").join(sets.select("id", "bits"), "id")
+    mixed = scratch.store(mixed, "mixed")
     x, y = mixed.where("component <> main").alias("x"), mixed.alias("y")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
     across = F.col("x.component") != F.col("y.component")
     need = pair_overlap(F.col("x.n"), F.col("y.n"), num, den)
     crossing = (
-        x.join(y, (F.col("x.token") == F.col("y.token")) & across & once & may_match("x", "y", num, den))
+        x.join(y, (F.col("x.token") == F.col("y.token")) & across & once & may_match("x", "y", num, den) & may_be_similar("x", "y", num, den))
         .select(
             F.least("x.id", "y.id").alias("a"),
             F.greatest("x.id", "y.id").alias("b"),
