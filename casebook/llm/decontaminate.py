@@ -331,7 +331,33 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return found.where("not contaminated").select(*flat(docs).columns).toDF(*names)
 
 
-@query("op8_decontamination")
+WORDS_SQL = r"""list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
+
+@query(
+    "op8_decontamination",
+    f"""
+    WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+    tests AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
+    sized AS (SELECT item, w, least(13, len(w)) AS size FROM tests WHERE len(w) > 0),
+    starts AS (SELECT item, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM sized),
+    windows AS (SELECT DISTINCT item, size, list_slice(w, pos, pos + size - 1) AS words FROM starts),
+    sizes AS (SELECT DISTINCT size FROM windows),
+    places AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM docs, sizes),
+    hits AS (SELECT p.doc_id, p.pos, p.size, x.item FROM places p JOIN windows x
+        ON p.size = x.size AND list_slice(p.w, p.pos, p.pos + p.size - 1) = x.words),
+    covered AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+        FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM hits) GROUP BY doc_id),
+    found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
+        sha256(coalesce(f.items, '')) AS items_sha256,
+        coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
+    FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN found f ON f.doc_id = d.doc_id
+    """,
+)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_hits(find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
     return found.select(

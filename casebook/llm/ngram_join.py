@@ -379,6 +379,37 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return without(rows, "row_id", dropped, bits).drop("row_id").toDF(*docs.columns)
 
 
-@query("op2_ngram_join")
+@query(
+    "op2_ngram_join",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE list_distinct(list_transform(
+            range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) END AS shingles
+        FROM words
+    ), kinds AS (
+        SELECT min(doc_id) AS kind, list_sort(shingles) AS shingles, len(shingles) AS n FROM sets WHERE len(shingles) > 0 GROUP BY 2, 3
+    ), items AS (
+        SELECT kind, n, unnest(shingles) AS shingle FROM kinds
+    ), links AS (
+        SELECT a.kind AS a, b.kind AS b FROM items a JOIN items b ON a.shingle = b.shingle AND a.kind < b.kind
+            AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+        GROUP BY a.kind, b.kind, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+    ), edges AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reached AS (
+        SELECT kind AS origin, kind AS found FROM kinds
+        UNION SELECT r.origin, e.b FROM reached r JOIN edges e ON r.found = e.a
+    ), parts AS (
+        SELECT origin, min(found) AS component FROM reached GROUP BY origin
+    )
+    SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(p.component, s.doc_id) AS component_id
+    FROM sets s LEFT JOIN kinds k ON list_sort(s.shingles) = k.shingles LEFT JOIN parts p ON p.origin = k.kind
+    """,
+)
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
