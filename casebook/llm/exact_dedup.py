@@ -27,8 +27,9 @@ NO_NAME = -1  # the right half of an odd pair
 
 
 def numbered(scratch: Scratch, values: DataFrame, by: list[str], name: str) -> DataFrame:
-    """The distinct rows of ``values`` in sorted order with an integer each, stored once."""
-    return scratch.store(values.distinct().orderBy(*by).withColumn("name", F.monotonically_increasing_id()), name)
+    """The distinct rows of ``values``, sorted in each partition of a shuffle, with an integer each; stored once."""
+    ordered = values.distinct().sortWithinPartitions(*by)
+    return scratch.store(ordered.withColumn("name", F.monotonically_increasing_id()), name)
 
 
 def named(scratch: Scratch, rows: DataFrame) -> DataFrame:
@@ -75,8 +76,7 @@ def classified(scratch: Scratch, rows: DataFrame, key: str, text: str, block: in
         "hashed",
     )
     each = hashed.select("row_id", F.explode("hashes").alias("hash"))
-    single = each.groupBy("hash").agg(F.count("*").alias("n")).where("n = 1")
-    lonely = each.join(single, "hash").select("row_id").distinct()
+    lonely = each.groupBy("hash").agg(F.count("*").alias("n"), F.min("row_id").alias("row_id")).where("n = 1").select("row_id")
     twins = scratch.store(hashed.select("row_id").join(lonely, "row_id", "left_anti"), "twins")
 
     near = may_hold(texts, "row_id", scratch.store(bitmap(twins, "row_id"), "twin-bits"))
