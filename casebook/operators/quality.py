@@ -44,6 +44,20 @@ REPORT_TABLE_HEAD = "| Check | Status | Severity | Observed Value | Rule |"
 REPORT_TABLE_RULE = "|---|---|---|---:|---|"
 REPORT_MISSING = "Critical failure: missing required columns."
 
+# The rules as the records state them.
+REQUIRED_RULE = "All required columns must exist"
+REQUIRED_PRESENT = "All required columns exist"
+REQUIRED_MISSING = "Missing columns: {}"
+ROW_COUNT_RULE = "Row count must be between {} and {}"
+ROW_COUNT_DETAILS = "Validates the expected data volume"
+NOT_NULL_RULE = "{} must not be null"
+CASTABLE_RULE = "{} must be castable to {}"
+UNIQUE_RULE = "{} must be unique"
+NO_DUPLICATES_RULE = "No duplicate {} rows"
+TIMESTAMP_RULE = "{} must be parseable as timestamp"
+NOT_FUTURE_RULE = "{} must not be in the future"
+RANGE_RULE = "{} should be within [{}, {}]"
+
 RESULT_SCHEMA = ", ".join(f"{name} STRING" for name in RESULT_COLUMNS)
 
 
@@ -97,14 +111,14 @@ class Suite:
 
 
 def null_check(name: str, column: Column | str, label: str) -> RowCheck:
-    return RowCheck(name, blank(column), f"{label} must not be null", f"{label} is NULL or blank")
+    return RowCheck(name, blank(column), NOT_NULL_RULE.format(label), f"{label} is NULL or blank")
 
 
 def cast_check(name: str, column: Column | str, type_: str, label: str) -> RowCheck:
     return RowCheck(
         name,
         uncastable(column, type_),
-        f"{label} must be castable to {type_.upper()}",
+        CASTABLE_RULE.format(label, type_.upper()),
         f"{label} has content that is no {type_.upper()}",
     )
 
@@ -118,13 +132,13 @@ def time_checks(invalid_name: str, future_name: str, column: str, label: str, no
         RowCheck(
             invalid_name,
             present(column) & F.col(parsed).isNull(),
-            f"{label} must be parseable as timestamp",
+            TIMESTAMP_RULE.format(label),
             f"{label} has content that is no timestamp",
         ),
         RowCheck(
             future_name,
             F.col(parsed) > moment,
-            f"{label} must not be in the future",
+            NOT_FUTURE_RULE.format(label),
             f"{label} lies after the time of the check",
         ),
     ]
@@ -135,7 +149,7 @@ def range_check(name: str, column: Column | str, low: float, high: float, label:
     return RowCheck(
         name,
         outside(column, low, high),
-        f"{label} should be within [{low}, {high}]",
+        RANGE_RULE.format(label, low, high),
         f"{label} has content that is no number in the range",
         WARNING,
     )
@@ -143,7 +157,7 @@ def range_check(name: str, column: Column | str, low: float, high: float, label:
 
 def key_check(groups_name: str, rows_name: str, column: str, type_: str, label: str) -> KeyCheck:
     return KeyCheck(
-        safe_cast(column, type_), groups_name, rows_name, f"{label} must be unique", f"No duplicate {label} rows"
+        safe_cast(column, type_), groups_name, rows_name, UNIQUE_RULE.format(label), NO_DUPLICATES_RULE.format(label)
     )
 
 
@@ -210,8 +224,8 @@ def assess(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
             "FAIL",
             CRITICAL,
             F.lit(",".join(missing) if missing else "none"),
-            "All required columns must exist",
-            f"Missing columns: {missing}" if missing else "All required columns exist",
+            REQUIRED_RULE,
+            REQUIRED_MISSING.format(missing) if missing else REQUIRED_PRESENT,
         ),
         _record(
             2,
@@ -220,8 +234,8 @@ def assess(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
             "FAIL",
             CRITICAL,
             F.col("total_rows"),
-            f"Row count must be between {suite.min_rows} and {suite.max_rows}",
-            "Validates the expected data volume",
+            ROW_COUNT_RULE.format(suite.min_rows, suite.max_rows),
+            ROW_COUNT_DETAILS,
         ),
     ]
     frames = []
