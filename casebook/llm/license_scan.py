@@ -136,6 +136,7 @@ def scan(files: DataFrame, key: str, path: str, text: str, templates: list[tuple
     ancestors = folders.select("folder", F.explode(F.array_distinct(above)).alias("ancestor"))
     nearest = ancestors.join(licensed.withColumnRenamed("folder", "ancestor"), "ancestor")
     nearest = nearest.groupBy("folder").agg(F.max_by("given", F.length("ancestor")).alias("given"))
+    nearest = scratch.store(nearest, "nearest")  # of known size, so that files are not dealt by folder if it is small
     joined = found.join(nearest, "folder", "left")
     mine = F.col("licence").isNotNull()
     given = lambda f: F.when(F.col("path").isNotNull(), F.col(f"given.{f}"))
