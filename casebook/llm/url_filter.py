@@ -116,7 +116,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: list[
     found = templates(scratch, paths.withColumn("blocked", F.coalesce("b", F.lit(0))).drop("b"), depth)
     found = scratch.store(found, "templates")
     purity = (F.sum("blocked") + PRIOR_LABELS / 2) / (F.sum("labelled") + PRIOR_LABELS)
-    pure = found.groupBy("host", "template").agg(purity.alias("purity"))
+    pure = scratch.store(found.groupBy("host", "template").agg(purity.alias("purity")), "pure")  # of known size
     judged = found.select("host", "path", "template").join(pure, ["host", "template"])
     own = F.when(F.col("purity") >= REJECT_PURITY, "block").otherwise("allow")
     joined = rows.join(judged, ["host", "path"])
