@@ -43,6 +43,7 @@ MOST_BITS = 28  # of the counters: a map of 32 MB at most
 MOST_FREQUENT = 1 << 21  # shingles whose counts are told to all tasks: 16 MB at most
 PARITY_BITS = 1024
 FLUSH = 1 << 22
+DOCUMENTS_PER_TASK = 100_000  # whose counters one task sums up at most, as long as there are counters enough
 PART_BYTES = 1 << 20
 
 TO_WORDS = bytes((b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b) for b in range(256))
@@ -80,7 +81,7 @@ def own_overlap(n, num: int, den: int):
     return -(-n * num // den)
 
 
-def count_shingles(scratch: Scratch, rows: DataFrame, words: int, bits: int) -> DataFrame:
+def count_shingles(scratch: Scratch, rows: DataFrame, words: int, bits: int, expected: int) -> DataFrame:
     """Per block of 65,536 counters: the sum, a bit for each counter over one, and counters of 8 or more."""
 
     def local(batches):
@@ -126,6 +127,7 @@ def count_shingles(scratch: Scratch, rows: DataFrame, words: int, bits: int) ->
             yield record(done(current, counts))
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, min(1 << (bits - 16), expected // DOCUMENTS_PER_TASK))
     lists = rows.select("text").mapInArrow(local, "block int, low binary")
     summed = lists.repartition(parts, "block").sortWithinPartitions("block")
     return scratch.store(summed.mapInArrow(total, "block int, total long, repeats binary, high binary, counts binary"), "counts")
@@ -278,8 +280,9 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
     A class is the smallest ``row_id`` of the rows with its set.
     """
     spark = rows.sparkSession
-    bits = min(MOST_BITS, max(18, math.ceil(math.log2(rows.count() + 1)) + 10))
-    counts = count_shingles(scratch, rows, words, bits)
+    expected = rows.count()
+    bits = min(MOST_BITS, max(18, math.ceil(math.log2(expected + 1)) + 10))
+    counts = count_shingles(scratch, rows, words, bits, expected)
     shared = spark.sparkContext.broadcast(frequencies(counts, bits))
     documents = scratch.store(prefixes(rows, words, num, den, bits, shared), "documents")
 
@@ -361,7 +364,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     rows = scratch.store(narrow(docs, key, text).toDF("key", "text").withColumn("row_id", F.monotonically_increasing_id()), "rows")
     found = groups(scratch, rows, "key", "text", words, similarity).join(rows.select("row_id", "key"), "row_id")
     found = scratch.store(found, "found")
-    least = found.groupBy("component").agg(F.min("key").alias("component_id"))
+    # stored apart, so that the join can split the rows of a hot component
+    least = scratch.store(found.groupBy("component").agg(F.min("key").alias("component_id")), "least")
     return found.join(least, "component").select(F.col("key").alias(key), "n_shingles", "component_id")
 
 
