@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import narrow, query, table
+from casebook.llm.common import narrow, query, table, text_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLES = ("assistant",)
@@ -124,6 +124,7 @@ def format_chats(
     loss_roles: tuple[str, ...] = LOSS_ROLES,
 ) -> DataFrame:
     """One row per conversation: its key, ``formatted``, and ``loss`` as an array of ``[start, end]`` in code points."""
+    text_batches(turns.sparkSession)
     rows = narrow(turns, key, turn, role, text).toDF("key", "turn", "role", "text")
     rows = rows.select("key", "turn", F.col("role").cast("string"), F.col("text").cast("string"))
     key_type = rows.schema["key"].dataType.simpleString()

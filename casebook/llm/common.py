@@ -13,7 +13,8 @@ from casebook.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FILTER_WORDS = 1 << 18  # 64 bits each: 2 MB, whatever the input
+BATCH_BYTES = "8m"
+FEWEST_WORDS, FILTER_WORDS = 1 << 14, 1 << 20  # of 64 bits in a key filter: 16 MB at most, whatever the input
 
 
 @dataclass(frozen=True)
@@ -39,10 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_BYTES between Spark and Python: whole texts make the usual 64 MB heavy on a task's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 class Scratch:
     """Tables written to the shared folder, so that later steps neither compute nor number rows anew."""
 
     def __init__(self, spark: SparkSession, label: str):
+        text_batches(spark)
         self.spark = spark
         self.base = shared_dir(spark, label)
         self._schemas: dict[str, object] = {}
@@ -86,41 +93,53 @@ def narrow(df: DataFrame, *names: str) -> DataFrame:
 def lower_ascii(text: Column) -> Column:
     """Lower case for A-Z only; null becomes empty."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
+    value = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(value) == F.char_length(value)  # these are lowered byte by byte, with next to no garbage
+    return F.when(ascii_only, F.lower(value)).otherwise(F.translate(value, upper, upper.lower()))
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """Rows ``(word, bits)`` of a bit map of keys: at most ``words`` of them, so small enough to broadcast."""
+
+    bits: DataFrame
+    words: int
 
 
-def bitmap(keys: DataFrame, column: str, words: int = FILTER_WORDS) -> DataFrame:
-    """A filter over ``words * 64`` bits: rows ``(word, bits)``, at most ``words`` of them.
+def key_filter(scratch: Scratch, keys: DataFrame, column: str, name: str) -> KeyFilter:
+    """A filter over the stored ``keys``: eight bits for each key, but no more than FILTER_WORDS words.
 
-    It is small enough to broadcast whatever the number of keys. Keys that are in always pass
-    ``may_hold``; others may pass, so an exact join follows.
+    Keys that are in always pass; of others one in eight does, and more of them if the keys
+    are too many for the map. So an exact join follows, which then has less to do.
     """
+    words = FEWEST_WORDS
+    wanted = keys.count() / 8
+    while words < wanted and words < FILTER_WORDS:
+        words *= 2
     bit = F.pmod(F.xxhash64(column), F.lit(words * 64))
-    return (
-        keys.select(bit.alias("bit"))
-        .groupBy((F.shiftright("bit", 6)).cast("int").alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("bits"))
-    )
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
+    by_word = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("word"))
+    return KeyFilter(scratch.store(by_word.agg(F.bit_or(mask).alias("bits")), name), words)
 
 
-def _flagged(df: DataFrame, column: str, bits: DataFrame, words: int) -> DataFrame:
-    bit = F.pmod(F.xxhash64(column), F.lit(words * 64))
-    renamed = bits.select(F.col("word").alias("_filter_word"), F.col("bits").alias("_filter_bits"))
+def _flagged(df: DataFrame, column: str, keys: KeyFilter) -> DataFrame:
+    bit = F.pmod(F.xxhash64(column), F.lit(keys.words * 64))
+    renamed = keys.bits.select(F.col("word").alias("_filter_word"), F.col("bits").alias("_filter_bits"))
     joined = df.join(F.broadcast(renamed), F.shiftright(bit, 6).cast("int") == F.col("_filter_word"), "left")
     held = F.call_function("shiftright", F.col("_filter_bits"), (bit % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
     return joined.withColumn("_held", F.coalesce(held, F.lit(False))).drop("_filter_word", "_filter_bits")
 
 
-def may_hold(df: DataFrame, column: str, bits: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
-    """The rows of ``df`` whose key may be in ``bits``; no shuffle of ``df``."""
-    return _flagged(df, column, bits, words).where("_held").drop("_held")
+def may_hold(df: DataFrame, column: str, keys: KeyFilter) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys``; no shuffle of ``df``."""
+    return _flagged(df, column, keys).where("_held").drop("_held")
 
 
-def without(df: DataFrame, column: str, keys: DataFrame, bits: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
-    """The rows of ``df`` whose key is not in ``keys``. Only rows that the filter ``bits`` of ``keys`` holds are shuffled."""
-    flagged = _flagged(df, column, bits, words)
+def without(df: DataFrame, column: str, dropped: DataFrame, keys: KeyFilter) -> DataFrame:
+    """The rows of ``df`` whose key is not in ``dropped``. Only rows that the filter ``keys`` of ``dropped`` holds are shuffled."""
+    flagged = _flagged(df, column, keys)
     sure = flagged.where("not _held").drop("_held")
-    return sure.union(flagged.where("_held").drop("_held").join(keys.select(column), column, "left_anti").select(sure.columns))
+    return sure.union(flagged.where("_held").drop("_held").join(dropped.select(column), column, "left_anti").select(sure.columns))
 
 
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
@@ -134,6 +153,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         f"{name}-0",
     )
+    if current.isEmpty():
+        return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     digest = None
     for step in range(1, 200):
         both = current.union(current.select("b", "a"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import Scratch, flat, narrow, place, query, table
+from casebook.llm.common import Scratch, flat, narrow, place, query, table, text_batches
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -234,6 +234,7 @@ RESULT = "n_words long, spans array<array<int>>, items array<string>"
 
 def scan(rows: DataFrame, shared, window: int, shard_words: int) -> DataFrame:
     """``rows``: columns to keep, then the text. The text is replaced by the columns of RESULT."""
+    text_batches(rows.sparkSession)
     kept = rows.schema.fields[:-1]
 
     def run(batches):

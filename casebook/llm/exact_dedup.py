@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import Scratch, bitmap, flat, lower_ascii, may_hold, narrow, place, query, table, without
+from casebook.llm.common import Scratch, flat, key_filter, lower_ascii, may_hold, narrow, place, query, table, without
 
 BLOCK_BYTES = 2048
 NO_NAME = -1  # the right half of an odd pair
@@ -79,7 +79,7 @@ def classified(scratch: Scratch, rows: DataFrame, key: str, text: str, block: in
     lonely = each.groupBy("hash").agg(F.count("*").alias("n"), F.min("row_id").alias("row_id")).where("n = 1").select("row_id")
     twins = scratch.store(hashed.select("row_id").join(lonely, "row_id", "left_anti"), "twins")
 
-    near = may_hold(texts, "row_id", scratch.store(bitmap(twins, "row_id"), "twin-bits"))
+    near = may_hold(texts, "row_id", key_filter(scratch, twins, "row_id", "twin-bits"))
     cut = scratch.store(near.join(twins, "row_id").select("row_id", F.posexplode(blocks).alias("pos", "block")), "cut")
     members = named(scratch, cut).join(rows.select("row_id", F.col(f"`{key}`").alias("_key")), "row_id")
     group = members.groupBy("round", "name").agg(
@@ -120,9 +120,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", block:
     scratch = Scratch(docs.sparkSession, "exact-dedup")
     rows = scratch.store(flat(docs).withColumn("row_id", F.monotonically_increasing_id()), "rows")
     _, found = classified(scratch, rows, place(docs, key), place(docs, text), block)
-    dropped = found.where("keep_row <> row_id").select("row_id")
-    bits = scratch.store(bitmap(dropped, "row_id"), "dropped-bits")
-    return without(rows, "row_id", dropped, bits).drop("row_id").toDF(*docs.columns)
+    dropped = scratch.store(found.where("keep_row <> row_id").select("row_id"), "dropped")
+    return without(rows, "row_id", dropped, key_filter(scratch, dropped, "row_id", "dropped-bits")).drop("row_id").toDF(*docs.columns)
 
 
 @query(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import flat, narrow, place, query, table
+from casebook.llm.common import flat, narrow, place, query, table, text_batches
 
 BUCKETS = 1 << 17
 PER_LANGUAGE = 4000  # labelled texts that the model is fitted on, per language
@@ -210,7 +210,7 @@ def fit(labelled: DataFrame, text: str, lang: str, per_language: int = PER_LANGU
     The share of texts that makes so many is counted first, so that only chosen texts are moved. The
     result has a fixed size per language.
     """
-    spark = labelled.sparkSession
+    text_batches(labelled.sparkSession)
     rows = narrow(labelled, text, lang).toDF("text", "lang").where("text is not null and lang is not null")
     hashed = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
     share = F.lit(0)
@@ -250,6 +250,7 @@ def fit(labelled: DataFrame, text: str, lang: str, per_language: int = PER_LANGU
 
 def identify(docs: DataFrame, model: Model, text: str = "text", penalty: float = SWITCH_PENALTY, spans: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns of ``docs`` in ``keep``, ``lang_pred``, ``score``, and with ``spans`` an array of ``(start, end, lang)`` in code points."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.allowed))  # plain values: broadcasts are not pickled by value
     flattened = flat(docs)
     source = flattened.select(*[place(docs, c) for c in keep], F.col(place(docs, text)).cast("string").alias("text"))

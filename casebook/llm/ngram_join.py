@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import Scratch, bitmap, components, flat, may_hold, narrow, place, query, table, without
+from casebook.llm.common import Scratch, components, flat, key_filter, may_hold, narrow, place, query, table, without
 
 SHINGLE_WORDS = 3
 SIMILARITY = (90, 100)
@@ -286,7 +286,8 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
     shared = spark.sparkContext.broadcast(frequencies(counts, bits))
     documents = scratch.store(prefixes(rows, words, num, den, bits, shared), "documents")
 
-    classes = documents.where("n > 0").groupBy("digest").agg(F.min("row_id").alias("id"))
+    # stored apart, so that the join can split the rows of a hot set
+    classes = scratch.store(documents.where("n > 0").groupBy("digest").agg(F.min("row_id").alias("id")), "sets-seen")
     classed = documents.select("row_id", "n", "digest").join(classes, "digest", "left").select("row_id", "n", "id")
     classed = scratch.store(classed, "classes")
     first = classed.where("row_id = id").select("row_id")
@@ -304,7 +305,7 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
 
     live = lists.select("id").distinct()
     ids = scratch.store(live.select(F.col("id").alias("row_id")), "live")
-    near = may_hold(rows, "row_id", scratch.store(bitmap(ids, "row_id"), "live-bits"))
+    near = may_hold(rows, "row_id", key_filter(scratch, ids, "row_id", "live-bits"))
     sets = scratch.store(sets_of(near, words), "sets")
 
     ends = []
@@ -379,8 +380,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     order = F.struct(F.col("key").isNull().alias("unknown"), "key", "row_id")
     keep = found.groupBy("component").agg(F.min(order)["row_id"].alias("keep"))
     dropped = scratch.store(found.join(keep, "component").where("row_id <> keep").select("row_id"), "dropped")
-    bits = scratch.store(bitmap(dropped, "row_id"), "dropped-bits")
-    return without(rows, "row_id", dropped, bits).drop("row_id").toDF(*docs.columns)
+    return without(rows, "row_id", dropped, key_filter(scratch, dropped, "row_id", "dropped-bits")).drop("row_id").toDF(*docs.columns)
 
 
 @query(

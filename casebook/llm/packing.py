@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm.common import narrow, query, table
+from casebook.llm.common import narrow, query, table, text_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -136,6 +136,7 @@ def pack(
 
     ``tokenizer`` and ``ranks`` are files that every executor can read; by default those of the installed package.
     """
+    text_batches(docs.sparkSession)
     source = narrow(docs, key, text).toDF("key", "text")
     key_type = source.schema["key"].dataType.simpleString()
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from casebook.llm import ngram_join
-from casebook.llm.common import Scratch, components
+from casebook.llm.common import Scratch, components, key_filter, may_hold, without
 from tests.llm.frames import documents, edge_documents, empty
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -122,3 +122,13 @@ def test_components(spark):
     found = components(Scratch(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "c")
     got = {r.id: r.component for r in found.collect()}
     assert {x: got.get(x, x) for x in union} == {x: union.find(x) for x in union}
+
+
+def test_key_filter_lets_all_keys_pass(spark):
+    scratch = Scratch(spark, "test")
+    keys = scratch.store(spark.range(0, 5000, 3).withColumnRenamed("id", "row_id"), "keys")
+    rows = spark.range(5000).withColumnRenamed("id", "row_id")
+    held = key_filter(scratch, keys, "row_id", "bits")
+    passed = {r.row_id for r in may_hold(rows, "row_id", held).collect()}
+    assert passed >= set(range(0, 5000, 3)) and len(passed) < 2000
+    assert sorted(r.row_id for r in without(rows, "row_id", keys, held).collect()) == [i for i in range(5000) if i % 3]
