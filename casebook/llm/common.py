@@ -14,6 +14,7 @@ from casebook.session import shared_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_BYTES = "8m"
+ROWS_PER_TASK = 250_000  # of narrow tables
 FEWEST_WORDS, FILTER_WORDS = 1 << 14, 1 << 20  # of 64 bits in a key filter: 16 MB at most, whatever the input
 
 
@@ -57,8 +58,14 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes ``df`` and reads it back; rows keep what was written even if executors are lost."""
+    def store(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Writes ``df`` and reads it back; rows keep what was written even if executors are lost.
+
+        Give ``rows``, the most there can be, for narrow tables that are cheap to compute: they
+        are then written by no more tasks, and into no more files, than so many rows need.
+        """
+        if rows is not None:
+            df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
         df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
@@ -113,13 +120,14 @@ def key_filter(scratch: Scratch, keys: DataFrame, column: str, name: str) -> Key
     are too many for the map. So an exact join follows, which then has less to do.
     """
     words = FEWEST_WORDS
-    wanted = keys.count() / 8
+    total = keys.count()
+    wanted = total / 8
     while words < wanted and words < FILTER_WORDS:
         words *= 2
     bit = F.pmod(F.xxhash64(column), F.lit(words * 64))
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
     by_word = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("word"))
-    return KeyFilter(scratch.store(by_word.agg(F.bit_or(mask).alias("bits")), name), words)
+    return KeyFilter(scratch.store(by_word.agg(F.bit_or(mask).alias("bits")), name, min(total, words)), words)
 
 
 def _flagged(df: DataFrame, column: str, keys: KeyFilter) -> DataFrame:
@@ -153,7 +161,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         f"{name}-0",
     )
-    if current.isEmpty():
+    total = current.count()  # contraction never adds edges
+    if not total:
         return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     digest = None
     for step in range(1, 200):
@@ -163,7 +172,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         down = large.where("a > b")
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         hung = down.join(least, "a").where("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
-        following = scratch.store(hung.union(least.select("a", F.col("m").alias("b"))).distinct(), f"{name}-{step}")
+        following = scratch.store(hung.union(least.select("a", F.col("m").alias("b"))).distinct(), f"{name}-{step}", total)
         scratch.drop(f"{name}-{step - 1}")
         summary = following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(summary) == digest:

@@ -26,43 +26,38 @@ BLOCK_BYTES = 2048
 NO_NAME = -1  # the right half of an odd pair
 
 
-def numbered(scratch: Scratch, values: DataFrame, by: list[str], name: str) -> DataFrame:
+def numbered(scratch: Scratch, values: DataFrame, by: list[str], name: str, rows: int | None = None) -> DataFrame:
     """The distinct rows of ``values``, sorted in each partition of a shuffle, with an integer each; stored once."""
     ordered = values.distinct().sortWithinPartitions(*by)
-    return scratch.store(ordered.withColumn("name", F.monotonically_increasing_id()), name)
+    return scratch.store(ordered.withColumn("name", F.monotonically_increasing_id()), name, rows)
 
 
 def named(scratch: Scratch, rows: DataFrame) -> DataFrame:
-    """``rows (row_id, pos, block)`` to ``(row_id, round, name)``: one name per document."""
+    """``rows (row_id, pos, parts, block)`` to ``(row_id, round, name)``: one name per document.
+
+    ``parts`` is the number of names that the document still has.
+    """
     names = numbered(scratch, rows.select("block"), ["block"], "blocks")
-    level = scratch.store(rows.join(names, "block").select("row_id", "pos", "name"), "level-0")
-    done = []
-    step = 0
+    level = scratch.store(rows.join(names, "block").select("row_id", "pos", "parts", "name"), "level-0")
+    result, step = None, 0
     while True:
-        sizes = scratch.store(level.groupBy("row_id").agg(F.count("*").alias("names")), f"sizes-{step}")
-        open_ids = sizes.where("names > 1").select("row_id")
-        whole = level.join(sizes.where("names = 1").select("row_id"), "row_id")
-        done.append(scratch.store(whole.select("row_id", F.lit(step).alias("round"), "name"), f"done-{step}"))
-        if open_ids.isEmpty():
-            break
-        half = F.shiftright("pos", 1)
+        done = level.where("parts = 1").select("row_id", F.lit(step).alias("round"), "name")
+        result = done if result is None else result.union(done)
+        left = level.where("parts > 1")
+        total = left.count()
+        if not total:
+            return result
         value = F.col("name")
-        pairs = scratch.store(
-            level.join(open_ids, "row_id")
-            .groupBy("row_id", half.alias("pos"))
-            .agg(
-                F.max(F.when(F.col("pos") % 2 == 0, value)).alias("left"),
-                F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, value)), F.lit(NO_NAME)).alias("right"),
-            ),
-            f"pairs-{step}",
+        pairs = left.groupBy("row_id", F.shiftright("pos", 1).alias("pos")).agg(
+            F.shiftright(F.first("parts") + 1, 1).alias("parts"),
+            F.max(F.when(F.col("pos") % 2 == 0, value)).alias("left"),
+            F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, value)), F.lit(NO_NAME)).alias("right"),
         )
-        names = numbered(scratch, pairs.select("left", "right"), ["left", "right"], f"names-{step}")
+        pairs = scratch.store(pairs, f"pairs-{step}", total)
+        names = numbered(scratch, pairs.select("left", "right"), ["left", "right"], f"names-{step}", total)
         step += 1
-        level = scratch.store(pairs.join(names, ["left", "right"]).select("row_id", "pos", "name"), f"level-{step}")
-    result = done[0]
-    for part in done[1:]:
-        result = result.union(part)
-    return result
+        level = scratch.store(pairs.join(names, ["left", "right"]).select("row_id", "pos", "parts", "name"), f"level-{step}", total)
+        scratch.drop(f"pairs-{step - 1}", f"names-{step - 1}")
 
 
 def classified(scratch: Scratch, rows: DataFrame, key: str, text: str, block: int) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +75,10 @@ def classified(scratch: Scratch, rows: DataFrame, key: str, text: str, block: in
     twins = scratch.store(hashed.select("row_id").join(lonely, "row_id", "left_anti"), "twins")
 
     near = may_hold(texts, "row_id", key_filter(scratch, twins, "row_id", "twin-bits"))
-    cut = scratch.store(near.join(twins, "row_id").select("row_id", F.posexplode(blocks).alias("pos", "block")), "cut")
+    parts = F.greatest(F.ceil(F.length(norm) / block), F.lit(1)).cast("int")
+    whole = F.transform(starts, lambda i: F.struct(i.alias("pos"), parts.alias("parts"), F.substring(norm, i * block + 1, F.lit(block)).alias("block")))
+    cut = near.join(twins, "row_id").select("row_id", F.explode(whole).alias("b")).select("row_id", "b.*")
+    cut = scratch.store(cut, "cut")
     members = named(scratch, cut).join(rows.select("row_id", F.col(f"`{key}`").alias("_key")), "row_id")
     group = members.groupBy("round", "name").agg(
         F.count("*").alias("group_size"),
