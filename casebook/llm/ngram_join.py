@@ -9,8 +9,8 @@ All pairs of texts with ``den * |A & B| >= num * |A | B|`` are found and joined
    Documents with equal sets become one; shingles that occur once are never moved.
 3. The lengths of the lists a document's prefix meets give its estimated cost for each ``l`` up to
    ``MOST_MATCHES``; the cheapest is taken, and a pair must then share so many prefix shingles.
-4. Each document is first verified against one partner per end of its lists. What is linked is
-   contracted, so a group of near copies costs a row per member. Only pairs between components are left:
+4. Each document is first verified against pivots of its lists, in STAR_ROUNDS rounds. What is linked is
+   contracted, so a group of near copies costs rows per member. Only pairs between components are left:
    per list, members outside its largest component meet the others. A pair goes on if the parities of both
    sets, 1,024 bits each, allow so few differing shingles; then matches are counted, and sets compared.
 
@@ -42,6 +42,7 @@ VERIFY_COST = 0.02  # of one shingle of a candidate, against one list entry
 MOST_BITS = 28  # of the counters: a map of 32 MB at most
 MOST_FREQUENT = 1 << 21  # shingles whose counts are told to all tasks: 16 MB at most
 PARITY_BITS = 1024
+STAR_ROUNDS = 1  # of linking documents to pivots, before pairs are formed
 FLUSH = 1 << 22
 DOCUMENTS_PER_TASK = 100_000  # whose counters one task sums up at most, as long as there are counters enough
 PART_BYTES = 1 << 20
@@ -155,7 +156,7 @@ def frequencies(counts: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray, n
 
     repeats = np.zeros((1 << bits) // 8, np.uint8)
     high, number = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-    for row in counts.mapInArrow(select, "block int, repeats binary, high binary, counts binary").orderBy("block").collect():
+    for row in counts.mapInArrow(select, "block int, repeats binary, high binary, counts binary").orderBy("block").toLocalIterator():
         repeats[row.block << 13 : (row.block + 1) << 13] = np.frombuffer(row.repeats, np.uint8)
         high.append(np.frombuffer(row.high, "<u2").astype(np.uint32) + np.uint32(row.block << 16))
         number.append(np.frombuffer(row.counts, "<u4"))
@@ -266,12 +267,42 @@ def may_be_similar(x: str, y: str, num: int, den: int) -> Column:
 
 
 def with_matches(lists: DataFrame, num: int, den: int) -> DataFrame:
-    """Adds ``matches``: how many shared prefix shingles are asked for, the cheapest number by the document's lists."""
+    """Adds ``matches``, how many shared prefix shingles are asked for, the cheapest number by the document's lists,
+    and ``weight``, the other entries of those lists: high for the documents in the middle of a group of near copies,
+    as they have the fewest rare shingles of their own.
+    """
     own = F.ceil(F.col("n") * num / F.lit(float(den)) - F.lit(1e-9))
     meets = [F.sum(F.when(F.col("place") < F.col("n") - own + k, F.col("df") - 1).otherwise(0)) for k in range(1, MOST_MATCHES + 1)]
     costs = [meet * (1 + VERIFY_COST * F.first("n") / k) for k, meet in enumerate(meets, 1)]
-    best = lists.groupBy("id").agg(F.array_position(F.array(*costs), F.least(*costs)).cast("int").alias("matches"))
-    return lists.join(best, "id")
+    best = F.array_position(F.array(*costs), F.least(*costs)).cast("int").alias("matches")
+    return lists.join(lists.groupBy("id").agg(best, meets[-1].alias("weight")), "id")
+
+
+def star_pairs(grouped: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """For each document of lists with several components, a partner per kind of pivot: ``a, b``.
+
+    A list's pivots are the heaviest member of its largest component, and one that a hash picks there.
+    A document outside that component takes the pivots that most of its lists offer.
+    """
+    sizes = grouped.groupBy("token", "component").agg(
+        F.count("*").alias("members"),
+        F.max(F.struct("weight", "id", "n", "place")).alias("heavy"),
+        F.max(F.struct(F.xxhash64("id", F.lit(turn)).alias("weight"), "id", "n", "place")).alias("any"),
+    )
+    largest = F.struct("members", "heavy.weight", "component")
+    main = sizes.groupBy("token").agg(
+        F.count("*").alias("groups"), F.max_by(F.struct("component", "heavy", "any"), largest).alias("main"), F.max("any").alias("some")
+    )
+    main = main.where("groups > 1").select("token", "main", "some")
+    outside = grouped.join(main, "token").where("component <> main.component")
+    pairs = None
+    for pivot in ("main.heavy", "main.any", "some"):
+        met = outside.select(F.struct("id", "n", "place", "matches").alias("x"), F.struct(f"{pivot}.id", f"{pivot}.n", f"{pivot}.place", "matches").alias("y"))
+        met = met.where(F.col("x.id") != F.col("y.id")).where(may_match("x", "y", num, den))
+        met = met.groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y")).agg(F.count("*").alias("shared"))
+        best = met.groupBy("x").agg(F.max(F.struct("shared", "y"))["y"].alias("y"))
+        pairs = best if pairs is None else pairs.union(best)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -285,11 +316,12 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
     counts = count_shingles(scratch, rows, words, bits, expected)
     shared = spark.sparkContext.broadcast(frequencies(counts, bits))
     documents = scratch.store(prefixes(rows, words, num, den, bits, shared), "documents")
+    shared.destroy()
 
     # stored apart, so that the join can split the rows of a hot set
-    classes = scratch.store(documents.where("n > 0").groupBy("digest").agg(F.min("row_id").alias("id")), "sets-seen")
+    classes = scratch.store(documents.where("n > 0").groupBy("digest").agg(F.min("row_id").alias("id")), "sets-seen", expected)
     classed = documents.select("row_id", "n", "digest").join(classes, "digest", "left").select("row_id", "n", "id")
-    classed = scratch.store(classed, "classes")
+    classed = scratch.store(classed, "classes", expected)
     first = classed.where("row_id = id").select("row_id")
     entries = (
         documents.where("size(tokens) > 0")
@@ -297,35 +329,31 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
         .select(F.col("row_id").alias("id"), "n", F.explode(F.arrays_zip("tokens", "places")).alias("e"))
         .select("id", "n", F.col("e.tokens").alias("token"), F.col("e.places").alias("place"))
     )
-    member = F.struct("id", "n", "place")
-    shared_tokens = entries.groupBy("token").agg(F.count("*").alias("df"), F.min(member).alias("lo"), F.max(member).alias("hi"))
+    shared_tokens = entries.groupBy("token").agg(F.count("*").alias("df"))
     lists = scratch.store(entries.join(shared_tokens.where("df > 1"), "token"), "lists")
-    lists = scratch.store(with_matches(lists, num, den), "lists-with-matches")
+    size = lists.count()
+    lists = scratch.store(with_matches(lists, num, den), "lists-with-matches", size)
     scratch.drop("counts", "documents", "lists")
 
     live = lists.select("id").distinct()
-    ids = scratch.store(live.select(F.col("id").alias("row_id")), "live")
+    ids = scratch.store(live.select(F.col("id").alias("row_id")), "live", size)
     near = may_hold(rows, "row_id", key_filter(scratch, ids, "row_id", "live-bits"))
     sets = scratch.store(sets_of(near, words), "sets")
 
-    ends = []
-    for end in ("lo", "hi"):
-        met = lists.select(F.struct("id", "n", "place", "matches").alias("x"), F.struct(f"{end}.*", "matches").alias("y"))
-        met = met.where(F.col("x.id") != F.col("y.id")).where(may_match("x", "y", num, den))
-        met = met.groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y")).agg(F.count("*").alias("shared"))
-        ends.append(met.groupBy("x").agg(F.max(F.struct("shared", "y")).alias("best")).select("x", F.col("best.y").alias("y")))
-    star = ends[0].union(ends[1]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    star = scratch.store(star, "star")
-    linked = scratch.store(verified(star, sets, num, den), "star-links")
-    joined = components(scratch, linked, "star-components")
-
-    grouped = scratch.store(
-        lists.select("token", "id", "n", "place", "matches").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")),
-        "grouped",
-    )
+    linked = scratch.store(spark.createDataFrame([], "a long, b long"), "no-links")
+    tried = linked
+    grouped = lists.withColumn("component", F.col("id"))
+    for turn in range(STAR_ROUNDS):
+        star = scratch.store(star_pairs(grouped, turn, num, den).join(tried, ["a", "b"], "left_anti"), f"star-{turn}", 2 * size)
+        tried = tried.union(star)
+        linked = linked.union(scratch.store(verified(star, sets, num, den), f"star-links-{turn}"))
+        joined = components(scratch, linked, f"star-components-{turn}")
+        grouped = lists.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        grouped = scratch.store(grouped, f"grouped-{turn}", size)
+
     per_list = grouped.groupBy("token", "component").agg(F.count("*").alias("members"))
     main = per_list.groupBy("token").agg(F.count("*").alias("groups"), F.max_by("component", F.struct("members", "component")).alias("main"))
-    mixed = grouped.join(main.where("groups > 1").select("token", "main"), "token").join(sets.select("id", "bits"), "id")
+    mixed = grouped.drop("weight", "df").join(main.where("groups > 1").select("token", "main"), "token").join(sets.select("id", "bits"), "id")
     mixed = scratch.store(mixed, "mixed")
     x, y = mixed.where("component <> main").alias("x"), mixed.alias("y")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
@@ -342,11 +370,11 @@ def links(scratch: Scratch, rows: DataFrame, words: int, num: int, den: int) ->
         .agg(F.count("*").alias("shared"), F.first("asked").alias("asked"))
         .where("shared >= asked")
         .select("a", "b")
-        .join(star, ["a", "b"], "left_anti")
+        .join(tried, ["a", "b"], "left_anti")
     )
     crossing = scratch.store(crossing, "crossing")
     more = scratch.store(verified(crossing, sets, num, den), "crossing-links")
-    scratch.drop("sets", "lists-with-matches", "grouped", "mixed")
+    scratch.drop("sets", "lists-with-matches", "mixed", *[f"grouped-{turn}" for turn in range(STAR_ROUNDS)])
     return classed, components(scratch, linked.union(more), "components")
 
 
