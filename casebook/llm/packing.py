@@ -42,7 +42,8 @@ class Encoder:
 
     ``path`` is a file for ``tokenizers``. With ``ranks``, the same vocabulary as a rank file, texts are
     encoded by ``tiktoken``, which gives the same ids several times as fast (tests compare both on all
-    code points); texts that hold a special token always go through ``tokenizers``.
+    code points); texts that hold a special token always go through ``tokenizers``, and so do those that
+    ``tiktoken`` refuses: its pattern runs out of stack on runs of about a million characters of white space.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
@@ -60,10 +61,11 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         if self.fast and not any(s in text for s in self.special):
-            ids = self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
-        else:
-            ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.asarray(ids, "<u4").tobytes()
+            try:
+                return np.asarray(self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=()), "<u4").tobytes()
+            except ValueError:
+                pass
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 def rooms(tokens: int, capacity: int) -> list[int]:

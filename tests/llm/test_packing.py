@@ -91,3 +91,19 @@ def test_edge_rows_and_empty_table(spark, tokenizer):
     assert [r.length for r in rows if r.doc_id == 0] == [1]
     assert packing.pack(empty(edge_documents(spark))).count() == 0
     assert packing.pack(documents(spark, [(1, "one text")]), ranks=None, tokenizer=public_tokenizers.path(packing.TOKENIZER)).count() >= 1
+
+
+LONG_RUNS = [" " * 2_000_000, "\n" * 2_000_000, " \n" * 1_000_000, "words" + "\n\t" * 1_000_000, " " * 2_000_000 + "words"]
+
+
+@pytest.mark.parametrize("text", LONG_RUNS, ids=["spaces", "line feeds", "both", "at the end", "at the start"])
+def test_long_runs_of_white_space(tokenizer, encoder, text):
+    assert np.array_equal(np.frombuffer(encoder(text), "<u4"), tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_documents_of_white_space_are_packed(spark, tokenizer):
+    rows = packing.pack(documents(spark, list(enumerate(["one text", *LONG_RUNS[:3]])))).collect()
+    lengths = defaultdict(int)
+    for r in rows:
+        lengths[r.doc_id] += r.length
+    assert lengths == {k: len(ids_of(tokenizer, t)) for k, t in enumerate(["one text", *LONG_RUNS[:3]])}
