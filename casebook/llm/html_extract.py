@@ -1,11 +1,12 @@
 """Main text of HTML pages by site style trees.
 
 Pages of one host are merged into a tree: a node is a path of elements with their classes. Its
-presentation importance is the entropy of the child sequences seen there, its content importance the
-entropy of the texts seen there, both relative to the number of observations. A branch that looks and reads the same on
-page after page is of low importance and is removed from each page. Elements that say what they
-are (fixed lists below) need no statistics: navigation, forms, scripts and the like weigh nothing, and
-if a page marks an article or main part, only that part counts.
+presentation importance is the entropy of the child sequences seen there. The content importance of a text at a
+node is its information, ``-log`` of the share of the node's pages that hold it. Both are relative to those of
+``LEAST_PAGES`` pages that all differ, so they rest on shares alone and not on the size of the host. A text that stands in
+the same place on page after page is of low importance and is removed from each; other texts of that place stay.
+Elements that say what they are (fixed lists below) need no statistics: navigation, forms, scripts and the like weigh
+nothing, and if a page marks an article or main part, only that part counts, and all of it.
 
 * Hosts with fewer than ``LEAST_PAGES`` different pages are judged by the tree merged over all hosts.
   Equal pages of a host count once.
@@ -14,7 +15,7 @@ if a page marks an article or main part, only that part counts.
 * Null html is empty; a null URL or one without host belongs to the host ``""``. Repeated rows are pages of their
   own; extra columns do not matter. An empty table gives an empty result.
 * Statistics are counts combined before the shuffle, so a host may hold any share of the pages; nothing
-  but a list of low nodes per host is joined back.
+  but a list of low texts per host, as hashes, is joined back.
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ import re
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm.common import Scratch, narrow, query, table
 
 LEAST_PAGES = 20
-CONTENT_SHARE = 0.8  # of a node's importance; the rest is that of its presentation
+CONTENT_SHARE = 0.8  # of a text's importance; the rest is that of its node's presentation
 LOW_IMPORTANCE = 0.3
 DEEPEST = 256  # elements below are taken as their ancestor at that depth
 
@@ -191,7 +192,7 @@ def with_blocks(rows: DataFrame) -> DataFrame:
     kept = rows.schema.fields[:-1]
 
     def run(batches):
-        block = pa.struct([("path", pa.string()), ("text", pa.string())])
+        block = pa.struct([("path", pa.string()), ("text", pa.string()), ("marked", pa.bool_())])
         style = pa.struct([("path", pa.string()), ("children", pa.int64())])
         for whole in batches:
             for offset in range(0, whole.num_rows, 200):
@@ -200,41 +201,51 @@ def with_blocks(rows: DataFrame) -> DataFrame:
                 for value in batch.column(len(kept)):
                     page = Page(value.as_py() or "")
                     found = page.kept()
-                    blocks.append([{"path": p, "text": t} for p, t, _ in found])
+                    blocks.append([{"path": p, "text": t, "marked": m} for p, t, m in found])
                     styles.append([{"path": p, "children": c} for p, c in page.styles])
                     sums.append(zlib.crc32("\n".join(t for _, t, _ in found).encode()))
                 own = [batch.column(i) for i in range(len(kept))]
                 arrays = [*own, pa.array(blocks, pa.list_(block)), pa.array(styles, pa.list_(style)), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in kept] + ["blocks", "styles", "checksum"])
 
-    blocks = "blocks array<struct<path:string,text:string>>, styles array<struct<path:string,children:long>>, checksum long"
+    blocks = "blocks array<struct<path:string,text:string,marked:boolean>>, styles array<struct<path:string,children:long>>, checksum long"
     return rows.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [blocks]))
 
 
 def entropy(values: DataFrame, by: list[str], name: str) -> DataFrame:
-    """Entropy of ``value`` per group, relative to its highest for so many observations: 0 if all are equal, 1 if all differ."""
+    """Entropy of ``value`` per group, relative to its highest for so many observations, or ``LEAST_PAGES`` of them: 0 if all are equal, 1 if all differ."""
     counts = values.groupBy(*by, "value").agg(F.count("*").alias("n"))
     sums = counts.groupBy(*by).agg(F.sum("n").alias(f"{name}_n"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     total = F.col(f"{name}_n")
-    relative = F.when(total > 1, (F.log(total) - F.col("nlogn") / total) / F.log(total)).otherwise(1.0)
+    highest = F.log(F.least(total, F.lit(LEAST_PAGES)))  # that of all would make the same shares weigh less on larger hosts
+    relative = F.when(total > 1, F.least((F.log(total) - F.col("nlogn") / total) / highest, F.lit(1.0))).otherwise(1.0)
     return sums.select(*by, f"{name}_n", relative.alias(name))
 
 
-def low_nodes(scratch: Scratch, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Paths of low importance per tree, and the tree of each host: its own, or ``*`` if it has few pages."""
+def place_and_text(block: Column) -> Column:
+    return F.xxhash64(block["path"], block["text"])
+
+
+def low_texts(scratch: Scratch, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hashes of path and text of low importance per tree, and the tree of each host: its own, or ``*`` if it has few pages."""
     distinct = pages.groupBy("host", "checksum").agg(F.min("row_id").alias("row_id"))
     hosts = distinct.groupBy("host").agg(F.count("*").alias("pages"))
     first = scratch.store(distinct.join(hosts, "host").select("row_id", "pages"), "first")
     judged = pages.join(first, "row_id").withColumn("tree", F.when(F.col("pages") >= LEAST_PAGES, F.col("host")).otherwise("*"))
-    texts = judged.select("tree", F.explode("blocks").alias("b"))
-    texts = texts.select("tree", F.col("b.path").alias("path"), F.xxhash64("b.text").alias("value"))
+    unmarked = judged.withColumn("blocks", F.filter("blocks", lambda b: ~b["marked"])).where("size(blocks) > 0")
+    places = unmarked.select("tree", F.explode(F.array_distinct("blocks.path")).alias("path"))
+    places = places.groupBy("tree", "path").agg(F.count("*").alias("all_n")).where(F.col("all_n") >= LEAST_PAGES)
+    seen = F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), place_and_text(b).alias("value")))
+    texts = unmarked.select("tree", F.explode(F.array_distinct(seen)).alias("t")).groupBy("tree", "t.path", "t.value").agg(F.count("*").alias("n"))
+    least_share = LEAST_PAGES ** (-LOW_IMPORTANCE / CONTENT_SHARE)  # of a text of low importance, whatever its node's presentation
+    texts = texts.where(F.col("n") > 0.99 * least_share * LEAST_PAGES)  # others need not meet by path
     styles = judged.select("tree", F.explode("styles").alias("s"))
     styles = styles.select("tree", F.col("s.path").alias("path"), F.col("s.children").alias("value"))
-    content = entropy(texts, ["tree", "path"], "content").where(F.col("content_n") >= LEAST_PAGES)
-    look = entropy(styles, ["tree", "path"], "look")
-    both = content.join(look, ["tree", "path"], "left")
-    importance = CONTENT_SHARE * F.col("content") + (1 - CONTENT_SHARE) * F.coalesce("look", F.lit(0.0))
-    low = both.where(importance < LOW_IMPORTANCE).groupBy("tree").agg(F.collect_set("path").alias("low"))
+    nodes = places.join(entropy(styles, ["tree", "path"], "look"), ["tree", "path"], "left")
+    nodes = scratch.store(nodes.select("tree", "path", "all_n", F.coalesce("look", F.lit(0.0)).alias("look")), "nodes")  # of known size
+    content = F.least(F.log(F.col("all_n") / F.col("n")) / F.log(F.lit(LEAST_PAGES)), F.lit(1.0))
+    importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * F.col("look")
+    low = texts.join(nodes, ["tree", "path"]).where(importance < LOW_IMPORTANCE).groupBy("tree").agg(F.collect_list("value").alias("low"))
     return scratch.store(low, "low"), hosts.select("host", F.when(F.col("pages") >= LEAST_PAGES, F.col("host")).otherwise("*").alias("tree"))
 
 
@@ -246,10 +257,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     rows = rows.withColumn("row_id", F.monotonically_increasing_id())
     rows = rows.select("row_id", "key", "url", host.alias("host"), F.col("html").cast("string"))
     found = scratch.store(with_blocks(rows), "pages")
-    low, trees = low_nodes(scratch, found.select("row_id", "host", "blocks", "styles", "checksum"))
+    low, trees = low_texts(scratch, found.select("row_id", "host", "blocks", "styles", "checksum"))
     trees = scratch.store(trees.join(low, "tree").select("host", "low"), "trees")
-    none = F.array().cast("array<string>")
-    keep = F.filter("blocks", lambda b: ~F.array_contains(F.coalesce(F.col("low"), none), b["path"]))
+    none = F.array().cast("array<bigint>")
+    keep = F.filter("blocks", lambda b: b["marked"] | ~F.array_contains(F.coalesce(F.col("low"), none), place_and_text(b)))
     text = F.array_join(F.transform(keep, lambda b: b["text"]), "\n")
     joined = found.select("key", "url", "host", "blocks").join(trees, "host", "left")
     return joined.select(F.col("key").alias(key), F.col("url").alias(url), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

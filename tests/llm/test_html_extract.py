@@ -74,3 +74,20 @@ def test_query_keeps_articles_only(spark):
         assert r.n_chars == len(r.text) > 0
         paragraphs = source[r.page_id].split("<article>")[1].split("</article>")[0].count("<p>")
         assert len(r.text.split("\n")) >= min(paragraphs, 1)
+
+
+@pytest.mark.parametrize("count", [50, 2500])
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_own_paragraphs_stay_on_hosts_of_any_size(spark, outer, count):
+    repeated = "".join(f"<p>Said on every page, {n}.</p>" for n in range(3))
+    rows = [(i, f"http://a.org/{i}", f"<{outer}><h2>Kind {i % 10}</h2><p>Own words of page {i}.</p>{repeated}</{outer}>") for i in range(count)]
+    found = {r.page_id: r.text.split("\n") for r in html_extract.extract(pages(spark, rows)).collect()}
+    for i in range(count):
+        whole = [f"Kind {i % 10}", f"Own words of page {i}.", *(f"Said on every page, {n}." for n in range(3))]
+        assert found[i] == (whole if outer == "article" else whole[:2])
+
+
+def test_a_rare_text_stays_where_another_repeats(spark):
+    rows = [(i, f"http://a.org/{i}", f"<div><p>{f'Only here {i}.' if i % 10 == 0 else 'Nothing new.'}</p></div><pre>Page {i}</pre>") for i in range(400)]
+    found = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert all(found[i] == (f"Only here {i}.\n" if i % 10 == 0 else "") + f"Page {i}" for i in range(400))
