@@ -6,7 +6,9 @@ node is its information, ``-log`` of the share of the node's pages that hold it.
 ``LEAST_PAGES`` pages that all differ, so they rest on shares alone and not on the size of the host. A text that stands in
 the same place on page after page is of low importance and is removed from each; other texts of that place stay.
 Elements that say what they are (fixed lists below) need no statistics: navigation, forms, scripts and the like weigh
-nothing, and if a page marks an article or main part, only that part counts, and all of it.
+nothing, and if a page marks an article or main part, only that part counts, and all of it. Names are whole classes
+or ids. The page, its body, main part and articles, and whatever holds one of them, are never noise by name or as a form;
+nor is a form around more than half of the page's text, which is a frame of the page.
 
 * Hosts with fewer than ``LEAST_PAGES`` different pages are judged by the tree merged over all hosts.
   Equal pages of a host count once.
@@ -39,16 +41,18 @@ DEEPEST = 256  # elements below are taken as their ancestor at that depth
 RAW_TEXT = frozenset("script style textarea title xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NOISE_ELEMENTS = frozenset(
-    "script style noscript template iframe nav footer aside form button select textarea input label fieldset "
+    "script style noscript template iframe nav footer aside button select textarea input label fieldset "
     "svg canvas object applet dialog menu title head audio video map".split()
 )
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar form toolbar".split())
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices popup modal overlay newsletter subscribe subscription nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar sidebars footer comment comments commentlist disqus reply replies related recommended share sharing social "
     "widget widgets pagination pager toolbar login signup search".split()
 )
+MARKS = frozenset("main article".split())  # elements and roles
+CORE_ELEMENTS = MARKS | frozenset("html body".split())
 OUTER_NAMES = frozenset("header masthead banner topbar hero".split())  # noise outside an article only
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 "
@@ -64,7 +68,6 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -75,31 +78,53 @@ class Page:
     """Text blocks of one page with their paths, and the child sequence of each element."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, bool]] = []  # path, text, inside an article
-        self.styles: list[tuple[str, int]] = []
-        self.stack: list[list] = []  # name, path, is noise, is article, checksum of children
+        self.blocks: list[tuple] = []  # path, text, inside an article, innermost wrapper
+        self.styles: list[tuple] = []  # path, checksum of children, innermost wrapper
+        self.stack: list[list] = []  # name, path, is noise, is article, checksum of children, innermost wrapper
         self.text: list[str] = []
-        self.has_article = False
+        # elements that are noise by name or as a form, unless they hold a core element: outer wrapper, holds one, is noise as a form only
+        self.wrappers: list[list] = [[-1, True, False]]  # the first is the page's own
         self._read(source)
+        self._keep_frames()
+        noise: list[bool] = []
+        for outer, holds, _ in self.wrappers:
+            noise.append(not holds or (outer >= 0 and noise[outer]))
+        self.blocks = [b[:3] for b in self.blocks if not noise[b[3]]]
+        self.styles = [t[:2] for t in self.styles if not noise[t[2]]]
+        self.has_article = any(b[2] for b in self.blocks)
+
+    def _keep_frames(self) -> None:
+        """Forms with more than half of the text that is not noise by name."""
+        sizes = [0] * len(self.wrappers)
+        for block in self.blocks:
+            sizes[block[3]] += len(block[1])
+        for number in reversed(range(1, len(sizes))):  # outer wrappers come before inner ones
+            outer, holds, form = self.wrappers[number]
+            sizes[outer] += sizes[number] if holds or form else 0
+        for wrapper, size in zip(self.wrappers, sizes):
+            wrapper[1] |= wrapper[2] and 2 * size > sizes[0]
 
     def _noise(self, name: str, attrs: dict[str, str], in_article: bool) -> bool:
         if name in NOISE_ELEMENTS or (name == "header" and not in_article):
             return True
-        if not attrs:
-            return False
-        if attrs.get("role", "").lower() in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
-        words = set(NAME_PART.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-        return bool(words & NOISE_NAMES) or (not in_article and bool(words & OUTER_NAMES))
+        return bool(attrs) and (attrs.get("role", "").lower() in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true")
+
+    def _wrapper(self, name: str, attrs: dict[str, str], in_article: bool) -> str:
+        """``name`` or ``form`` if the element is noise as such unless it holds a core element."""
+        if attrs:
+            words = {*attrs.get("class", "").lower().split(), attrs.get("id", "").lower().strip()}
+            if words & NOISE_NAMES or (not in_article and words & OUTER_NAMES):
+                return "name"
+        return "form" if name == "form" or attrs.get("role", "").lower() == "form" else ""
 
     def _flush(self) -> None:
         if self.text:
             value = " ".join(html.unescape("".join(self.text)).split())
             self.text.clear()
             if value and self.stack and not self.stack[-1][2]:
-                self.blocks.append((self._block_path(), value, self.stack[-1][3]))
+                self.blocks.append((self._block_path(), value, self.stack[-1][3], self.stack[-1][5]))
             elif value and not self.stack:
-                self.blocks.append(("", value, False))
+                self.blocks.append(("", value, False, 0))
 
     def _block_path(self) -> str:
         """Of the innermost block: inline elements are part of it."""
@@ -109,9 +134,9 @@ class Page:
         return self.stack[-1][1]
 
     def _pop(self) -> None:
-        name, path, noise, _, children = self.stack.pop()
+        name, path, noise, _, children, wrapper = self.stack.pop()
         if not noise and name in BLOCKS:
-            self.styles.append((path, children))
+            self.styles.append((path, children, wrapper))
 
     def _open(self, name: str, text: str) -> None:
         if name in BLOCKS or name == "br":
@@ -134,17 +159,26 @@ class Page:
         if name in VOID:
             return
         attrs = attributes(text) if text.strip() else {}
-        parent = self.stack[-1] if self.stack else ["", "", False, False, 0]
+        parent = self.stack[-1] if self.stack else ["", "", False, False, 0, 0]
         noise = parent[2] or self._noise(name, attrs, parent[3])
-        if noise != parent[2]:
+        marked = name in MARKS or attrs.get("role", "").lower() in MARKS
+        wrapper = parent[5]
+        if not noise and (marked or name in CORE_ELEMENTS):
+            outer = wrapper
+            while not self.wrappers[outer][1]:  # those around one that holds a core element hold it as well
+                self.wrappers[outer][1] = True
+                outer = self.wrappers[outer][0]
+        elif not noise and (why := self._wrapper(name, attrs, parent[3])):
+            self.wrappers.append([wrapper, False, why == "form"])
+            wrapper = len(self.wrappers) - 1
+        if (noise, wrapper) != (parent[2], parent[5]):
             self._flush()
-        article = parent[3] or (not noise and (name in ("article", "main") or attrs.get("role") in ("main", "article")))
-        self.has_article |= article
+        article = parent[3] or (not noise and marked)
         label = ".".join([name, *sorted(attrs.get("class", "").lower().split())])
         path = f"{parent[1]}/{label}" if name in BLOCKS and len(self.stack) < DEEPEST else parent[1]
         if name in BLOCKS:
             parent[4] = zlib.crc32(label.encode(), parent[4])
-        self.stack.append([name, path, noise, article, 0])
+        self.stack.append([name, path, noise, article, 0, wrapper])
 
     def _close(self, name: str) -> None:
         if not any(entry[0] == name for entry in self.stack):
@@ -153,7 +187,8 @@ class Page:
             self._flush()
         while True:
             was = self.stack[-1]
-            if was[2] and not (len(self.stack) > 1 and self.stack[-2][2]):
+            outer = self.stack[-2] if len(self.stack) > 1 else ["", "", False, False, 0, 0]
+            if (was[2], was[5]) != (outer[2], outer[5]):
                 self._flush()
             self._pop()
             if was[0] == name:
@@ -184,7 +219,7 @@ class Page:
             self._pop()
 
     def kept(self) -> list[tuple[str, str, bool]]:
-        return [b for b in self.blocks if b[2]] if self.has_article and any(b[2] for b in self.blocks) else self.blocks
+        return [b for b in self.blocks if b[2]] if self.has_article else self.blocks
 
 
 def with_blocks(rows: DataFrame) -> DataFrame:

@@ -91,3 +91,26 @@ def test_a_rare_text_stays_where_another_repeats(spark):
     rows = [(i, f"http://a.org/{i}", f"<div><p>{f'Only here {i}.' if i % 10 == 0 else 'Nothing new.'}</p></div><pre>Page {i}</pre>") for i in range(400)]
     found = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
     assert all(found[i] == (f"Only here {i}.\n" if i % 10 == 0 else "") + f"Page {i}" for i in range(400))
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<body class='post-template-default no-sidebar'><nav>n</nav><article><p>kept</p></article></body>", "kept"),
+        ("<article class='post has-comments'><h1>head</h1><p>kept</p></article>", "head\nkept"),
+        ("<main id='search-results'><p>kept</p></main>", "kept"),
+        ("<div class='layout with-sidebar'><article><p>kept</p></article><div class=sidebar><p>no</p></div></div>", "kept"),
+        ("<html class=widget><body id=comments><main class=search><p>kept</p></main></body></html>", "kept"),
+        ("<div class=widget><div class=promo><article><p>kept</p></article></div></div>", "kept"),
+        ("<body><form action=x><div><article><p>kept</p><form><p>no</p></form></article></div><p>outside</p></form></body>", "kept"),
+        ("<form><body><p>kept</p></body></form>", "kept"),
+        ("<body><form id=form1><h1>head</h1><div class=sidebar><p>not this long text</p></div><p>kept</p><form role=search>no</form></form></body>", "head\nkept"),
+        ("<main><form><p>kept, as it is most of the page</p></form><p>kept</p></main>", "kept, as it is most of the page\nkept"),
+        ("<form class=newsletter><p>the only text of the page</p></form>", ""),
+        ("<div class='no-ads'><p>kept</p></div><div class='ads'><p>no</p></div>", "kept"),
+        ("<body><div class=hero><p>no</p></div><p>a<span class=ad>no</span>b</p><form><label>no</label></form></body>", "a\nb"),
+        ("<article><div class=comments><p>no</p></div><p>kept</p></article><aside><article>no</article></aside>", "kept"),
+    ],
+)
+def test_names_and_forms_around_the_article(source, text):
+    assert text_of(source) == text
