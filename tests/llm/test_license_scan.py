@@ -71,3 +71,42 @@ def test_edge_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = license_scan.op4_license_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not [w for w in ("Python", "Pandas", "Arrow") if w in plan]
+
+
+def commented(text):
+    return "".join(f" * {line}".rstrip() + "\n" for line in text.splitlines())
+
+
+def test_standard_texts_are_told_apart_by_version(spark):
+    texts = license_scan.whole_texts()
+    rows = [(f"d{i}/LICENSE", t) for i, (_, t) in enumerate(texts)] + [(f"e{i}/words", t) for i, (_, t) in enumerate(texts)]
+    rows += [(f"f{i}/c.c", f"/*\n{commented(t)} */\n\n{PROSE}{PROSE}") for i, (_, t) in enumerate(texts)]
+    rows += [(f"e{i}/sub/x", PROSE) for i in range(len(texts))]
+    assert [(r["license"], r["origin"]) for r in scanned(spark, rows)] == [(n, o) for o in ("own", "own", "own", "inherited") for n, _ in texts]
+
+
+def test_openings_and_wrapped_headers(spark):
+    header = (
+        "Copyright (C) 2020 Somebody\n\nThis program is free software; you can redistribute it and/or modify\nit under the terms of the GNU {}General "
+        "Public License as published by\nthe Free Software Foundation; either version {} of the License, or\n(at your option) any later version.\n\n"
+        "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU {}General Public License for more details.\n"
+    )
+    opening = lambda name: "\n".join(license_scan.standard_text(name).strip().splitlines()[:2])
+    rows = [
+        ("GPL-2.0", opening("GPL-2.0")),
+        ("GPL-3.0", opening("GPL-3.0")),
+        ("LGPL-2.1", opening("LGPL-2.1")),
+        ("LGPL-3.0", opening("LGPL-3.0")),
+        ("AGPL-3.0", "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007"),
+        ("GPL-2.0", header.format("", 2, "")),
+        ("GPL-3.0", header.format("", 3, "")),
+        ("LGPL-2.1", header.format("Lesser ", 2.1, "Lesser ")),
+        ("LGPL-2.1", header.format("Lesser ", 2.1, "Lesser ").replace("program", "library")),
+        ("LGPL-3.0", header.format("Lesser ", 3, "Lesser ").replace("program", "library")),
+        ("AGPL-3.0", header.format("Affero ", 3, "Affero ")),
+        ("ISC", license_scan.standard_text("ISC").split("THE SOFTWARE")[0]),
+        (None, "See the GNU General Public License for more details."),
+    ]
+    found = scanned(spark, [(f"d{i}/f.c", f"/*\n{commented(t)} */\n\n{PROSE}") for i, (_, t) in enumerate(rows)])
+    assert [r["license"] for r in found] == [n for n, _ in rows]
