@@ -7,9 +7,11 @@ the trees that judge the rest:
 1. Per host, paths are read segment by segment. A segment with many, mostly different values below one node
    is variable and becomes ``*``.
 2. Sibling branches whose share of rejected labels and of variable children do not differ from their parent's
-   by a two-sided test are merged into one branch ``~``; branches without labels are merged with each other only.
+   by a two-sided test are merged into one branch ``~``; branches without labels are merged with each other only, by
+   their structure.
 3. A template is rejected if its purity, the share of rejected labels smoothed towards one half, is
-   high enough. Without labels it is allowed.
+   high enough. One without labels is judged by its labelled siblings, or those of its nearest ancestor that has some: its
+   purity is the mean of theirs, smoothed alike, each sibling being one observation. On hosts without labels all are allowed.
 
 * Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to ``?``,
   ``#`` or the end. Null URLs and URLs without ``://`` have neither, fit no rule, and are judged as one host.
@@ -28,7 +30,7 @@ from casebook.llm.common import Scratch, lower_ascii, narrow, query, table
 
 DEPTH = 8
 VARIABLE_VALUES = 10  # a segment with fewer values below a node is never variable
-VARIABLE_SHARE = 0.2  # distinct values per URL
+VARIABLE_SHARE = 0.2  # distinct values per distinct path
 SIMILAR_Z = 1.96
 PRIOR_LABELS = 2.0
 REJECT_PURITY = 0.8
@@ -67,8 +69,10 @@ def differs(share: Column, n: Column, pooled: Column) -> Column:
 
 
 def templates(scratch: Scratch, paths: DataFrame, depth: int) -> DataFrame:
-    """``paths``: ``host, path, n, blocked, labelled``, one row per host and path. Adds ``template``."""
+    """``paths``: ``host, path, n, blocked, labelled``, one row per host and path. Adds ``template``, and
+    the sum ``sibling_purity`` over the ``siblings`` that judge it if it has no labels."""
     level = paths.withColumn("segments", F.split(F.regexp_replace("path", "^/", ""), "/")).withColumn("template", F.lit(""))
+    level = level.withColumn("sibling_purity", F.lit(0.0)).withColumn("siblings", F.lit(0).cast("long"))
     level = scratch.store(level, "level-0")
     deepest = min(level.agg(F.max(F.size("segments"))).first()[0] or 0, depth)
     node = ["host", "template"]
@@ -76,24 +80,29 @@ def templates(scratch: Scratch, paths: DataFrame, depth: int) -> DataFrame:
         here = level.where(F.size("segments") > d).withColumn("segment", F.col("segments")[d])
         child = F.when(F.size("segments") > d + 1, F.col("segments")[d + 1].rlike("[0-9]").cast("int")).otherwise(0)
         branches = here.groupBy(*node, "segment").agg(
-            F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"), F.sum(child * F.col("n")).alias("varied")
+            F.count("*").alias("paths"), F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"), F.sum(child * F.col("n")).alias("varied")
         )
         branches = scratch.store(branches, f"branches-{d}")
         whole = branches.groupBy(*node).agg(
             F.count("*").alias("all_values"),
+            F.sum("paths").alias("all_paths"),
             F.sum("n").alias("all_n"),
             F.sum("blocked").alias("all_blocked"),
             F.sum("labelled").alias("all_labelled"),
             F.sum("varied").alias("all_varied"),
+            F.sum(F.when(F.col("labelled") > 0, F.col("blocked") / F.col("labelled"))).alias("all_purity"),
+            F.count(F.when(F.col("labelled") > 0, 1)).alias("judging"),
         )
-        variable = (F.col("all_values") >= VARIABLE_VALUES) & (F.col("all_values") >= VARIABLE_SHARE * F.col("all_n"))
+        variable = (F.col("all_values") >= VARIABLE_VALUES) & (F.col("all_values") >= VARIABLE_SHARE * F.col("all_paths"))
         share = lambda part, n: F.col(part) / F.when(F.col(n) > 0, F.col(n))
         other = F.coalesce(differs(share("blocked", "labelled"), F.col("labelled"), share("all_blocked", "all_labelled")), F.lit(False))
         other = other | differs(share("varied", "n"), F.col("n"), share("all_varied", "all_n"))
         merged = F.when(F.col("labelled") > 0, "~").otherwise("~?")
         name = F.when(variable, "*").when(other | (F.col("all_values") == 1), F.col("segment")).otherwise(merged)
-        names = branches.join(whole, node).select(*node, "segment", F.concat("template", F.lit("/"), name).alias("next"))
-        joined = here.join(names, [*node, "segment"]).withColumn("template", F.col("next")).select(level.columns)
+        names = branches.join(whole, node).select(*node, "segment", F.concat("template", F.lit("/"), name).alias("next"), F.when(F.col("labelled") == 0, F.col("judging")).otherwise(0).alias("judging"), "all_purity")
+        joined = here.join(names, [*node, "segment"]).withColumn("template", F.col("next"))
+        joined = joined.withColumn("sibling_purity", F.when(F.col("judging") > 0, F.col("all_purity")).otherwise(F.col("sibling_purity")))
+        joined = joined.withColumn("siblings", F.when(F.col("judging") > 0, F.col("judging")).otherwise(F.col("siblings"))).select(level.columns)
         done = level.where(F.size("segments") <= d)
         level = scratch.store(joined.union(done), f"level-{d + 1}")
         scratch.drop(f"level-{d}", f"branches-{d}")
@@ -115,7 +124,9 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: list[
     )
     found = templates(scratch, paths.withColumn("blocked", F.coalesce("b", F.lit(0))).drop("b"), depth)
     found = scratch.store(found, "templates")
-    purity = (F.sum("blocked") + PRIOR_LABELS / 2) / (F.sum("labelled") + PRIOR_LABELS)
+    smoothed = lambda part, n: (part + PRIOR_LABELS / 2) / (n + PRIOR_LABELS)
+    purity = F.when(F.sum("labelled") > 0, smoothed(F.sum("blocked"), F.sum("labelled")))
+    purity = purity.otherwise(smoothed(F.max("sibling_purity"), F.max("siblings")))  # the same for all paths of a template without labels
     pure = scratch.store(found.groupBy("host", "template").agg(purity.alias("purity")), "pure")  # of known size
     judged = found.select("host", "path", "template").join(pure, ["host", "template"])
     own = F.when(F.col("purity") >= REJECT_PURITY, "block").otherwise("allow")

@@ -87,3 +87,22 @@ def test_query_and_plan(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert result.count() == pages.count()
     assert result.where(F.col("verdict").isNull() | ~F.col("verdict").isin("allow", "block")).count() == 0
+
+
+def test_repeated_urls_are_judged_like_single_ones(spark):
+    rules = [("block", "net", "/es/1"), ("block", "net", "/es/2")]
+    for times in (1, 6):
+        found = url_filter.judge(frame(spark, [f"http://s.net/es/{i}" for i in range(30)] * times), rules=rules)
+        assert {(r.template, r.verdict) for r in found.collect()} == {("/es/*", "block")}
+
+
+def test_branches_without_labels_are_judged_by_their_siblings(spark):
+    blocked = [("block", "net", f"/b{k}/") for k in range(6)]
+    urls = [f"http://s.net/b{k}/x{i}" for k in range(6) for i in range(5)] + [f"http://s.net/new/y{i}/z" for i in range(5)] + ["http://t.net/new/1"]
+    found = {(r.host, r.path): r for r in url_filter.judge(frame(spark, urls), rules=blocked).collect()}
+    assert found["s.net", "/new/y1/z"].rule is None and found["s.net", "/new/y1/z"].verdict == "block"
+    assert found["s.net", "/new/y1/z"].purity == 7 / 8
+    assert found["t.net", "/new/1"].verdict == "allow" and found["t.net", "/new/1"].purity == 0.5
+    mixed = blocked[:3] + [("allow", "net", f"/b{k}/") for k in range(3, 6)]
+    found = {(r.host, r.path): r for r in url_filter.judge(frame(spark, urls), rules=mixed).collect()}
+    assert found["s.net", "/new/y1/z"].purity == 0.5 and found["s.net", "/new/y1/z"].verdict == "allow"
