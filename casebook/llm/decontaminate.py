@@ -10,7 +10,9 @@ to the next sampled position, and their word ranges are merged into spans to rem
 * Only words that the benchmark has can be part of a window. A run of such words shorter than every
   window is left out of the index; between runs stands a symbol that no window has.
 * The benchmark's windows go to the tasks as arrays. A benchmark of more than ``SLICE_WORDS`` words is
-  searched slice by slice, each below that size, and the spans of the slices are merged per document.
+  searched slice by slice, each of about that size, and the spans of the slices are merged per document.
+  The driver fetches, sends and forgets one slice after the other; longer items are cut into pieces that share
+  all but one word of a window.
 * Null or empty text: no words, nothing hit. Null items and items without words have no window; equal
   items are all reported. Repeated rows are documents of their own; extra columns do not matter. An empty
   benchmark hits nothing; empty documents give an empty result.
@@ -18,6 +20,7 @@ to the next sampled position, and their word ranges are merged into spans to rem
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -35,6 +38,7 @@ PART_BYTES = 1 << 20
 BREAK = 1  # stands between runs; 0 ends the text, benchmark words start at 2
 
 WORD_BYTES = bytes(b for b in range(256) if b >= 128 or chr(b).isalnum())
+WORD_ENDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same, as a pattern
 TO_WORDS = bytes((b + 32 if 65 <= b <= 90 else b) if b in WORD_BYTES else 32 for b in range(256))
 
 
@@ -271,14 +275,25 @@ def scan(rows: DataFrame, shared, window: int, shard_words: int) -> DataFrame:
     return rows.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [RESULT]))
 
 
-def slices(benchmark: DataFrame, item: str, text: str, slice_words: int) -> list[list[tuple[str, str]]]:
-    """The items, in lists of bounded size. Each list is fetched by itself, after a check of the whole size."""
+def cut(items: DataFrame, window: int, words: int) -> DataFrame:
+    """``items`` with texts of more than ``words`` words cut into pieces that have the same windows together."""
+    size = max(words, 2 * window)
+    every = F.array_remove(F.split(F.col("text"), WORD_ENDS), "")
+    pieces = F.transform(F.sequence(F.lit(1), F.size("words") - window + 1, F.lit(size - window + 1)), lambda at: F.array_join(F.slice("words", at, size), " "))
+    long = items.where(F.length("text") > size).withColumn("words", every)
+    pieces = F.when(F.size("words") > size, pieces).otherwise(F.array("text"))
+    return items.where(F.length("text") <= size).union(long.select("item", F.explode(pieces).alias("text")))
+
+
+def slices(benchmark: DataFrame, item: str, text: str, window: int, slice_words: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """The number of slices, and the items in lists of bounded size. Each list is fetched when it is asked for."""
     items = narrow(benchmark, item, text).toDF("item", "text").where("text is not null")
     items = items.select(F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+    items = cut(items, window, slice_words)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // (4 * slice_words)))
     parts = (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == i) for i in range(count))
-    return [sorted((r[0], r[1]) for r in part.collect()) for part in parts]
+    return count, (sorted((r[0], r[1]) for r in part.collect()) for part in parts)
 
 
 def find(
@@ -299,13 +314,13 @@ def find(
     own = flat(docs)
     t = F.col(place(docs, text)).cast("string").alias("_text")
     names = [*docs.columns, "n_words", "spans", "items"]
-    parts = slices(benchmark, item, item_text, slice_words)
-    if len(parts) == 1:
-        return scan(own.select("*", t), spark.sparkContext.broadcast(parts[0]), window, shard_words).toDF(*names)
+    count, parts = slices(benchmark, item, item_text, window, slice_words)
+    if count == 1:
+        return scan(own.select("*", t), spark.sparkContext.broadcast(next(parts)), window, shard_words).toDF(*names)
     scratch = Scratch(spark, "decontaminate")
     rows = scratch.store(own.withColumn("row_id", F.monotonically_increasing_id()), "rows")
-    for number, part in enumerate(parts):
-        shared = spark.sparkContext.broadcast(part)
+    for number in range(count):
+        shared = spark.sparkContext.broadcast(next(parts))  # the driver holds no other slice
         found = scan(rows.select("row_id", t), shared, window, shard_words)
         scratch.store(found.where("size(items) > 0"), f"part={number}")
         shared.destroy()

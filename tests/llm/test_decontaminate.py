@@ -104,3 +104,31 @@ def test_digest_of_no_item(spark):
     row = decontaminate.op8_decontamination(spark, "/root/testdata/sf0.001").where("n_items = 0").first()
     assert row.items_sha256 == hashlib.sha256(b"").hexdigest()
     assert not row.contaminated
+
+
+def test_one_slice_is_fetched_at_a_time(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(30)]
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("slices"))
+    spark.sparkContext.setJobGroup("slices", "slices")
+    try:
+        count, parts = decontaminate.slices(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 6, 50)
+        before = jobs()
+        first = next(parts)
+        one = jobs() - before
+        rest = list(parts)
+        assert count > 10 and len(rest) == count - 1
+        assert 1 <= one < jobs() - before - one
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(first + [r for part in rest for r in part]) == sorted((str(i), t) for i, t in items)
+
+
+def test_long_items_are_cut_into_the_same_windows(spark):
+    text = ", ".join(f"Wé{k}" for k in range(1000)) + "!"
+    bench = spark.createDataFrame([("long", text), ("none", "")], "item_id string, text string")
+    count, parts = decontaminate.slices(bench, "item_id", "text", 6, 20)
+    found = [t for part in parts for _, t in part]
+    windows = lambda words: {tuple(words[i : i + 6]) for i in range(len(words) - 5)}
+    assert count > 10 and max(len(decontaminate.words_of(t)) for t in found) <= 20
+    assert set().union(*(windows(decontaminate.words_of(t)) for t in found)) == windows(decontaminate.words_of(text))
+    assert all(len(decontaminate.words_of(t)) >= 6 for t in found if t)
