@@ -25,6 +25,9 @@ place without reading others, so ids can be fetched at random (``File.ids``).
 
 from __future__ import annotations
 
+import itertools
+import json
+import math
 import re
 import struct
 import zlib
@@ -45,43 +48,66 @@ END_ID = 1
 BLOCK = 1024
 PERCENTILE = 0.95
 FILE_IDS = 1 << 21
-CACHED = 1 << 17  # encoded pieces that a task remembers
 
 MAGIC = b"PFRB"
 HEAD = "<4sIIQQQQQ"
 BLOCK_HEAD = "<IHHB"
 WORD_END = "</w>"
-LETTERS_FIRST = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~].*)?", re.S)
-
-
-def packed(values: np.ndarray, percentile: float = PERCENTILE) -> bytes:
-    """One block. ``values`` are 1 to 65,535 unsigned 32-bit integers."""
-    base = int(values.min())
-    above = (values - np.uint32(base)).astype(np.uint32)
-    place = min(len(above) - 1, int(np.ceil(percentile * len(above))) - 1)
-    width = int(np.partition(above, max(place, 0))[max(place, 0)]).bit_length()
-    upper = above >> np.uint32(width) if width < 32 else np.zeros_like(above)
-    odd = np.flatnonzero(upper)
-    bits = np.unpackbits(above.view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little") if width else np.zeros((0, 0), np.uint8)
-    head = struct.pack(BLOCK_HEAD, base, len(values), len(odd), width)
-    return b"".join([head, np.packbits(bits.ravel(), bitorder="little").tobytes(), odd.astype("<u2").tobytes(), upper[odd].astype("<u4").tobytes()])
-
-
-def unpacked(data: memoryview) -> np.ndarray:
-    """The values of one block."""
-    base, count, exceptions, width = struct.unpack_from(BLOCK_HEAD, data)
+LETTERS_FIRST = r"(?s)^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>(?:[!-/:-@\[-`{-~].*)?)$"
+
+
+def packed(values: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
+    """One block for each row of ``values``, unsigned 32-bit integers; rows have 1 to 65,535 of them."""
+    base = values.min(1)
+    above = values - base[:, None]
+    place = max(0, math.ceil(percentile * values.shape[1]) - 1)
+    least = np.partition(above, place, axis=1)[:, place]
+    width = np.ceil(np.log2(least + 1.0)).astype(np.int64)  # exact below 2^32
+    upper = (above.astype(np.uint64) >> width[:, None].astype(np.uint64)).astype("<u4")
+    bodies: list[bytes] = [b""] * len(values)
+    for bits in np.unique(width[width > 0]).tolist():
+        rows = np.flatnonzero(width == bits)
+        plain = np.unpackbits(above[rows].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=bits, bitorder="little")
+        for row, body in zip(rows.tolist(), np.packbits(plain.reshape(len(rows), -1), axis=1, bitorder="little")):
+            bodies[row] = body.tobytes()
+    where, odd = np.nonzero(upper)
+    bounds = np.searchsorted(where, np.arange(len(values) + 1)).tolist()
+    odd, rest = odd.astype("<u2"), upper[where, odd]
+    found = []
+    for row, (low, bits, body) in enumerate(zip(base.tolist(), width.tolist(), bodies)):
+        start, end = bounds[row], bounds[row + 1]
+        head = struct.pack(BLOCK_HEAD, low, values.shape[1], end - start, bits)
+        found.append(b"".join((head, body, odd[start:end].tobytes(), rest[start:end].tobytes())))
+    return found
+
+
+def unpacked(blocks: list[memoryview]) -> np.ndarray:
+    """The values of blocks, one after the other."""
+    heads = [struct.unpack_from(BLOCK_HEAD, b) for b in blocks]
+    ends = np.cumsum([0] + [h[1] for h in heads])
+    values = np.zeros(ends[-1], np.uint32)
+    alike: dict[tuple[int, int], list[int]] = {}
+    for number, (_, count, _, width) in enumerate(heads):
+        alike.setdefault((count, width), []).append(number)
     start = struct.calcsize(BLOCK_HEAD)
-    values = np.zeros(count, np.uint32)
-    if width:
+    for (count, width), numbers in alike.items():
         size = -(-count * width // 8)
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, start), count=count * width, bitorder="little").reshape(count, width)
-        low = np.packbits(bits, axis=1, bitorder="little")
-        values.view(np.uint8).reshape(count, 4)[:, : low.shape[1]] = low
-        start += size
-    if exceptions:
-        at = np.frombuffer(data, "<u2", exceptions, start)
-        values[at] |= np.frombuffer(data, "<u4", exceptions, start + 2 * exceptions) << np.uint32(width)
-    return values + np.uint32(base)
+        if width:
+            body = np.frombuffer(b"".join(blocks[n][start : start + size] for n in numbers), np.uint8).reshape(len(numbers), size)
+            bits = np.unpackbits(body, axis=1, count=count * width, bitorder="little").reshape(-1, width)
+            low = np.zeros((len(bits), 4), np.uint8)
+            low[:, : -(-width // 8)] = np.packbits(bits, axis=1, bitorder="little")
+            low = low.view("<u4").reshape(len(numbers), count)
+        for at, n in enumerate(numbers):
+            base, _, odd, _ = heads[n]
+            part = values[ends[n] : ends[n + 1]]
+            if width:
+                part[:] = low[at]
+            if odd:
+                places = np.frombuffer(blocks[n], "<u2", odd, start + size)
+                part[places] |= (np.frombuffer(blocks[n], "<u4", odd, start + size + 2 * odd).astype(np.uint64) << np.uint64(width)).astype(np.uint32)
+            part += np.uint32(base)
+    return values
 
 
 def file_bytes(keys: pa.Array, counts: np.ndarray, ids: np.ndarray, partition: int, number: int, block: int, percentile: float) -> bytes:
@@ -91,7 +117,9 @@ def file_bytes(keys: pa.Array, counts: np.ndarray, ids: np.ndarray, partition: i
     with pa.ipc.new_stream(sink, batch.schema) as stream:
         stream.write_batch(batch)
     documents = sink.getvalue().to_pybytes()
-    blocks = [packed(ids[at : at + block], percentile) for at in range(0, len(ids), block)]
+    whole = len(ids) - len(ids) % block
+    blocks = packed(ids[:whole].reshape(-1, block), percentile) if whole else []
+    blocks += packed(ids[whole:].reshape(1, -1), percentile) if whole < len(ids) else []
     index = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")
     head = struct.pack(HEAD, MAGIC, 1, block, len(documents), len(keys), len(ids), partition, number)
     return b"".join([head, documents, index.tobytes(), *blocks])
@@ -117,89 +145,81 @@ class File:
         if start >= end:
             return np.zeros(0, np.uint32)
         first, last = start // self.block, (end - 1) // self.block
-        parts = [unpacked(self.data[self.first + int(self.index[i]) : self.first + int(self.index[i + 1])]) for i in range(first, last + 1)]
-        return np.concatenate(parts)[start - first * self.block : end - first * self.block]
+        places = (self.index[first : last + 2].astype(np.int64) + self.first).tolist()
+        values = unpacked([self.data[a:b] for a, b in zip(places, places[1:])])
+        return values[start - first * self.block : end - first * self.block]
 
 
 def splits_at_spaces(tokenizer) -> bool:
     """Whether the tokenizer drops ASCII white space and takes what it separates apart, by its own description."""
-    import json
-
-    rules = json.loads(tokenizer.to_str())
-    flags = ("single_word", "lstrip", "rstrip")
-    added = all(not any(t[f] for f in flags) and not re.search(r"\s", t["content"]) for t in rules["added_tokens"])
-    steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
-    drops = bool(steps) and steps[0]["type"] == "Split" and steps[0]["invert"] and steps[0]["behavior"] == "Removed"
-    return added and drops and tokenizer.pre_tokenizer.pre_tokenize_str(" a\t\n b\r ")[0][0] == "a" and rules["model"]["end_of_word_suffix"] == WORD_END
+    if tokenizer.pre_tokenizer is None or getattr(tokenizer.model, "end_of_word_suffix", None) != WORD_END:
+        return False
+    added = tokenizer.get_added_tokens_decoder().values()
+    free = not any(t.single_word or t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added)
+    steps = json.loads(tokenizer.pre_tokenizer.__getstate__()).get("pretokenizers") or [{}]
+    drops = steps[0].get("type") == "Split" and steps[0]["invert"] and steps[0]["behavior"] == "Removed"
+    return bool(free and drops) and [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(" a\t\n b\r\x0b\x0cc ")] == ["a", "b", "c"]
 
 
 class Encoder:
-    """Ids of the documents of a batch of texts, ``end_id`` after each, as one array, and the count of each."""
+    """Ids of the documents of a batch of texts, ``end_id`` after each, as one array, and the count of each.
+
+    White space parts a text into pieces, and equal ones are encoded once. A piece that begins with letters followed by
+    an ASCII character that is none is two units, as the tokenizer starts anew there. The units that are
+    letters alone are encoded as one text, in which the ids of each end with one of a word's end.
+    """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = (end_id,)
+        self.end_id = end_id
         self.by_piece = splits_at_spaces(self.tokenizer)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def whole(self, texts: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, pieces: list[str]) -> None:
-        """Encodes pieces that are not known yet.
-
-        Letters before an ASCII character that is none are a word for the tokenizer, whatever follows. Words are
-        encoded as one text, in which the ids of each end with one of a word's end.
-        """
-        parts, others, words = [], [], {}
-        for piece in pieces:
-            match = LETTERS_FIRST.fullmatch(piece)
-            if match and "<|" not in piece:
-                word, rest = match[1].lower(), match[2]
-                parts.append((piece, word, rest))
-                if word not in self.words:
-                    words[word] = None
-                if rest and rest not in self.pieces:
-                    others.append(rest)
-            else:
-                others.append(piece)
-        others = list(dict.fromkeys(others))
-        self.pieces.update(zip(others, self.whole(others)))
-        if words:
-            ids = np.asarray(self.whole([" ".join(words)])[0])
-            ends = np.flatnonzero(self.is_end[ids]) + 1
-            if len(ends) != len(words):
-                raise AssertionError("words and word ends differ in number")
-            self.words.update(zip(words, map(tuple, map(np.ndarray.tolist, np.split(ids, ends[:-1])))))
-        for piece, word, rest in parts:
-            self.pieces[piece] = self.words[word] + self.pieces[rest] if rest else self.words[word]
+
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the count of each."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, _ = self.whole([" ".join(words.to_pylist())])
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        if len(ends) != len(words):
+            raise AssertionError("words and word ends differ in number")
+        return ids, np.diff(ends, prepend=0)
+
+    def units(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each piece the numbers of its two units; the ids of all units, and the count of each. The last unit is the end id."""
+        plain = pc.invert(pc.match_substring(pieces, "<|"))  # of special tokens
+        parts = pc.extract_regex(pc.if_else(plain, pieces, None), LETTERS_FIRST)
+        word, rest = (pc.struct_field(parts, name) for name in ("word", "rest"))
+        word = pc.utf8_lower(pc.if_else(parts.is_valid(), word, None)).dictionary_encode()
+        rest = pc.if_else(parts.is_valid(), rest, pieces).dictionary_encode()
+        word_ids, word_sizes = self.words(word.dictionary)
+        rest_ids, rest_sizes = self.whole(rest.dictionary.to_pylist())
+        sizes = np.concatenate([word_sizes, rest_sizes, [0, 1]])  # no word, and the end
+        ids = np.concatenate([word_ids, rest_ids, np.array([self.end_id], np.uint32)])
+        first = pc.fill_null(word.indices, len(sizes) - 2).to_numpy(zero_copy_only=False)
+        second = rest.indices.to_numpy(zero_copy_only=False) + len(word_sizes)
+        return np.stack([first, second], 1).astype(np.int64), ids, sizes
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         if self.by_piece:
             split = pc.ascii_split_whitespace(texts)
             pieces = split.flatten().dictionary_encode()
-            wanted = pieces.dictionary.to_pylist()
-            if len(self.pieces) + len(self.words) > CACHED:
-                self.pieces, self.words = {}, {}
-            self.learn([p for p in wanted if p not in self.pieces])
-            known = [self.pieces[p] for p in wanted]
-            order = pieces.indices.to_numpy(zero_copy_only=False)
-            offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+            units, flat, size = self.units(pieces.dictionary)
+            order = units[pieces.indices.to_numpy(zero_copy_only=False)].ravel()
+            offsets = 2 * (split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py())
         else:
-            known = self.whole(texts.to_pylist())
-            order, offsets = np.arange(len(known)), np.arange(len(known) + 1)
-        order = np.insert(order, offsets[1:], len(known))  # the end id follows the last piece of each text
+            flat, size = self.whole(texts.to_pylist())
+            flat, size = np.append(flat, np.uint32(self.end_id)), np.append(size, 1)
+            order, offsets = np.arange(len(texts)), np.arange(len(texts) + 1)
+        order = np.insert(order, offsets[1:], len(size) - 1)  # the end id follows the last unit of each text
         offsets = offsets + np.arange(len(offsets))
-        known.append(self.end)
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter((i for ids in known for i in ids), np.uint32, int(size.sum()))
         first = np.cumsum(size) - size
         sizes = size[order]
         ends = np.cumsum(sizes)
