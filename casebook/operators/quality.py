@@ -85,7 +85,10 @@ class RowCheck:
 
 @dataclass(frozen=True)
 class KeyCheck:
-    """Counts keys seen more than once, and the rows beyond the first of each key."""
+    """Counts keys seen more than once, and the rows beyond the first of each key.
+
+    ``also`` adds columns to the key. With ``per``, what is counted are not rows but the different values of that column.
+    """
 
     key: Column
     groups_name: str
@@ -94,6 +97,9 @@ class KeyCheck:
     rows_rule: str
     details: str = "Keys that occur more than once"
     rows_details: str = "Rows beyond the first of each key"
+    also: Sequence[Column] = ()
+    per: Column | None = None
+    severity: str = CRITICAL
 
 
 @dataclass(frozen=True)
@@ -168,12 +174,15 @@ def count_offending(df: DataFrame, offends: Mapping[str, Column]) -> DataFrame:
     )
 
 
-def count_duplicates(df: DataFrame, *keys: Column | str) -> DataFrame:
+def count_duplicates(df: DataFrame, *keys: Column | str, per: Column | None = None) -> DataFrame:
     """One row: ``duplicate_groups`` and ``duplicate_rows``. NULL keys are no duplicates.
 
     Counts are combined before the shuffle, so a key that holds a large part of the
-    rows arrives as one row per task.
+    rows arrives as one row per task. With ``per``, equal values of it count once.
     """
+    if per is not None:
+        keyed = [(F.col(k) if isinstance(k, str) else k).alias(f"key{i}") for i, k in enumerate(keys)]
+        df, keys = df.select(*keyed, per.alias("per")).distinct(), [f"key{i}" for i in range(len(keyed))]
     named = [(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(keys)]
     names = [f"k{i}" for i in range(len(keys))]
     keyed = df.select(*named)
@@ -248,12 +257,13 @@ def assess(df: DataFrame, suite: Suite, run: Run) -> DataFrame:
             number += 1
         else:
             records = [
-                _count_record(number, check.groups_name, CRITICAL, check.rule, check.details, "duplicate_groups"),
+                _count_record(number, check.groups_name, check.severity, check.rule, check.details, "duplicate_groups"),
                 _count_record(
-                    number + 1, check.rows_name, CRITICAL, check.rows_rule, check.rows_details, "duplicate_rows"
+                    number + 1, check.rows_name, check.severity, check.rows_rule, check.rows_details, "duplicate_rows"
                 ),
             ]
-            frames.append(count_duplicates(df, check.key).select(F.inline(F.array(*records))))
+            counted = count_duplicates(df, check.key, *check.also, per=check.per)
+            frames.append(counted.select(F.inline(F.array(*records))))
             number += 2
     records = totals.select(F.inline(F.array(*from_rows)))
     for frame in frames:

@@ -43,8 +43,13 @@ def build_dimension(detail: DataFrame, dim: Dimension) -> DataFrame:
     members = detail.select(*[c.alias(n) for n, c in dim.natural.items()])
     if dim.members is not None:
         members = members.unionByName(dim.members(detail))
+    return keyed(members.distinct(), dim)
+
+
+def keyed(members: DataFrame, dim: Dimension) -> DataFrame:
+    """Members, given by their natural columns, with key and attributes."""
     attributes = [c.alias(n) for n, c in dim.attributes.items()]
-    return members.distinct().select(surrogate_key(*dim.natural).alias(dim.key), *dim.natural, *attributes)
+    return members.select(surrogate_key(*dim.natural).alias(dim.key), *dim.natural, *attributes)
 
 
 def build_fact(detail: DataFrame, dims: Sequence[Dimension], carried: Mapping[str, Column]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,10 @@ NULL_TYPE_CHECK = "null_primary_type_count"
 LATITUDE_CHECK = "invalid_latitude_count"
 LONGITUDE_CHECK = "invalid_longitude_count"
 
+# Names of the checks on changes alone.
+VERSIONED_IDS_CHECK = "versioned_id_count"
+SUPERSEDED_ROWS_CHECK = "superseded_version_count"
+
 # ---------------------------------------------------------------------------
 
 
@@ -125,6 +130,33 @@ def quality_suite(
     )
 
 
+def changes_suite(
+    df: DataFrame,
+    min_rows: int = MIN_RAW_ROWS,
+    max_rows: int = MAX_RAW_ROWS,
+    now: Column | None = None,
+) -> quality.Suite:
+    """The checks for rows that change others. An id may come in several versions, each with its own time of update.
+
+    Rows of one id and one time of update are duplicates; ids with several versions are counted apart, and only warn.
+    """
+    suite = quality_suite(df, min_rows, max_rows, now)
+    updated = F.coalesce(parse_timestamp_any(column_or_null(df, "updated_on")).cast("string"), F.lit(""))
+    checks = [replace(c, also=(updated,)) if isinstance(c, quality.KeyCheck) else c for c in suite.checks]
+    versions = quality.KeyCheck(
+        safe_cast("id", "bigint"),
+        VERSIONED_IDS_CHECK,
+        SUPERSEDED_ROWS_CHECK,
+        "IDs should come in one version",
+        "No version should be superseded by another",
+        "IDs with several times of update",
+        "Versions beyond the first of each ID",
+        per=updated,
+        severity=quality.WARNING,
+    )
+    return replace(suite, checks=(*checks, versions))
+
+
 def clean_detail(
     spark: SparkSession,
     raw: DataFrame,
@@ -215,9 +247,9 @@ def incident_fact(detail: DataFrame) -> DataFrame:
     return star.build_fact(detail, list(dimensions().values()), carried)
 
 
-def daily_summary_by_key(detail: DataFrame) -> DataFrame:
-    """Daily summary at the grain of date key and type key, with the trailing mean per type key."""
-    daily = star.summarize_by_key(
+def counts_by_key(detail: DataFrame) -> DataFrame:
+    """Daily counts at the grain of date key and type key."""
+    return star.summarize_by_key(
         detail,
         day="crime_date",
         kind=dimensions()["dim_crime_type"],
@@ -226,6 +258,10 @@ def daily_summary_by_key(detail: DataFrame) -> DataFrame:
         flags=summary_flags(),
         total="total_crimes",
     )
+
+
+def daily_summary_by_key(detail: DataFrame) -> DataFrame:
+    """The counts with the trailing mean per type key."""
     return summary.rolling_avg_rows(
-        daily, "total_crimes", ["crime_type_key"], "crime_date", "seven_day_rolling_avg"
+        counts_by_key(detail), "total_crimes", ["crime_type_key"], "crime_date", "seven_day_rolling_avg"
     )

@@ -6,7 +6,7 @@ after a lost executor or a failed job, starts from a stored table and leaves one
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -90,6 +90,10 @@ class Zones:
     def report(self) -> str:
         return self._at("quality", f"raw_{self.dataset}", "reports", "raw_dq_latest.md")
 
+    @property
+    def maintained(self) -> str:
+        return self._at("maintained", self.dataset)
+
     def records(self, run_id: str) -> str:
         return self._at("quality", f"raw_{self.dataset}", "dq_records", f"run_id={path_token_text(run_id)}")
 
@@ -138,6 +142,7 @@ def check_quality(
     now: Column | None = None,
     keep_every_attempt: bool = False,
     raw: str | None = None,
+    suite_of: Callable[..., quality.Suite] = incidents.quality_suite,
 ) -> DataFrame:
     """Runs the suite on the raw zone, stores the records three ways, then applies the gate.
 
@@ -146,7 +151,7 @@ def check_quality(
     """
     table = read_table(spark, raw or zones.raw)
     missing = missing_columns(table, incidents.REQUIRED_COLUMNS)
-    suite = incidents.quality_suite(table, min_rows, max_rows, now)
+    suite = suite_of(table, min_rows, max_rows, now)
     records = quality.assess(table, suite, run)
 
     # The checks run once; sinks and gate read the dozen stored records.
@@ -221,13 +226,15 @@ def refresh(
 ) -> dict[str, int]:
     """Applies newly landed rows to the tables of ``zones``; all tables of the result go to ``target``.
 
-    The changes land in a zone of their own, pass the same gate as a full load, and per id
+    The changes land in a zone of their own, pass the gate, which takes several versions of an id, and per id
     the latest ``updated_on`` stays. The old tables are only read, so a refresh that fails
     half-way is simply run again. ``target`` must be another place than ``zones``.
     """
     _apart(zones, target)
     ingest(spark, landing, target, large_files=large_files, raw=target.raw_changes)
-    check_quality(spark, target, run, min_rows, max_rows, fail_on_error, now, raw=target.raw_changes)
+    check_quality(
+        spark, target, run, min_rows, max_rows, fail_on_error, now, raw=target.raw_changes, suite_of=incidents.changes_suite
+    )
     changes = incidents.clean_detail(spark, read_table(spark, target.raw_changes), category_of_type)
     # Stored, the changes are cleaned once, and their known size decides how they are joined.
     write_table(changes, target.changes)

@@ -1,7 +1,12 @@
 from casebook.sinks.tables import append_partitioned, replace_partitions, write_by_month, write_table, write_tables
 from casebook.sinks.text import write_csv, write_lines, write_single_csv
+from casebook.sinks.versions import PART, ConcurrentWriteError, Draft, VersionedTables
 
 __all__ = [
+    "PART",
+    "ConcurrentWriteError",
+    "Draft",
+    "VersionedTables",
     "append_partitioned",
     "replace_partitions",
     "write_by_month",
