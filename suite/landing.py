@@ -139,17 +139,20 @@ CATEGORY = (
 )
 
 
-def detail_ctes(dirty: bool = False) -> str:
-    """``WITH landing, detail`` for a query on the clean detail."""
-    return f"""
-WITH landing AS ({landing_sql(dirty)}),
-typed AS (
-  SELECT * REPLACE ({BIGINT('id')} AS id, {INT('year')} AS year, {INT('district')} AS district,
+# Landing rows with the types of the detail.
+TYPED = f"""SELECT * REPLACE ({BIGINT('id')} AS id, {INT('year')} AS year, {INT('district')} AS district,
     {INT('ward')} AS ward, {INT('community_area')} AS community_area,
     {DOUBLE('latitude')} AS latitude, {DOUBLE('longitude')} AS longitude),
     {ANY_TIME('updated_on')} AS updated_timestamp, {ANY_TIME('date')} AS crime_timestamp
-  FROM landing),
-detail AS (
+  FROM {{}}""".format
+
+
+def detail_ctes(dirty: bool = False, rows: str | None = None, name: str = "detail") -> str:
+    """``WITH landing, detail`` for a query on the clean detail, of the landing rows or of other ``rows``."""
+    return f"""
+WITH landing AS ({rows or landing_sql(dirty)}),
+typed AS ({TYPED('landing')}),
+{name} AS (
   SELECT *, CAST(crime_timestamp AS DATE) AS crime_date, {CATEGORY} AS crime_category
   FROM typed WHERE id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY id
