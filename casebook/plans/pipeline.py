@@ -126,8 +126,9 @@ def ingest(
     Every file must have the required columns. ``large_files`` reads each file with many
     tasks; see ``scan_large``. ``raw`` lands somewhere else than in the raw zone.
     """
-    require_in_files(landing_layouts(spark, landing), required)
-    scan = (scan_large if large_files else scan_landing)(spark, landing, columns, source_file=True)
+    layouts = landing_layouts(spark, landing)
+    require_in_files(layouts, required)
+    scan = (scan_large if large_files else scan_landing)(spark, landing, columns, source_file=True, layouts=layouts)
     require_columns(scan, required)
     return write_table(with_lineage(scan), raw or zones.raw)
 

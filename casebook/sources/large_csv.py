@@ -27,14 +27,19 @@ BROADCAST_BLOCKS = 200_000  # blocks, of some hundred bytes each, that are told
 
 
 def scan_large(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, source_file: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    source_file: bool = True,
+    layouts: Sequence[Layout] | None = None,
 ) -> DataFrame:
     """The rows of ``scan_landing``, with many tasks per file.
 
     Takes uncompressed files in which every quote is part of a quoted field, with LF or
     CRLF line ends. Any other file is an error, never other rows.
     """
-    return united(spark, landing_layouts(spark, paths), lambda layout: _scan(spark, layout), columns, source_file)
+    layouts = landing_layouts(spark, paths) if layouts is None else layouts
+    return united(spark, layouts, lambda layout: _scan(spark, layout), columns, source_file)
 
 
 def _scan(spark: SparkSession, layout: Layout) -> DataFrame:

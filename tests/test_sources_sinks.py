@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import contextlib
+import gzip
 import os
 import random
 from collections import Counter
@@ -8,13 +9,17 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from casebook import shared_dir
+from casebook.plans import pipeline
 from casebook.session import INITIAL_PARTITIONS, SCALE_SETTINGS, shuffle_settings
 from casebook.sinks import append_partitioned, replace_partitions, write_by_month, write_csv, write_single_csv, write_table
 from casebook.sources import (
     MissingColumnsError,
     extract_range,
+    landing,
+    landing_layouts,
     missing_columns,
     read_table,
     require_columns,
@@ -300,3 +305,54 @@ def test_one_scan_for_many_counts(spark, run_dir):
     spark.range(10).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(run_dir + "/t")
     plan = plan_of(quality.count_offending(read_table(spark, run_dir + "/t"), {"x": F.col("a") > 3, "y": F.col("b") > 5}))
     assert plan.count("FileScan") == 1 and "c:bigint" not in plan
+
+
+def test_headers_of_many_small_files_reach_the_driver_as_groups(spark, run_dir, monkeypatch):
+    os.mkdir(run_dir + "/many")
+    for n in range(10_000):
+        with open(f"{run_dir}/many/{n}.csv", "w") as f:
+            f.write("id,v\n1,x\n" if n % 1000 else "")
+    monkeypatch.setattr(landing, "_header", lambda *a: pytest.fail("the driver opened a file"))
+    fetched = []
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: fetched.append(rows := collect(self)) or rows)
+    (layout,) = landing_layouts(spark, run_dir + "/many")
+    monkeypatch.undo()
+    assert [len(rows) for rows in fetched] == [1, 0]
+    assert (layout.columns, layout.files) == (("id", "v"), (run_dir + "/many",))
+    assert scan_landing(spark, run_dir + "/many", layouts=[layout]).count() == 9990
+
+
+def test_headers_are_bounded(spark, run_dir, monkeypatch):
+    monkeypatch.setattr(landing, "HEADER_CHARACTERS", 50)
+    fits = put(run_dir + "/fits.csv", "﻿\n \n" + '"a\nb",c' + "\r\n1,2\r\n" + "x" * 100)
+    for small in (landing.SMALL_FILE, 0):  # by tasks, and by the driver
+        monkeypatch.setattr(landing, "SMALL_FILE", small)
+        (layout,) = landing_layouts(spark, fits)
+        assert (layout.columns, layout.line_end) == (("a\nb", "c"), "\r\n")
+        for text in ("id," * 40, '"open,\n' + "x" * 60, '"open,\n', "a" * 50 + "\n1\n"):
+            with pytest.raises(Exception, match="no header record"):
+                landing_layouts(spark, put(run_dir + "/bad.csv", text))
+        assert landing_layouts(spark, put(run_dir + "/blank.csv", " \n\n")) == []
+
+
+def test_large_and_compressed_files_have_the_same_layouts(spark, run_dir, monkeypatch):
+    a, b = put(run_dir + "/a b.csv", "id,v\n1,x\n"), put(run_dir + "/b.csv", "id,w\n1,x\n")
+    with gzip.open(run_dir + "/c.csv.gz", "wt") as f:
+        f.write("id,v\n2,y\n")
+    paths = [a, b, run_dir + "/c.csv.gz"]
+    for small in (landing.SMALL_FILE, 0):
+        monkeypatch.setattr(landing, "SMALL_FILE", small)
+        found = {layout.columns: len(layout.files) for layout in landing_layouts(spark, paths)}
+        assert found == {("id", "v"): 2, ("id", "w"): 1}
+        assert sorted(r.id for r in scan_landing(spark, paths, columns=["id"]).collect()) == ["1", "1", "2"]
+
+
+def test_headers_are_read_once_per_ingest(spark, run_dir, monkeypatch):
+    calls = []
+    monkeypatch.setattr(landing, "landing_layouts", lambda *a: pytest.fail("read again"))
+    monkeypatch.setattr(pipeline, "landing_layouts", lambda *a: calls.append(a) or landing_layouts(*a))
+    put(run_dir + "/a.csv", "id,case_number,date,primary_type,arrest,domestic,year\n1,c,d,t,a,d,y\n")
+    for large in (False, True):
+        assert pipeline.ingest(spark, run_dir + "/a.csv", pipeline.Zones(run_dir + f"/z{large}"), large_files=large) == 1
+    assert len(calls) == 2
