@@ -5,13 +5,13 @@ from __future__ import annotations
 import argparse
 import os
 
-from casebook.plans import incidents, pipeline
+from casebook.plans import history, incidents, maintained, pipeline
 from casebook.session import build_session, shuffle_settings
 
 # The variables that set the defaults of the gate.
 MIN_ROWS_VARIABLE, MAX_ROWS_VARIABLE, FAIL_VARIABLE = "RAW_MIN_ROWS", "RAW_MAX_ROWS", "FAIL_ON_DQ_ERROR"
 
-STEPS = ("ingest", "quality", "transform", "star", "pipeline", "refresh")
+STEPS = ("ingest", "quality", "transform", "star", "pipeline", "refresh", "maintain", "update", "sweep", "compact")
 
 
 def is_yes(text: str) -> bool:
@@ -27,19 +27,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--run-id", default="manual_run")
     parser.add_argument("--logical-date", help="defaults to today in UTC")
     parser.add_argument("--target", help="root of the refreshed tables, apart from --root")
-    parser.add_argument("--min-rows", type=int, help="fewest rows that pass the gate; of the changes in a refresh, 1 by default")
+    parser.add_argument("--min-rows", type=int, help="fewest rows that pass the gate; of the changes in a refresh or update, 1 by default")
     parser.add_argument("--max-rows", type=int, default=int(os.getenv(MAX_ROWS_VARIABLE, incidents.MAX_RAW_ROWS)))
     parser.add_argument("--fail-on-error", type=is_yes, default=is_yes(os.getenv(FAIL_VARIABLE, "true")), help="true or false")
+    parser.add_argument("--keep-versions", type=int, default=2, help="versions of the maintained tables that a sweep leaves to readers")
     parser.add_argument("--large-files", action="store_true", help="read each landing file with many tasks")
     parser.add_argument("--shuffle-gb", type=float, help="expected shuffle size, sets partition counts")
     parser.add_argument("--cores", type=int, default=8, help="executor cores, used with --shuffle-gb")
     args = parser.parse_args(argv)
     if args.step == "refresh" and not args.target:
         parser.error("refresh needs --target")
-    if args.step in ("ingest", "pipeline", "refresh") and not args.landing:
+    if args.step in ("ingest", "pipeline", "refresh", "update") and not args.landing:
         parser.error(f"{args.step} needs --landing")
     if args.min_rows is None:
-        args.min_rows = 1 if args.step == "refresh" else int(os.getenv(MIN_ROWS_VARIABLE, incidents.MIN_RAW_ROWS))
+        args.min_rows = 1 if args.step in ("refresh", "update") else int(os.getenv(MIN_ROWS_VARIABLE, incidents.MIN_RAW_ROWS))
     return args
 
 
@@ -61,6 +62,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "refresh":
         target = pipeline.Zones(args.target, args.dataset)
         print("rows written:", pipeline.refresh(spark, zones, args.landing, target, run, large_files=args.large_files, **gate))
+    elif args.step == "maintain":
+        print("rows written:", maintained.create(spark, zones))
+    elif args.step == "update":
+        print("rows written:", maintained.refresh(spark, zones, args.landing, run, large_files=args.large_files, **gate))
+    elif args.step == "sweep":
+        print("members left:", maintained.sweep(spark, zones))
+        print("folders removed:", len(maintained.tables(spark, zones).vacuum(args.keep_versions)))
+    elif args.step == "compact":
+        print("records compacted:", history.compact(spark, zones, run.logical_date))
+        print("folders removed:", len(history.vacuum(spark, zones)))
     else:
         daily = pipeline.run_pipeline(spark, args.landing, zones, run, large_files=args.large_files, **gate)
         print("daily summary rows:", daily.count())

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 FEW_VALUES = 5_000  # a column of so few is counted as a set
+AT_ONCE = 100  # sketches of combined columns taken in one pass
 
 
 def _long(row: DataFrame, columns: Sequence[str], **fields: str) -> DataFrame:
@@ -95,3 +96,68 @@ def key_candidates(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     is_key = F.col("distinct_count") == F.col("total_rows")
     verdict = F.when(is_key, "unique key").otherwise("review")
     return _long(row, names, null_count="n", distinct_count="d").withColumn("verdict", verdict)
+
+
+def column_sketches(df: DataFrame, by: Column, columns: Sequence[str], log_size: int = 12) -> DataFrame:
+    """Per ``by`` (as ``day``) and column: rows, NULLs and a sketch of the values, from one pass over ``df``.
+
+    Sketches can be merged: stored per day beside the data, they profile any range of days without its rows.
+    One shuffled row per day and task, with a sketch of at most ``2 ** log_size`` bytes per column.
+    """
+    row = df.groupBy(by.alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.hll_sketch_agg(_plain(df, c).cast("string"), F.lit(log_size)).alias(f"s_{i}") for i, c in enumerate(columns)],
+    )
+    records = [F.struct(F.lit(c).alias("column_name"), "rows", F.col(f"n_{i}").alias("nulls"), F.col(f"s_{i}").alias("sketch")) for i, c in enumerate(columns)]
+    return row.select("day", F.inline(F.array(*records)))
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """Rows, NULLs and the estimated distinct count per column, over all the days of ``sketches``."""
+    estimate = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    merged = sketches.groupBy("column_name").agg(F.sum("rows").alias("total_rows"), F.sum("nulls").alias("null_count"), estimate.alias("distinct_count"))
+    return merged.withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)).cast("bigint"))
+
+
+def smallest_keys(df: DataFrame, columns: Sequence[str] | None = None, most: int = 3, log_size: int = 12) -> list[tuple[str, ...]]:
+    """All minimal sets of at most ``most`` columns that identify a row, by size and order of columns.
+
+    Level by level: sets that hold a key found before are left out, and so are sets whose columns have too few values
+    for the rows, whatever their combinations. What is left is sketched, many sets in one pass that moves a
+    sketch per set and task; only sets whose estimate is near the number of rows, six standard errors allowed for, are counted
+    exactly, from keys with counts combined before the shuffle. Columns with NULLs are no part of a key.
+    """
+    names = list(columns or df.columns)
+    row = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(names)],
+        *[_sketched(df, c, log_size).alias(f"d_{i}") for i, c in enumerate(names)],
+    ).first()
+    total, margin = row["total"], 6 * 1.04 / 2 ** (log_size / 2)
+    values = {c: max(1, row[f"d_{i}"]) * (1 + margin) for i, c in enumerate(names) if row[f"n_{i}"] == 0}
+    keys: list[tuple[str, ...]] = []
+    for size in range(1, most + 1):
+        sets = [s for s in itertools.combinations(values, size) if not any(set(k) <= set(s) for k in keys)]
+        sets = [s for s in sets if _product(values[c] for c in s) >= total]
+        near = [s for s in sets if size == 1 and values[s[0]] >= total * (1 - margin)]
+        for start in range(0, len(sets) if size > 1 else 0, AT_ONCE):
+            some = sets[start : start + AT_ONCE]
+            combined = [F.xxhash64(*[_plain(df, c) for c in s]) for s in some]
+            found = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(log_size))).alias(f"d_{i}") for i, c in enumerate(combined)]).first()
+            near += [s for i, s in enumerate(some) if (found[f"d_{i}"] or 0) >= total * (1 - margin)]
+        keys += [s for s in near if _unique(df, s)]
+    return keys
+
+
+def _product(numbers) -> float:
+    result = 1.0
+    for n in numbers:
+        result *= n
+    return result
+
+
+def _unique(df: DataFrame, columns: Sequence[str]) -> bool:
+    named = [_plain(df, c).alias(f"k{i}") for i, c in enumerate(columns)]
+    counted = df.select(*named).groupBy(*[f"k{i}" for i in range(len(named))]).count()
+    return counted.where("count > 1").isEmpty()

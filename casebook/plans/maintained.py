@@ -10,6 +10,8 @@ tables are written. What a failed refresh leaves behind is written over when it
 * Detail and fact: rows of changed ids are replaced in the months that they leave and enter.
 * Summaries: old versions are taken out of the counts, new ones put in; trailing averages are taken anew for the types
   that changed, and months whose averages changed by that are written as well.
+* ``column_sketches`` has a mergeable sketch of each profiled column and day, so that ``profile_of`` reads no detail; those
+  of touched months are taken anew.
 * Dimensions: members that are new are added, in a part of their own. A member whose last incident is changed stays,
   until ``sweep`` removes members that no incident refers to.
 
@@ -23,12 +25,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casebook.operators import maintain, quality, star, summary
+from casebook.operators import maintain, profile, quality, star, summary
 from casebook.plans import incidents, pipeline
 from casebook.sinks import PART, Draft, VersionedTables, write_table
 from casebook.sources import read_table
 
 DETAIL, FACT, DAILY, BY_KEY, KEYS = "detail", "fact_crime_incident", "daily_summary", "agg_daily_crime_summary", "keys"
+SKETCHES = "column_sketches"
+PROFILED = (
+    "case_number",
+    "block",
+    "iucr",
+    "primary_type",
+    "description",
+    "location_description",
+    "beat",
+    "district",
+    "ward",
+    "community_area",
+    "crime_category",
+)
 KEY_PARTS = 16
 LINEAGE = ("ingestion_timestamp", "source_file")
 AVERAGE = "seven_day_rolling_avg"
@@ -78,10 +94,25 @@ def create(spark: SparkSession, zones: pipeline.Zones) -> dict[str, int]:
         draft.replace_parts(name, _by_month(build(detail), "crime_date"))
     for name, dim in incidents.dimensions().items():
         draft.replace(name, star.build_dimension(detail, dim))
+    draft.replace_parts(SKETCHES, _sketches(draft.read(DETAIL, draft.tables[DETAIL].parts)))
     draft.commit()
     return draft.rows
 
 
+def _sketches(detail: DataFrame) -> DataFrame:
+    return _by_month(profile.column_sketches(detail, F.col("crime_date"), PROFILED), "day")
+
+
+def profile_of(spark: SparkSession, zones: pipeline.Zones, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows, NULLs and estimated distinct values per profiled column, of all days or of those from ``first`` to ``last``."""
+    held = tables(spark, zones)
+    if first is None or last is None:
+        return profile.merged_profile(held.read(SKETCHES))
+    months = [m for m in held.parts(SKETCHES) if first[:7] <= m <= last[:7]]
+    days = F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return profile.merged_profile(held.read(SKETCHES, months).where(days))
+
+
 def _months(df: DataFrame, *names: str) -> list[str]:
     """The distinct months in the named columns: no more than the calendar has."""
     months = F.explode(F.array_distinct(F.array(*names)))
@@ -127,6 +158,7 @@ def apply(spark: SparkSession, zones: pipeline.Zones, changes: DataFrame) -> dic
         draft.replace_parts(name, _by_month(kept.select(*fresh.columns).unionByName(fresh), moment), months)
 
     replaced(DETAIL, added, "crime_date")
+    draft.replace_parts(SKETCHES, _sketches(draft.read(DETAIL, months)), months)
     replaced(FACT, incidents.incident_fact(added), "crime_timestamp")
     for name, (grain, kind) in SUMMARIES.items():
         _refresh_summary(spark, held, draft, name, added, removed, grain, kind)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions import path_token_text
 from casebook.operators import merge, quality, star
-from casebook.plans import incidents
+from casebook.plans import history, incidents
 from casebook.sinks import (
     append_partitioned,
     replace_partitions,
@@ -86,6 +86,10 @@ class Zones:
     def history(self) -> str:
         return self._at("quality", f"raw_{self.dataset}", "dq_results_history")
 
+    @property
+    def closed_history(self) -> str:
+        return self._at("quality", f"raw_{self.dataset}", "dq_results_closed")
+
     @property
     def report(self) -> str:
         return self._at("quality", f"raw_{self.dataset}", "reports", "raw_dq_latest.md")
@@ -164,6 +168,7 @@ def check_quality(
     write_single_csv(results, zones.current(run.run_id), order_by="check_no")
     store = append_partitioned if keep_every_attempt else replace_partitions
     store(rows, zones.history, HISTORY_PARTITIONS)
+    history.reopen(spark, zones, run)
     write_lines(quality.report_lines(results, run, short=bool(missing)), zones.report)
 
     if missing:
@@ -181,8 +186,8 @@ def enforce(results: DataFrame) -> None:
 
 
 def read_history(spark: SparkSession, zones: Zones) -> DataFrame:
-    """All stored check records. The schema is given because a date-like folder name would turn into a DATE."""
-    return read_table(spark, zones.history, quality.RESULT_SCHEMA)
+    """All stored check records, compacted or not."""
+    return history.read(spark, zones)
 
 
 def transform(

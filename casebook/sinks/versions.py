@@ -151,6 +151,14 @@ class Draft:
     def path(self, name: str) -> str:
         return f"{self.base.root}/{name}/v{self.version:08d}"
 
+    def read(self, name: str, parts: Iterable[str]) -> DataFrame:
+        """Some parts of a table as this draft has them."""
+        table = self.tables[name]
+        schema = T.StructType.fromJson(json.loads(table.schema))
+        wanted = sorted({table.parts[p] for p in parts if p in table.parts})
+        spark = self.base.spark
+        return spark.read.schema(schema).parquet(*[f"{self.base.root}/{f}" for f in wanted]) if wanted else spark.createDataFrame([], schema)
+
     def _commit_table(self, name: str, schema: T.StructType, parts: dict[str, str], rows: int) -> int:
         self.tables[name] = Table(schema.json(), parts)
         self.rows[name] = rows

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from casebook.functions import flag, parse_timestamp, parse_timestamp_any, path_token, safe_cast, surrogate_key
@@ -287,6 +289,28 @@ def key_candidates(spark, sf_dir):
     return profile.key_candidates(landing(spark, sf_dir, dirty=True), DIRTY_PROFILE)
 
 
+KEY_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
+
+
+def key_sets_sql(most: int) -> str:
+    """All sets of columns, whether each is unique, and those that are and hold no smaller one."""
+    sets = [s for size in range(1, most + 1) for s in itertools.combinations(KEY_COLUMNS, size)]
+    rows = " UNION ALL ".join(
+        f"SELECT {list(s)!r} AS names, {len(s)} AS size, count(*) = (SELECT count(*) FROM lineitem) AS is_key"
+        f" FROM (SELECT DISTINCT {', '.join(s)} FROM lineitem)"
+        for s in sets
+    )
+    return f"""WITH sets AS ({rows}), keys AS (SELECT * FROM sets WHERE is_key)
+    SELECT array_to_string(names, ',') AS key_columns, CAST(size AS INTEGER) AS size FROM keys k
+    WHERE NOT EXISTS (SELECT 1 FROM keys s WHERE s.size < k.size AND list_has_all(k.names, s.names))"""
+
+
+@query("smallest_keys", key_sets_sql(3))
+def smallest_keys(spark, sf_dir):
+    keys = profile.smallest_keys(table(spark, sf_dir, "lineitem"), KEY_COLUMNS, most=3)
+    return spark.createDataFrame([(",".join(k), len(k)) for k in keys], "key_columns STRING, size INT")
+
+
 # Every order changes: status P gets a newer version, O a version that is too old, F a new key.
 CHANGES = {
     "o_orderkey": "CASE WHEN o_orderstatus = 'F' THEN o_orderkey + 1000000000 ELSE o_orderkey END",

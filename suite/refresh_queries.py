@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casebook import shared_dir
-from casebook.operators import quality
+from casebook.operators import profile, quality
 from casebook.plans import maintained, pipeline
 from suite.clean_queries import as_text, key_sql
 from suite.landing import ANY_TIME, BIGINT, CATEGORY, TIME_FORMATS, TYPED, detail_ctes, expressions, flag_sql
@@ -178,6 +178,29 @@ def refresh_dim_point(spark, sf_dir):
     return maintained.read(spark, swept(spark, sf_dir), "dim_location_point")
 
 
+PROFILED_DAYS = ("2024-01-10", "2024-02-20")
+
+
+@query(
+    "refresh_profile",
+    f"{refreshed_ctes()} "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) FILTER ({c} IS NULL) AS null_count, true AS within_bound
+        FROM detail WHERE crime_date BETWEEN DATE '{PROFILED_DAYS[0]}' AND DATE '{PROFILED_DAYS[1]}'"""
+        for c in maintained.PROFILED
+    ),
+)
+def refresh_profile(spark, sf_dir):
+    """A range of days from stored sketches, held against exact counts: six standard errors are allowed."""
+    zones = refreshed(spark, sf_dir)
+    found = maintained.profile_of(spark, zones, *PROFILED_DAYS)
+    days = [F.lit(d).cast("date") for d in PROFILED_DAYS]
+    detail = maintained.read(spark, zones, "detail").where(F.col("crime_date").between(*days))
+    exact = profile.distinct_profile(detail, maintained.PROFILED).withColumnRenamed("distinct_count", "exact")
+    off = F.abs(F.col("distinct_count") - F.col("exact")) <= 6 * 1.04 / 64 * F.col("exact")
+    return found.join(exact, "column_name").select("column_name", "total_rows", "null_count", off.alias("within_bound"))
+
+
 def change_records_sql() -> str:
     counts = ", ".join(f"count(*) FILTER ({text}) AS {name}" for name, text in OFFENDS_SQL.items())
     updated = f"COALESCE({ANY_TIME('updated_on')}, TIMESTAMP '0001-01-01')"

@@ -9,8 +9,10 @@ from casebook.functions import column_or_null
 from casebook.operators import quality
 from casebook.sinks import (
     append_partitioned,
+    read_clustered,
     replace_partitions,
     write_by_month,
+    write_clustered,
     write_csv,
     write_lines,
     write_single_csv,
@@ -70,6 +72,20 @@ def extract_date_range(spark, sf_dir):
     return rows.select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("o_orderdate"))
 
 
+@query(
+    "extract_clustered",
+    f"""SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
+    WHERE o_orderdate BETWEEN TIMESTAMP '{EXTRACT[0]}' AND TIMESTAMP '{EXTRACT[1]}'""",
+)
+def extract_clustered(spark, sf_dir):
+    """The same extract from a table laid out by ranges of the date: files of other years are not read."""
+    path = shared_dir(spark, "clustered")
+    write_clustered(table(spark, sf_dir, "orders"), path, "o_orderdate", rows_per_file=10_000)
+    first, last = (F.lit(t).cast("timestamp_ntz") for t in EXTRACT)
+    rows = read_clustered(spark, path, "o_orderdate", first, last)
+    return rows.select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("o_orderdate"))
+
+
 @query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_discount >= 0.05")
 def scan_parquet(spark, sf_dir):
     rows = read_table(spark, f"{sf_dir}/lineitem.parquet")
