@@ -219,15 +219,30 @@ def star_join_summary(spark, sf_dir):
     return star.star_totals(daily, tables, ["weekday", "month", "iucr"], measures)
 
 
+# Members that are taken out of their dimensions, so that incidents refer to what is not there.
+LOST_MEMBERS = {
+    "date_key": ("crime_date", "crime_date IS NULL OR day(crime_date) = 3"),
+    "crime_type_key": (", ".join(TYPE_COLUMNS), "primary_type = 'THEFT'"),
+    "police_area_key": ("beat, district", "district IS NULL"),
+    "location_type_key": ("location_description", "location_description IS NULL OR location_description = 'ALLEY'"),
+}
+WHOLE_DIMENSIONS = ("time_of_day_key", "civic_area_key", "location_point_key")
+
+
 @query(
     "fk_orphans",
-    f"""{detail_ctes(dirty=True)} SELECT foreign_key, count(*) AS fact_rows, 0::BIGINT AS orphan_keys,
-    0::BIGINT AS orphan_rows FROM detail, (VALUES ('date_key'), ('time_of_day_key'), ('crime_type_key'),
-      ('police_area_key'), ('civic_area_key'), ('location_type_key'), ('location_point_key')) k(foreign_key)
-    GROUP BY foreign_key""",
+    detail_ctes(dirty=True)
+    + " UNION ALL ".join(
+        f"""SELECT '{key}' AS foreign_key, (SELECT count(*) FROM detail) AS fact_rows,
+        (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM detail WHERE {lost})) AS orphan_keys,
+        (SELECT count(*) FROM detail WHERE {lost}) AS orphan_rows"""
+        for key, (columns, lost) in {**LOST_MEMBERS, **{k: ("id", "false") for k in WHOLE_DIMENSIONS}}.items()
+    ),
 )
 def fk_orphans(spark, sf_dir):
-    return star.foreign_key_orphans(*stored_star(spark, sf_dir, dirty=True))
+    fact, tables = stored_star(spark, sf_dir, dirty=True)
+    lost = {key: tables[key].where(F.expr(f"NOT coalesce({condition}, false)")) for key, (_, condition) in LOST_MEMBERS.items()}
+    return star.foreign_key_orphans(fact, tables | lost)
 
 
 @query(
