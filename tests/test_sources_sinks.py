@@ -20,6 +20,7 @@ from casebook.sources import (
     extract_range,
     landing,
     landing_layouts,
+    large_csv,
     missing_columns,
     read_table,
     require_columns,
@@ -218,6 +219,15 @@ def test_scans_agree_on_random_text_or_the_large_one_refuses(spark, run_dir):
     assert agreed >= 15
 
 
+def test_long_pieces_are_read_once_more(spark, run_dir, monkeypatch):
+    monkeypatch.setattr(large_csv, "PIECE_BYTES", 4)
+    text = 'id,"v\nw"\n' + "".join(f'{i},"a{i}\n\nb""b\n"\n{i},plain\n' for i in range(9)) + '9,"' + "x\n" * 80 + '"\n'
+    path = put(run_dir + "/a.csv", text)
+    for block in ("128m", "30b"):
+        with setting(spark, "spark.sql.files.maxPartitionBytes", block):
+            assert same_rows(scan_large(spark, path, source_file=False), scan_landing(spark, path)), block
+
+
 def test_scan_reads_only_what_is_asked(spark, run_dir):
     spark.range(10).selectExpr("id", "id AS a", "id AS b").write.parquet(run_dir + "/t")
     plan = plan_of(read_table(spark, run_dir + "/t").filter("a > 3").select("id"))
