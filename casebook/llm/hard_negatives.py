@@ -21,6 +21,7 @@ label, then, for each of them, the ``negatives`` best rows of other labels in a
 
 from __future__ import annotations
 
+import dataclasses
 import heapq
 import math
 from collections.abc import Iterator
@@ -200,7 +201,7 @@ def _planned(anchors: DataFrame, shared, skip: int, upto: int, goals: int) -> Da
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
 
     def run(batches):
-        index = shared.value
+        index = Index(*shared.value)
         for whole in batches:
             for start in range(0, whole.num_rows, 4 * BLOCK_ANCHORS):
                 batch = whole.slice(start, 4 * BLOCK_ANCHORS)
@@ -268,10 +269,11 @@ def _scored(met: DataFrame, shared, goals: int, best: int, same: bool) -> DataFr
         return pa.RecordBatch.from_arrays([*columns, row["keys"].values.take(pa.array(chosen)), scores], names=schema.names)
 
     def run(batches):
+        index = Index(*shared.value)
         for batch in batches:
             for number in range(batch.num_rows):
                 row = {name: column[number] for name, column in zip(batch.schema.names, batch.columns)}
-                if (out := pair(shared.value, row)) is not None:
+                if (out := pair(index, row)) is not None:
                     yield out
 
     return met.mapInArrow(run, schema)
@@ -334,7 +336,7 @@ def mine(
     whole = F.col("key").isNotNull() & F.col("label").isNotNull() & F.forall("vector", lambda x: x.isNotNull())
     flagged = scratch.store(flagged.where(whole).withColumn("row", F.monotonically_increasing_id()), "rows")
     index, chunks = build(scratch, flagged.select("row", "key", "label", "vector"))
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    shared = rows.sparkSession.sparkContext.broadcast(dataclasses.astuple(index))
     anchors = flagged.where("is_anchor").select("row", "key", "label", "vector")
 
     def goals(low: Column, high: Column) -> list[Column]:
