@@ -6,9 +6,11 @@ node is its information, ``-log`` of the share of the node's pages that hold it.
 ``LEAST_PAGES`` pages that all differ, so they rest on shares alone and not on the size of the host. A text that stands in
 the same place on page after page is of low importance and is removed from each; other texts of that place stay.
 Elements that say what they are (fixed lists below) need no statistics: navigation, forms, scripts and the like weigh
-nothing, and if a page marks an article or main part, only that part counts, and all of it. Names are whole classes
-or ids. The page, its body, main part and articles, and whatever holds one of them, are never noise by name or as a form;
-nor is a form around more than half of the page's text, which is a frame of the page.
+nothing. If a page marks articles or a main part that have at least a third of its text, only those count. Names are whole
+classes or ids of elements that hold blocks; of headings, paragraphs and inline elements only classes of adverts count. Names that
+articles use for their own parts as well (``related``, ``notice``) are evidence inside an article, not a verdict: the tree judges such
+texts, by ``SUSPECT_IMPORTANCE``. The page, its body, main part and articles, and whatever holds one of them, are never noise by name or as
+a form; nor is a form around more than half of the page's text, which is a frame of the page.
 
 * Hosts with fewer than ``LEAST_PAGES`` different pages are judged by the tree merged over all hosts.
   Equal pages of a host count once.
@@ -25,6 +27,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +39,8 @@ from casebook.llm.common import Scratch, narrow, query, table
 LEAST_PAGES = 20
 CONTENT_SHARE = 0.8  # of a text's importance; the rest is that of its node's presentation
 LOW_IMPORTANCE = 0.3
-DEEPEST = 256  # elements below are taken as their ancestor at that depth
+SUSPECT_IMPORTANCE = 0.7  # below this, a text goes whose element has a doubtful name
+SUSPECT = "?"  # before the paths of such texts, which are places of their own
 
 # Elements and names by what they mean in HTML pages.
 RAW_TEXT = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -51,6 +56,11 @@ NOISE_NAMES = frozenset(
     "sidebar sidebars footer comment comments commentlist disqus reply replies related recommended share sharing social "
     "widget widgets pagination pager toolbar login signup search".split()
 )
+ADVERT_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense".split())
+DOUBTFUL_NAMES = frozenset(
+    "notice notices related recommended share sharing social promo promotion widget widgets search menu footer reply replies "
+    "navigation subscription sponsor sponsored login signup popup overlay modal".split()
+)
 MARKS = frozenset("main article".split())  # elements and roles
 CORE_ELEMENTS = MARKS | frozenset("html body".split())
 OUTER_NAMES = frozenset("header masthead banner topbar hero".split())  # noise outside an article only
@@ -59,6 +69,7 @@ BLOCKS = frozenset(
     "h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table caption tbody td "
     "tfoot th thead tr ul".split()
 )
+NAMED = BLOCKS - frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre dt caption figcaption legend summary hr".split())  # whose names tell something
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot caption html body option optgroup legend".split())
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -70,6 +81,9 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
+OUTSIDE = ("", "", False, False, 0, 0, False)  # the stack's entry for what has no element
+
+
 def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
@@ -80,7 +94,8 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple] = []  # path, text, inside an article, innermost wrapper
         self.styles: list[tuple] = []  # path, checksum of children, innermost wrapper
-        self.stack: list[list] = []  # name, path, is noise, is article, checksum of children, innermost wrapper
+        self.stack: list[list] = []  # name, path, is noise, is article, checksum of children, innermost wrapper, is doubtful
+        self.open = Counter()  # names on the stack
         self.text: list[str] = []
         # elements that are noise by name or as a form, unless they hold a core element: outer wrapper, holds one, is noise as a form only
         self.wrappers: list[list] = [[-1, True, False]]  # the first is the page's own
@@ -91,7 +106,8 @@ class Page:
             noise.append(not holds or (outer >= 0 and noise[outer]))
         self.blocks = [b[:3] for b in self.blocks if not noise[b[3]]]
         self.styles = [t[:2] for t in self.styles if not noise[t[2]]]
-        self.has_article = any(b[2] for b in self.blocks)
+        inside = sum(len(b[1]) for b in self.blocks if b[2] or b[0].startswith(SUSPECT))
+        self.has_article = inside > 0 and 3 * inside >= sum(len(b[1]) for b in self.blocks)
 
     def _keep_frames(self) -> None:
         """Forms with more than half of the text that is not noise by name."""
@@ -110,11 +126,15 @@ class Page:
         return bool(attrs) and (attrs.get("role", "").lower() in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true")
 
     def _wrapper(self, name: str, attrs: dict[str, str], in_article: bool) -> str:
-        """``name`` or ``form`` if the element is noise as such unless it holds a core element."""
+        """``name`` or ``form`` if the element is noise as such unless it holds a core element, ``doubt`` if the tree is to judge."""
+        if attrs and name not in NAMED:
+            return "name" if ADVERT_NAMES & {*attrs.get("class", "").lower().split()} else ""
         if attrs:
             words = {*attrs.get("class", "").lower().split(), attrs.get("id", "").lower().strip()}
-            if words & NOISE_NAMES or (not in_article and words & OUTER_NAMES):
+            if words & (NOISE_NAMES - DOUBTFUL_NAMES if in_article else NOISE_NAMES | OUTER_NAMES):
                 return "name"
+            if in_article and words & DOUBTFUL_NAMES:
+                return "doubt"
         return "form" if name == "form" or attrs.get("role", "").lower() == "form" else ""
 
     def _flush(self) -> None:
@@ -122,19 +142,14 @@ class Page:
             value = " ".join(html.unescape("".join(self.text)).split())
             self.text.clear()
             if value and self.stack and not self.stack[-1][2]:
-                self.blocks.append((self._block_path(), value, self.stack[-1][3], self.stack[-1][5]))
+                _, path, _, article, _, wrapper, doubtful = self.stack[-1]
+                self.blocks.append((SUSPECT + path if doubtful else path, value, article and not doubtful, wrapper))
             elif value and not self.stack:
                 self.blocks.append(("", value, False, 0))
 
-    def _block_path(self) -> str:
-        """Of the innermost block: inline elements are part of it."""
-        for name, path, *_ in reversed(self.stack):
-            if name in BLOCKS:
-                return path
-        return self.stack[-1][1]
-
     def _pop(self) -> None:
-        name, path, noise, _, children, wrapper = self.stack.pop()
+        name, path, noise, _, children, wrapper, _ = self.stack.pop()
+        self.open[name] -= 1
         if not noise and name in BLOCKS:
             self.styles.append((path, children, wrapper))
 
@@ -147,7 +162,7 @@ class Page:
         closes = CLOSES_SAME.get(name, set())
         if name in CLOSES_P:
             closes = closes | {"p"}
-        if closes:
+        if any(self.open[c] for c in closes):
             for depth in reversed(range(len(self.stack))):
                 other = self.stack[depth][0]
                 if other in closes:
@@ -159,36 +174,41 @@ class Page:
         if name in VOID:
             return
         attrs = attributes(text) if text.strip() else {}
-        parent = self.stack[-1] if self.stack else ["", "", False, False, 0, 0]
+        parent = self.stack[-1] if self.stack else list(OUTSIDE)
         noise = parent[2] or self._noise(name, attrs, parent[3])
         marked = name in MARKS or attrs.get("role", "").lower() in MARKS
-        wrapper = parent[5]
+        wrapper, doubtful = parent[5], parent[6]
+        why = "" if noise or marked or name in CORE_ELEMENTS else self._wrapper(name, attrs, parent[3])
         if not noise and (marked or name in CORE_ELEMENTS):
             outer = wrapper
             while not self.wrappers[outer][1]:  # those around one that holds a core element hold it as well
                 self.wrappers[outer][1] = True
                 outer = self.wrappers[outer][0]
-        elif not noise and (why := self._wrapper(name, attrs, parent[3])):
+        elif why == "doubt":
+            doubtful = True
+        elif why:
             self.wrappers.append([wrapper, False, why == "form"])
             wrapper = len(self.wrappers) - 1
-        if (noise, wrapper) != (parent[2], parent[5]):
+        if (noise, wrapper, doubtful) != (parent[2], parent[5], parent[6]):
             self._flush()
         article = parent[3] or (not noise and marked)
         label = ".".join([name, *sorted(attrs.get("class", "").lower().split())])
-        path = f"{parent[1]}/{label}" if name in BLOCKS and len(self.stack) < DEEPEST else parent[1]
-        if name in BLOCKS:
+        path = parent[1]
+        if name in BLOCKS:  # the path's elements and classes, whatever their number, as 64 bits
+            path = blake2b(f"{path}/{label}".encode(), digest_size=8).hexdigest()
             parent[4] = zlib.crc32(label.encode(), parent[4])
-        self.stack.append([name, path, noise, article, 0, wrapper])
+        self.stack.append([name, path, noise, article, 0, wrapper, doubtful])
+        self.open[name] += 1
 
     def _close(self, name: str) -> None:
-        if not any(entry[0] == name for entry in self.stack):
+        if not self.open[name]:
             return
         if name in BLOCKS or self.stack[-1][2]:
             self._flush()
         while True:
             was = self.stack[-1]
-            outer = self.stack[-2] if len(self.stack) > 1 else ["", "", False, False, 0, 0]
-            if (was[2], was[5]) != (outer[2], outer[5]):
+            outer = self.stack[-2] if len(self.stack) > 1 else OUTSIDE
+            if (was[2], was[5], was[6]) != (outer[2], outer[5], outer[6]):
                 self._flush()
             self._pop()
             if was[0] == name:
@@ -219,7 +239,10 @@ class Page:
             self._pop()
 
     def kept(self) -> list[tuple[str, str, bool]]:
-        return [b for b in self.blocks if b[2]] if self.has_article else self.blocks
+        """The article's blocks, if there is one; else all of them, unmarked."""
+        if self.has_article:
+            return [b for b in self.blocks if b[2] or b[0].startswith(SUSPECT)]
+        return [(path, text, False) for path, text, _ in self.blocks]
 
 
 def with_blocks(rows: DataFrame) -> DataFrame:
@@ -272,15 +295,17 @@ def low_texts(scratch: Scratch, pages: DataFrame) -> tuple[DataFrame, DataFrame]
     places = places.groupBy("tree", "path").agg(F.count("*").alias("all_n")).where(F.col("all_n") >= LEAST_PAGES)
     seen = F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), place_and_text(b).alias("value")))
     texts = unmarked.select("tree", F.explode(F.array_distinct(seen)).alias("t")).groupBy("tree", "t.path", "t.value").agg(F.count("*").alias("n"))
-    least_share = LEAST_PAGES ** (-LOW_IMPORTANCE / CONTENT_SHARE)  # of a text of low importance, whatever its node's presentation
+    least = F.when(F.col("path").startswith(SUSPECT), SUSPECT_IMPORTANCE).otherwise(LOW_IMPORTANCE)
+    least_share = F.pow(F.lit(float(LEAST_PAGES)), -least / CONTENT_SHARE)  # of a text of low importance, whatever its node's presentation
     texts = texts.where(F.col("n") > 0.99 * least_share * LEAST_PAGES)  # others need not meet by path
     styles = judged.select("tree", F.explode("styles").alias("s"))
-    styles = styles.select("tree", F.col("s.path").alias("path"), F.col("s.children").alias("value"))
-    nodes = places.join(entropy(styles, ["tree", "path"], "look"), ["tree", "path"], "left")
+    styles = styles.select("tree", F.col("s.path").alias("node"), F.col("s.children").alias("value"))
+    places = places.withColumn("node", F.ltrim(F.col("path"), F.lit(SUSPECT)))
+    nodes = places.join(entropy(styles, ["tree", "node"], "look"), ["tree", "node"], "left")
     nodes = scratch.store(nodes.select("tree", "path", "all_n", F.coalesce("look", F.lit(0.0)).alias("look")), "nodes")  # of known size
     content = F.least(F.log(F.col("all_n") / F.col("n")) / F.log(F.lit(LEAST_PAGES)), F.lit(1.0))
     importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * F.col("look")
-    low = texts.join(nodes, ["tree", "path"]).where(importance < LOW_IMPORTANCE).groupBy("tree").agg(F.collect_list("value").alias("low"))
+    low = texts.join(nodes, ["tree", "path"]).where(importance < least).groupBy("tree").agg(F.collect_list("value").alias("low"))
     return scratch.store(low, "low"), hosts.select("host", F.when(F.col("pages") >= LEAST_PAGES, F.col("host")).otherwise("*").alias("tree"))
 
 

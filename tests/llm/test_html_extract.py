@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import math
+import random
+import time
+from collections import Counter, defaultdict
+
 import pytest
 
 from casebook.llm import html_extract
@@ -114,3 +119,91 @@ def test_a_rare_text_stays_where_another_repeats(spark):
 )
 def test_names_and_forms_around_the_article(source, text):
     assert text_of(source) == text
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ('<article><h2 id="search">Search</h2><p>kept</p><h2 id="navigation">Navigation</h2><p>as well</p></article>', "Search\nkept\nNavigation\nas well"),
+        ('<article><p class="notice">Take notice.</p><p>kept</p></article>', "Take notice.\nkept"),
+        ('<article><p>kept</p><section class="related"><h2>Related work</h2><p>Others.</p></section></article>', "kept\nRelated work\nOthers."),
+        ('<article><p>See <span id="reply">her reply</span> to it.</p></article>', "See her reply to it."),
+        ("<div class=teaser><article><p>Teaser.</p></article></div><div><p>The main text, which is longer by far.</p></div>", "Teaser.\nThe main text, which is longer by far."),
+        ("<main><p>kept</p><div class=newsletter>no</div><ul class=pagination><li>1</ul><p class='ad'>no</p></main>", "kept"),
+    ],
+)
+def test_names_are_evidence_and_no_verdict(source, text):
+    assert text_of(source) == text
+
+
+def test_the_tree_judges_doubtful_parts_of_articles(spark):
+    rows = []
+    for i in range(40):
+        parts = f"<section class=related><h2>Related work</h2><p>Paper {i}</p></section><div class=share>Tell your friends</div>"
+        rows.append((i, f"http://a.org/{i}", f"<article><p>Text {i}</p><p>On all pages</p>{parts}</article>"))
+    found = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()}
+    assert all(found[i] == f"Text {i}\nOn all pages\nPaper {i}" for i in range(40))
+
+
+def by_brute_force(rows):
+    """The style tree in plain Python, over the parsed pages."""
+    parsed, seen, hosts = [], set(), defaultdict(list)
+    for key, url, source in rows:
+        page, host = Page(source), url.split("://")[1].split("/")[0]
+        blocks = page.kept()
+        parsed.append((key, host, blocks))
+        content = (host, "\n".join(t for _, t, _ in blocks))
+        if content not in seen:
+            seen.add(content)
+            hosts[host].append((blocks, page.styles))
+    least = html_extract.LEAST_PAGES
+    tree_of = {h: h if len(p) >= least else "*" for h, p in hosts.items()}
+    holders, holds, looks = Counter(), Counter(), defaultdict(Counter)
+    for host, own in hosts.items():
+        for blocks, styles in own:
+            holders.update({(tree_of[host], p) for p, _, m in blocks if not m})
+            holds.update({(tree_of[host], p, t) for p, t, m in blocks if not m})
+            for path, children in styles:
+                looks[tree_of[host], path][children] += 1
+
+    def importance(tree, path, text):
+        n, seen = holders[tree, path], looks[tree, path.lstrip("?")]
+        total = sum(seen.values())
+        spread = -sum(c / total * math.log(c / total) for c in seen.values()) if total else 0
+        look = 1.0 if total == 1 else min(spread / math.log(min(total, least)), 1.0) if total else 0.0
+        content = min(math.log(n / holds[tree, path, text]) / math.log(least), 1.0)
+        return html_extract.CONTENT_SHARE * content + (1 - html_extract.CONTENT_SHARE) * look
+
+    found, removed = {}, 0
+    for key, host, blocks in parsed:
+        kept = []
+        for path, text, marked in blocks:
+            limit = html_extract.SUSPECT_IMPORTANCE if path.startswith("?") else html_extract.LOW_IMPORTANCE
+            if marked or holders[tree_of[host], path] < least or importance(tree_of[host], path, text) >= limit:
+                kept.append(text)
+            else:
+                removed += 1
+        found[key] = "\n".join(kept)
+    return found, removed
+
+
+def test_the_tree_agrees_with_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        def words(many):
+            return " ".join(rng.choice("abcdefgh") for _ in range(many))
+
+        parts = [f"<{tag}{name}><p>{words(rng.choice([1, 1, 2, 5]))}</p></{tag}>" for tag, name in rng.choices([("div", ""), ("div", " class=related"), ("section", " class=x"), ("ul", " id=share")], k=rng.randrange(1, 7))]
+        outer = rng.choice(["article", "div", "div"])
+        rows.append((i, f"http://h{min(i % 7, 4)}/{i}", f"<body><{outer}>{''.join(parts)}</{outer}><div><p>{words(1)}</p></div></body>"))
+    expected, removed = by_brute_force(rows)
+    assert {r.page_id: r.text for r in html_extract.extract(pages(spark, rows)).collect()} == expected
+    assert removed > 20
+
+
+def test_hostile_tags_take_linear_time():
+    for source in ("<b>" * 60_000 + "</i>" * 60_000, "<div>" * 60_000 + "x", "<b>" * 30_000 + "<h1>x</h1>" * 30_000):
+        start = time.perf_counter()
+        Page(source)
+        assert time.perf_counter() - start < 10
