@@ -5,8 +5,9 @@ decoding with a penalty per change labels spans of words.
 
 * Training: letter 3- and 4-grams (hashed into ``BUCKETS``) of about ``per_language`` labelled texts
   of each language, those with the lowest hashes. The model is a fixed-size table of log odds.
-* Prediction: every whole text. Long texts are decoded in pieces of ``PIECE`` letters; the scores of
-  the last word are carried into the next piece, so memory does not grow with a text.
+* Prediction: every whole text. Long texts are scored in pieces of about ``PIECE`` characters, cut between words;
+  the scores of the last word are carried into the next piece, and a byte per word and language is kept to trace the best
+  labels back through the whole text. So labels do not depend on the pieces.
 * Null text, or text without a letter: language ``und``, score 0, no span. No labelled row at all:
   every text is ``und``. Equal texts get equal results; extra columns are neither read nor kept.
 * Languages tie: the first in alphabetical order. The score is the language's share of the letters.
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.llm.common import flat, narrow, place, query, table, text_batches
 
@@ -117,19 +119,17 @@ class Model:
         return scores
 
 
-def decode(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray]:
-    """Best language of each word of several texts at once, and the scores after the last word.
+def forward(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word and language the best language of the word before, the scores after the last words, and the live texts.
 
-    ``size`` has the words of each text, ``first`` the scores carried in. Texts are taken longest
-    first, so that step t works on the texts that have a t-th word.
+    ``size`` has the words of each text, longest first, ``first`` the scores carried in. Step t
+    works on the texts that have a t-th word.
     """
-    order = np.argsort(-size, kind="stable")
-    ordered = size[order]
-    begins = (np.cumsum(size) - size)[order]
-    state = first[order].copy()
+    begins = np.cumsum(size) - size
+    state = first.copy()
     back = np.zeros(scores.shape, np.int8 if scores.shape[1] < 128 else np.int32)
-    longest = int(ordered[0]) if len(ordered) else 0
-    live = np.searchsorted(-ordered, -np.arange(1, longest + 1), side="right")
+    longest = int(size[0]) if len(size) else 0
+    live = np.searchsorted(-size, -np.arange(1, longest + 1), side="right")
     own = np.arange(scores.shape[1])
     for t in range(longest):
         n = live[t]
@@ -141,12 +141,22 @@ def decode(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: flo
         back[rows] = np.where(stay, own, best[:, None])
         state[:n] = np.where(stay, s, top[:, None]) + scores[rows]
         state[:n] -= state[:n].max(axis=1, keepdims=True)
+    return back, state, live
+
+
+def decode(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """Best language of each word of several texts at once, and the scores after the last word."""
+    order = np.argsort(-size, kind="stable")
+    begins = (np.cumsum(size) - size)[order]
+    rows_of = np.concatenate([np.arange(b, b + n) for b, n in zip(begins, size[order])]) if len(size) else np.zeros(0, np.int64)
+    back, state, live = forward(scores[rows_of], size[order], first[order], penalty)
+    starts = np.cumsum(size[order]) - size[order]
     label = np.zeros(len(scores), np.int64)
     now = state.argmax(axis=1)
-    for t in range(longest - 1, -1, -1):
+    for t in range(len(live) - 1, -1, -1):
         n = live[t]
-        rows = begins[:n] + t
-        label[rows] = now[:n]
+        rows = starts[:n] + t
+        label[rows_of[rows]] = now[:n]
         now[:n] = back[rows, now[:n]]
     last = np.empty_like(state)
     last[order] = state
@@ -154,53 +164,81 @@ def decode(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: flo
 
 
 def pieces(text: str, size: int):
-    """Parts of at most about ``size`` characters that end between words."""
+    """Parts of about ``size`` characters that end between words; a longer word is in one part."""
     start = 0
     while len(text) - start > size:
         end = start + size
         while end > start + 1 and text[end - 1].isalpha() and text[end].isalpha():
             end -= 1
-        if end == start + 1:  # one word longer than a piece
+        if end == start + 1:
             end = start + size
+            while end < len(text) and text[end].isalpha():
+                end += 1
         yield start, text[start:end]
         start = end
     yield start, text[start:]
 
 
+def lowered(text: str) -> str:
+    """Lower case of the same length; ``lower`` can change the number of characters, but places are taken in the text as it is."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+
+
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+
+def label_long(text: str, model: Model, kinds: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Label, place and size of each word of one text, scored piece by piece and traced back as a whole."""
+    state, parts = np.zeros((1, len(model.languages)), np.float32), []
+    for start, part in pieces(text, PIECE):
+        letters = letters_of(points(lowered(part)), kinds)
+        back, state, _ = forward(model.word_scores(letters), np.array([len(letters.word_at)]), state, penalty)
+        parts.append((back, letters.word_at + start, letters.word_size))
+    now, labels = int(state.argmax()), []
+    for back, _, _ in reversed(parts):
+        label = np.zeros(len(back), np.int64)
+        for t in range(len(back) - 1, -1, -1):
+            label[t] = now
+            now = int(back[t, now])
+        labels.append(label)
+    return np.concatenate(labels[::-1]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+
+
 def label_texts(texts: list[str], model: Model, kinds: np.ndarray, penalty: float, spans: bool):
     """Per text: letters of each language, and with ``spans`` the labelled ranges."""
     k = len(model.languages)
     counts = np.zeros((len(texts), k), np.int64)
     found: list[list] = [[] for _ in texts]
-    first = np.zeros((len(texts), k), np.float32)
-    queue = [(i, 0, part) for i, text in enumerate(texts) for part in [text] if len(text) <= PIECE]
+
+    def note(of: np.ndarray, label: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        """Words of the texts ``of``, at their places."""
+        np.add.at(counts, (of, label), size)
+        if spans and len(of):
+            cut = np.flatnonzero(np.diff(of, prepend=-1) | np.diff(label, prepend=-1))
+            end = np.append(cut[1:], len(of)) - 1
+            for c, e in zip(cut, end):
+                found[of[c]].append({"start": int(at[c]), "end": int(at[e] + size[e]), "lang": model.languages[label[c]]})
+
     groups, held = [], 0
-    for item in queue:
-        if not groups or held + len(item[2]) > PIECE:
+    for i, text in enumerate(texts):
+        if len(text) > PIECE:
+            label, at, size = label_long(text, model, kinds, penalty)
+            note(np.full(len(label), i), label, at, size)
+            continue
+        if not groups or held + len(text) > PIECE:
             groups.append([])
             held = 0
-        groups[-1].append(item)
-        held += len(item[2]) + 1
-    groups += [[(i, start, part)] for i, text in enumerate(texts) if len(text) > PIECE for start, part in pieces(text, PIECE)]
+        groups[-1].append(i)
+        held += len(text) + 1
     for group in groups:
-        # lower() can change the number of characters; places are taken in the text as it is
-        lowered = [p if len(p := part.lower()) == len(part) else "".join(c if len(c.lower()) != 1 else c.lower() for c in part) for _, _, part in group]
-        chars = np.frombuffer("\n".join(lowered).encode("utf-32-le", "replace"), np.uint32)
-        letters = letters_of(chars, kinds)
-        begins = np.cumsum([0] + [len(p) + 1 for p in lowered])
-        bounds = np.searchsorted(letters.word_at, begins)
-        size = np.diff(bounds)
-        rows = np.array([i for i, _, _ in group])
-        label, last = decode(model.word_scores(letters), size, first[rows], penalty)
-        first[rows] = last
-        of = np.repeat(rows, size)
-        np.add.at(counts, (of, label), letters.word_size)
-        if spans:
-            where = letters.word_at - np.repeat(begins[:-1], size) + np.repeat([s for _, s, _ in group], size)
-            cut = np.flatnonzero(np.diff(of, prepend=-1) | np.diff(label, prepend=-1))
-            end = np.append(cut[1:], len(of)) - 1
-            for c, e in zip(cut, end):
-                found[of[c]].append({"start": int(where[c]), "end": int(where[e] + letters.word_size[e]), "lang": model.languages[label[c]]})
+        parts = [lowered(texts[i]) for i in group]
+        letters = letters_of(points("\n".join(parts)), kinds)
+        begins = np.cumsum([0] + [len(p) + 1 for p in parts])
+        size = np.diff(np.searchsorted(letters.word_at, begins))
+        label, _ = decode(model.word_scores(letters), size, np.zeros((len(group), k), np.float32), penalty)
+        note(np.repeat(group, size), label, letters.word_at - np.repeat(begins[:-1], size), letters.word_size)
     return counts, found
 
 
@@ -252,9 +290,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text", penalty: float =
     """The columns of ``docs`` in ``keep``, ``lang_pred``, ``score``, and with ``spans`` an array of ``(start, end, lang)`` in code points."""
     text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.allowed))  # plain values: broadcasts are not pickled by value
-    flattened = flat(docs)
-    source = flattened.select(*[place(docs, c) for c in keep], F.col(place(docs, text)).cast("string").alias("text"))
-    kept = source.schema.fields[:-1]
+    places, own = [place(docs, c) for c in keep], place(docs, text)
+    sent_once = own in places and dict(flat(docs).dtypes)[own] == "string"  # the kept column is the text
+    source = flat(docs).select(*places, *([] if sent_once else [F.col(own).cast("string").alias("text")]))
+    text_at, kept = places.index(own) if sent_once else len(places), source.schema.fields[: len(places)]
 
     def run(batches):
         model, kinds = Model(*shared.value), letter_table()
@@ -262,7 +301,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", penalty: float =
         for whole in batches:
             for offset in range(0, whole.num_rows, 1000):
                 batch = whole.slice(offset, 1000)
-                texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+                texts = [t or "" for t in batch.column(text_at).to_pylist()]
                 if model.languages:
                     counts, found = label_texts(texts, model, kinds, penalty, spans)
                     total, best = counts.sum(axis=1), counts.argmax(axis=1)
@@ -270,16 +309,17 @@ def identify(docs: DataFrame, model: Model, text: str = "text", penalty: float =
                     score = np.where(total > 0, counts.max(axis=1) / np.maximum(total, 1), 0.0)
                 else:
                     name, score, found = [UNDETERMINED] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
-                columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(name, pa.string()), pa.array(score)]
+                columns = [batch.column(i) for i in range(len(kept))] + [pa.array(name, pa.string()), pa.array(score)]
                 names = [f.name for f in kept] + ["lang_pred", "score"]
                 if spans:
                     columns.append(pa.array(found, span_type))
                     names.append("spans")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["lang_pred string", "score double"])
-    fields += ", spans array<struct<start:bigint,end:bigint,lang:string>>" if spans else ""
-    return source.mapInArrow(run, fields).withColumnsRenamed({place(docs, c): c for c in keep})
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())])
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    added += [T.StructField("spans", T.ArrayType(span))] * spans
+    return source.mapInArrow(run, T.StructType([*kept, *added])).toDF(*keep, *[f.name for f in added])
 
 
 def remainder(key: str):

@@ -86,3 +86,24 @@ def test_edge_rows(spark):
 def test_without_labels_all_is_undetermined(spark):
     none = language.fit(spark.createDataFrame([], "text string, lang string"), "text", "lang")
     assert {r.lang_pred for r in language.identify(documents(spark, [(1, "some text")]), none).collect()} == {"und"}
+
+
+def test_labels_do_not_depend_on_pieces(spark, monkeypatch):
+    m, kinds = model(spark), language.letter_table()
+    rng = np.random.default_rng(5)
+    words = (ENGLISH + " " + RUSSIAN).split() + ["x" * 70, "İß", "-", "7"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 400))) for _ in range(12)] + ["y" * 500, "", " ".join(words)]
+    whole = language.label_texts(texts, m, kinds, 4.0, True)
+    for size in (1, 17, 100):
+        monkeypatch.setattr(language, "PIECE", size)
+        counts, spans = language.label_texts(texts, m, kinds, 4.0, True)
+        assert counts.tolist() == whole[0].tolist()
+        assert spans == whole[1]
+
+
+def test_columns_may_have_the_names_of_results(spark):
+    names = ["c2", "lang_pred", "score", "doc_id", "text", "spans", "c0"]
+    df = spark.createDataFrame([(7, "mine", 0.5, "d-1", ENGLISH, "s", 1)], names)
+    found = language.identify(df, model(spark), keep=tuple(names))
+    assert found.columns == names + ["lang_pred", "score"]
+    assert tuple(found.first())[:7] == (7, "mine", 0.5, "d-1", ENGLISH, "s", 1) and found.first()[7] == "en"
