@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.llm.common import Scratch, flat, place, query, table
 
@@ -62,10 +63,13 @@ def scaled(value: Column, low: float, high: float) -> Column:
 def units_of(scratch: Scratch, rows: DataFrame, metadata: list[str]) -> DataFrame:
     """Distinct texts with their weight and a place in every dimension, as 62-bit integers."""
     hashed = [F.min(F.pmod(F.xxhash64(F.col(m).cast("string")), F.lit(1 << VALUE_BITS))).cast("double").alias(m) for m in metadata]
+    key = F.col("key").cast("double")
+    if not isinstance(rows.schema["key"].dataType, T.NumericType):  # such keys have no distance but that of their hashes
+        key = F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(1 << VALUE_BITS)).cast("double")
     units = rows.groupBy("unit").agg(
         F.sum("size").alias("weight"),
         F.log2(F.max("size")).alias("v0"),
-        F.min(F.coalesce(F.col("key").cast("double"), F.lit(0.0))).alias("v1"),
+        F.min(F.coalesce(key, F.lit(0.0))).alias("v1"),
         *hashed,
     )
     units = scratch.store(units, "unit-values")

@@ -63,3 +63,11 @@ def test_edge_rows(spark):
 def test_query(spark):
     rows = sharding.op10_sharding(spark, "/root/testdata/sf0.001").collect()
     assert {r.shard for r in rows} == set(range(24)) and {r.grown_shard for r in rows} == {None}
+
+
+def test_keys_may_be_text(spark):
+    df = spark.createDataFrame([(f"d-{i}", f"words {i} " * (1 + i % 9), "s", "en") for i in range(200)] + [(None, "x", None, None)], "doc_id string, text string, source string, lang string")
+    found = sharding.shard(df, shards=5).collect()
+    assert len(found) == 201 and {r.shard for r in found} == set(range(5))
+    sizes = [sum(r["size"] for r in found if r.shard == s) for s in range(5)]
+    assert max(sizes) < 1.5 * min(sizes)
