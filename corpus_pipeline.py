@@ -18,7 +18,7 @@ if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
 from casebook.llm import decontaminate, exact_dedup, language, ngram_join, packing  # noqa: E402
-from casebook.llm.common import Entry, Scratch, table  # noqa: E402
+from casebook.llm.common import Entry, Scratch, flat, place, table  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,9 +30,10 @@ SIMILARITY = (80, 100)  # near copies share at least 80 of 100 shingles
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and those in which no language has a third of the letters."""
     model = language.fit(docs, "text", "lang")
-    found = language.identify(docs, model, keep=tuple(docs.columns))
+    own = flat(docs)  # columns of the documents may be called like those of the result
+    found = language.identify(own, model, text=place(docs, "text"), keep=tuple(own.columns))
     keep = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)
-    return found.where(keep).drop("lang_pred", "score")
+    return found.where(keep).select(*own.columns).toDF(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
