@@ -289,9 +289,11 @@ def slices(benchmark: DataFrame, item: str, text: str, window: int, slice_words:
     """The number of slices, and the items in lists of bounded size. Each list is fetched when it is asked for."""
     items = narrow(benchmark, item, text).toDF("item", "text").where("text is not null")
     items = items.select(F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
-    items = cut(items, window, slice_words)
+    items = cut(items.distinct(), window, slice_words)  # copies of an item are one
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-total // (4 * slice_words)))
+    if count > 1:  # every slice reads them
+        items = Scratch(benchmark.sparkSession, "decontaminate-items").store(items, "items")
     parts = (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == i) for i in range(count))
     return count, (sorted((r[0], r[1]) for r in part.collect()) for part in parts)
 

@@ -132,3 +132,11 @@ def test_long_items_are_cut_into_the_same_windows(spark):
     assert count > 10 and max(len(decontaminate.words_of(t)) for t in found) <= 20
     assert set().union(*(windows(decontaminate.words_of(t)) for t in found)) == windows(decontaminate.words_of(text))
     assert all(len(decontaminate.words_of(t)) >= 6 for t in found if t)
+
+
+def test_copies_of_an_item_are_fetched_once(spark):
+    items = spark.createDataFrame([(1, "one two three")] * 500 + [(2, "one two three"), (3, None)], "item_id long, text string")
+    count, parts = decontaminate.slices(items, "item_id", "text", 13, 1 << 20)
+    assert count == 1 and list(parts) == [[("1", "one two three"), ("2", "one two three")]]
+    found = decontaminate.find(documents(spark, [(1, "zero one two three four")]), items).first()
+    assert found["items"] == ["1", "2"]

@@ -58,3 +58,16 @@ def test_edge_rows_pass_all_stages(spark):
         left = left.collect()
     kept = ngram_join.deduplicate(docs).count()
     assert kept == 10 and left == []
+
+
+def test_columns_may_have_the_names_of_results(spark):
+    names = "score lang_pred spans items n_words n_hit contaminated c0 c1 c9 name key shard unit row_id".split()
+    rows = [(str(i), f"Document number {i} speaks of the weather and of the sea. " * 3, "en", "s", 0, *names) for i in range(6)]
+    docs = spark.createDataFrame([*rows, rows[0]], ["doc_id", "text", "lang", "source", "n_chars", *names])
+    left = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, SF)
+        assert left.columns == docs.columns
+        assert all(tuple(r)[5:] == tuple(names) for r in left.collect())
+    assert left.count() > 0
+    assert corpus_pipeline.packing_stage(spark, left, SF).count() > 0
