@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,13 +47,32 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+_scopes: list[list[Scratch]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Removes the tables of every ``Scratch`` made inside, at the end and on errors. What is to last must be stored by one made outside."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for scratch in _scopes.pop():
+            scratch.remove()
+
+
 class Scratch:
-    """Tables written to the shared folder, so that later steps neither compute nor number rows anew."""
+    """Tables written to the shared folder, so that later steps neither compute nor number rows anew.
+
+    They stay until ``remove`` is called, or the ``temporary`` block ends that they were made in.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         text_batches(spark)
         self.spark = spark
         self.base = shared_dir(spark, label)
+        if _scopes:
+            _scopes[-1].append(self)
         self._schemas: dict[str, object] = {}
 
     def path(self, name: str) -> str:
@@ -71,11 +91,16 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(self.path(name))
+
+    def remove(self) -> None:
+        """Deletes all tables, and the folder made for them."""
+        self._delete(self.base.rpartition("/")[0])
+
+    def _delete(self, place: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def flat(df: DataFrame) -> DataFrame:

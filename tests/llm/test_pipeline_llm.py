@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import os
+
+import pytest
+
 import corpus_pipeline
 import __spark_entry__ as spark_entry
-from casebook.llm import decontaminate, ngram_join, packing
+from casebook.llm import common, decontaminate, ngram_join, packing
 from tests.llm.frames import edge_documents
 from tests.llm.test_ngram_join import expected as near_groups
 
@@ -40,12 +44,25 @@ def test_stages_agree_with_brute_force(spark):
     assert {r.doc_id for r in corpus_pipeline.packing_stage(spark, fourth, SF).collect()} == clean
 
 
+def test_scratch_tables_go(spark, run_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(common, "shared_dir", lambda spark, label: made.append(f"{run_dir}/{len(made)}/{label}") or made[-1])
+    packed = corpus_pipeline.run(spark, SF)
+    assert len(made) == 3  # its own, and those of two stages
+    assert os.listdir(run_dir) == ["0"] and os.listdir(made[0]) == ["packing"]
+    assert packed.count() > 0
+    with pytest.raises(RuntimeError), common.temporary():
+        common.Scratch(spark, "lost").store(spark.range(3), "t")
+        raise RuntimeError
+    assert os.listdir(run_dir) == ["0"]
+
+
 def test_run_and_registration(spark):
     packed = corpus_pipeline.run(spark, SF)
     assert set(packing.pack(edge_documents(spark)).columns) == set(packed.columns)
     names = spark_entry.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 def test_edge_rows_pass_all_stages(spark):
