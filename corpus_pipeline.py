@@ -18,7 +18,7 @@ if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
 from casebook.llm import decontaminate, exact_dedup, language, ngram_join, packing  # noqa: E402
-from casebook.llm.common import Entry, Scratch, flat, place, table  # noqa: E402
+from casebook.llm.common import Entry, Scratch, flat, place, table, temporary  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,11 +64,14 @@ ORACLE_SQL = None  # language models, tokenizers and packing are beyond SQL; tes
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline over ``documents``; every stage is stored before the next one reads it."""
+    """The pipeline over ``documents``; every stage is stored before the next one reads it, and what it kept meanwhile goes."""
     scratch = Scratch(spark, "corpus-pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = scratch.store(stage(spark, docs, sf_dir), name)
+        with temporary():
+            docs = scratch.store(stage(spark, docs, sf_dir), name)
+        scratch.drop(*before)
+        before = [name]
     return docs
 
 
