@@ -119,13 +119,12 @@ class Model:
         return scores
 
 
-def forward(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def forward(scores: np.ndarray, size: np.ndarray, begins: np.ndarray, first: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each word and language the best language of the word before, the scores after the last words, and the live texts.
 
-    ``size`` has the words of each text, longest first, ``first`` the scores carried in. Step t
-    works on the texts that have a t-th word.
+    ``size`` has the words of each text, longest first, ``begins`` the row of its first word, ``first`` the scores
+    carried in. Step t works on the texts that have a t-th word.
     """
-    begins = np.cumsum(size) - size
     state = first.copy()
     back = np.zeros(scores.shape, np.int8 if scores.shape[1] < 128 else np.int32)
     longest = int(size[0]) if len(size) else 0
@@ -148,15 +147,13 @@ def decode(scores: np.ndarray, size: np.ndarray, first: np.ndarray, penalty: flo
     """Best language of each word of several texts at once, and the scores after the last word."""
     order = np.argsort(-size, kind="stable")
     begins = (np.cumsum(size) - size)[order]
-    rows_of = np.concatenate([np.arange(b, b + n) for b, n in zip(begins, size[order])]) if len(size) else np.zeros(0, np.int64)
-    back, state, live = forward(scores[rows_of], size[order], first[order], penalty)
-    starts = np.cumsum(size[order]) - size[order]
+    back, state, live = forward(scores, size[order], begins, first[order], penalty)
     label = np.zeros(len(scores), np.int64)
     now = state.argmax(axis=1)
     for t in range(len(live) - 1, -1, -1):
         n = live[t]
-        rows = starts[:n] + t
-        label[rows_of[rows]] = now[:n]
+        rows = begins[:n] + t
+        label[rows] = now[:n]
         now[:n] = back[rows, now[:n]]
     last = np.empty_like(state)
     last[order] = state
@@ -194,7 +191,7 @@ def label_long(text: str, model: Model, kinds: np.ndarray, penalty: float) -> tu
     state, parts = np.zeros((1, len(model.languages)), np.float32), []
     for start, part in pieces(text, PIECE):
         letters = letters_of(points(lowered(part)), kinds)
-        back, state, _ = forward(model.word_scores(letters), np.array([len(letters.word_at)]), state, penalty)
+        back, state, _ = forward(model.word_scores(letters), np.array([len(letters.word_at)]), np.zeros(1, np.int64), state, penalty)
         parts.append((back, letters.word_at + start, letters.word_size))
     now, labels = int(state.argmax()), []
     for back, _, _ in reversed(parts):
