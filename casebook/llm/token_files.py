@@ -161,6 +161,26 @@ def splits_at_spaces(tokenizer) -> bool:
     return bool(free and drops) and [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(" a\t\n b\r\x0b\x0cc ")] == ["a", "b", "c"]
 
 
+def of_plain_words(tokenizer):
+    """The same tokenizer for lower-case Latin letters and single spaces alone: these need no normalising and no pattern.
+
+    That holds where the description has only steps that leave such words as they are; else it is ``tokenizer`` itself.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    normal = json.loads(tokenizer.normalizer.__getstate__()) if tokenizer.normalizer else {}
+    steps = json.loads(tokenizer.pre_tokenizer.__getstate__())["pretokenizers"]
+    harmless = {n["type"] for n in normal.get("normalizers", [normal] if normal else [])} <= {"NFC", "Lowercase", "Replace"}
+    spaces = all(n.get("pattern") == {"Regex": "\\s+"} and n.get("content") == " " for n in normal.get("normalizers", []) if n["type"] == "Replace")
+    bytewise = [s["type"] for s in steps] == ["Split", "ByteLevel"] and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+    if not (harmless and spaces and bytewise):
+        return tokenizer
+    plain = Tokenizer(tokenizer.model)
+    parts = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    plain.pre_tokenizer = pre_tokenizers.Sequence(parts)
+    return plain
+
+
 class Encoder:
     """Ids of the documents of a batch of texts, ``end_id`` after each, as one array, and the count of each.
 
@@ -175,17 +195,18 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
         self.by_piece = splits_at_spaces(self.tokenizer)
+        self.plain = of_plain_words(self.tokenizer) if self.by_piece else self.tokenizer
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
 
-    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def whole(self, texts: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the count of each."""
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        ids, _ = self.whole([" ".join(words.to_pylist())])
+        ids, _ = self.whole([" ".join(words.to_pylist())], self.plain)
         ends = np.flatnonzero(self.is_end[ids]) + 1
         if len(ends) != len(words):
             raise AssertionError("words and word ends differ in number")

@@ -81,7 +81,7 @@ def test_encoder_gives_the_ids_of_the_tokenizer(tokenizer, encoder):
     texts += [None if (p := random.choices(parts, k=random.randrange(12)))[:1] == [None] else "".join(x or "" for x in p) for _ in range(6000)]
     ids, counts = encoder(pa.array(texts, pa.string()))
     ends = np.cumsum(counts)
-    assert encoder.by_piece
+    assert encoder.by_piece and encoder.plain is not encoder.tokenizer
     for text, end, n, found in zip(texts, ends, counts, tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)):
         assert ids[end - n : end].tolist() == found.ids + [token_files.END_ID], repr(text)
 
