@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 FEW_VALUES = 5_000  # a column of so few is counted as a set
 AT_ONCE = 100  # sketches of combined columns taken in one pass
+SLICES = 64  # repeated values are looked for in one of so many slices first
+SHOWN = 100  # hashes that repeat and are held against the values
 
 
 def _long(row: DataFrame, columns: Sequence[str], **fields: str) -> DataFrame:
@@ -125,8 +127,8 @@ def smallest_keys(df: DataFrame, columns: Sequence[str] | None = None, most: int
 
     Level by level: sets that hold a key found before are left out, and so are sets whose columns have too few values
     for the rows, whatever their combinations. What is left is sketched, many sets in one pass that moves a
-    sketch per set and task; only sets whose estimate is near the number of rows, six standard errors allowed for, are counted
-    exactly, from keys with counts combined before the shuffle. Columns with NULLs are no part of a key.
+    sketch per set and task; only sets whose estimate is near the number of rows, six standard errors allowed for, are
+    checked exactly (``_unique``). Columns with NULLs are no part of a key.
     """
     names = list(columns or df.columns)
     row = df.agg(
@@ -158,6 +160,22 @@ def _product(numbers) -> float:
 
 
 def _unique(df: DataFrame, columns: Sequence[str]) -> bool:
-    named = [_plain(df, c).alias(f"k{i}") for i, c in enumerate(columns)]
-    counted = df.select(*named).groupBy(*[f"k{i}" for i in range(len(named))]).count()
-    return counted.where("count > 1").isEmpty()
+    """Whether no values repeat, exactly.
+
+    Equal values have equal hashes. A repeated value in one slice of the hashes settles it, so most sets that are no key move a
+    small part of their rows. For the others all hashes are moved, and nothing else: if none repeats, no values do.
+    Hashes that repeat are held against their values; only if many do and all by chance, the values themselves are moved.
+    """
+    names = [f"k{i}" for i in range(len(columns))]
+    rows = df.select(*[_plain(df, c).alias(n) for c, n in zip(columns, names, strict=True)]).withColumn("hash", F.xxhash64(*names))
+    if _repeats(rows.where(F.pmod("hash", F.lit(SLICES)) == 0), names):
+        return False
+    hashes = rows.select("hash").repartition("hash").groupBy("hash").count().where("count > 1")
+    shown = [r.hash for r in hashes.select("hash").limit(SHOWN).collect()]
+    if shown and _repeats(rows.where(F.col("hash").isin(shown)), names):
+        return False
+    return len(shown) < SHOWN or not _repeats(rows, names)
+
+
+def _repeats(rows: DataFrame, names: Sequence[str]) -> bool:
+    return not rows.groupBy(*names).count().where("count > 1").isEmpty()

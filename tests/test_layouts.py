@@ -126,3 +126,27 @@ def test_smallest_keys(spark):
     assert profile.smallest_keys(df, ["p", "two", "m"]) == []
     assert profile.smallest_keys(df, ["g", "p", "m"], most=1) == []
     assert profile.smallest_keys(df.limit(0), ["g"]) == [("g",)]
+
+
+def test_uniqueness_moves_hashes_not_values(spark, monkeypatch):
+    rows = [(i, i // 2, i if i < 19_999 else 0) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id long, pairs long, once long")
+    looked, repeats = [], profile._repeats
+    monkeypatch.setattr(profile, "_repeats", lambda some, names: looked.append(some.count()) or repeats(some, names))
+    assert not profile._unique(df, ["pairs"])
+    assert len(looked) == 1 and looked[0] < 1_000  # a slice tells
+    looked.clear()
+    assert profile._unique(df, ["id"])
+    assert len(looked) == 1 and looked[0] < 1_000  # and of a key, no more values are moved
+    assert not profile._unique(df, ["once"])
+    assert max(looked) < 1_000
+
+
+def test_uniqueness_never_rests_on_hashes(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id AS a", "id DIV 2 AS b")
+    for few, hashed in ((100, F.lit(1).cast("long")), (2, F.pmod(F.col("k0"), F.lit(7)) * 64 + 1)):
+        monkeypatch.setattr(profile, "SHOWN", few)
+        monkeypatch.setattr(profile.F, "xxhash64", lambda *_, hashed=hashed: hashed)
+        assert profile._unique(df, ["a"])
+        assert not profile._unique(df, ["b"])
+        assert profile._unique(df, ["a", "b"])
