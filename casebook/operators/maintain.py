@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from casebook.operators import summary
 
+MOST_WORDS = 2_000_000  # words of 64 ids that are broadcast: some 32 MB
+
 
 def outcome_of(changes: DataFrame, base: DataFrame, key: str, newest: str, ignored: Sequence[str] = ()) -> DataFrame:
     """Per change ``key, outcome, old, new``: what it does to the base, with both versions as structs.
@@ -79,6 +81,26 @@ def in_range(df: DataFrame, key: str, low, high) -> DataFrame:
     return df.where(F.col(key).between(low, high)) if low is not None else df.limit(0)
 
 
+def id_words(ids: DataFrame, key: str) -> DataFrame:
+    """BIGINT ids as words of 64 bits: a row for each 64 neighbours of which some are there, and never more rows than ids."""
+    return ids.groupBy(F.shiftright(key, 6).alias("word")).agg(F.bit_or(_bit_of(key)).alias("bits"))
+
+
+def chosen(df: DataFrame, key: str, words: DataFrame, among: bool) -> DataFrame:
+    """The rows whose key is among the ids of ``words``, or those whose key is not. The words are broadcast: no row is shuffled.
+
+    A NULL key is not among them.
+    """
+    at = df.select("*", F.shiftright(key, 6).alias("__word"))
+    both = at.join(F.broadcast(words.select(F.col("word").alias("__word"), "bits")), "__word", "left")
+    held = F.coalesce(F.col("bits").bitwiseAND(_bit_of(key)) != 0, F.lit(False))
+    return both.where(held if among else ~held).select(*df.columns)
+
+
+def _bit_of(key: str) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(key).bitwiseAND(F.lit(63)).cast("int"))  # by a column
+
+
 def month_of(moment: Column) -> Column:
     """The part that a row belongs to: its month, or ``none``."""
     return F.coalesce(F.date_format(moment, "yyyy-MM"), F.lit("none"))

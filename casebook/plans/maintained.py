@@ -7,7 +7,8 @@ tables are written. What a failed refresh leaves behind is written over when it
 * ``keys`` tells the month of every id, so that the old versions of changed ids are found without scanning the detail.
   It is sorted by id, read for the range of changed ids only, and grows by one sorted part per refresh until
   ``KEY_PARTS`` of them are merged.
-* Detail and fact: rows of changed ids are replaced in the months that they leave and enter.
+* Detail and fact: rows of changed ids are replaced in the months that they leave and enter. Rows that stay are written
+  by the tasks that read them, and the fact is taken from the detail's new files, month by month: neither is shuffled.
 * Summaries: old versions are taken out of the counts, new ones put in; trailing averages are taken anew for the types
   that changed, and months whose averages changed by that are written as well.
 * ``column_sketches`` has a mergeable sketch of each profiled column and day, so that ``profile_of`` reads no detail; those
@@ -20,7 +21,7 @@ All results are those of a full rebuild from the same rows, but for members that
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ PROFILED = (
     "crime_category",
 )
 KEY_PARTS = 16
+ROWS_PER_FILE = 100_000
 LINEAGE = ("ingestion_timestamp", "source_file")
 AVERAGE = "seven_day_rolling_avg"
 KEY_GRAIN = ("date_key", "crime_type_key", *incidents.SUMMARY_GRAIN)
@@ -86,10 +88,10 @@ def create(spark: SparkSession, zones: pipeline.Zones) -> dict[str, int]:
     """The first version (or a rebuilt one), from the stored detail. Returns rows per table."""
     detail = read_table(spark, zones.detail)
     draft = tables(spark, zones).begin()
-    draft.replace_parts(DETAIL, _by_month(detail, "crime_date"))
+    draft.replace_parts(DETAIL, _by_month(detail, "crime_date"), laid_out=_fills_files(detail))
     placed = detail.select("id", maintain.month_of(F.col("crime_date")).alias("month"), F.lit(draft.version).alias("since"))
     draft.replace(KEYS, _by_id(placed))
-    draft.replace_parts(FACT, _by_month(incidents.incident_fact(detail), "crime_timestamp"))
+    draft.replace_parts(FACT, _fact(draft, draft.tables[DETAIL].parts), laid_out=True)
     for name, build in ((DAILY, incidents.daily_summary), (BY_KEY, incidents.daily_summary_by_key)):
         draft.replace_parts(name, _by_month(build(detail), "crime_date"))
     for name, dim in incidents.dimensions().items():
@@ -99,6 +101,18 @@ def create(spark: SparkSession, zones: pipeline.Zones) -> dict[str, int]:
     return draft.rows
 
 
+def _fills_files(detail: DataFrame) -> bool:
+    """Whether a task's rows of a month fill a file on the whole, so that months need not be gathered. Reads the dates alone."""
+    held = detail.select(F.spark_partition_id().alias("task"), maintain.month_of(F.col("crime_date")).alias("month"))
+    files, rows = held.groupBy("task", "month").count().agg(F.count(F.lit(1)), F.sum("count")).first()
+    return files > 0 and rows >= files * ROWS_PER_FILE
+
+
+def _fact(draft: Draft, months: Iterable[str]) -> DataFrame:
+    """The fact of some months, from the draft's detail: a projection of files that hold a month each."""
+    return _by_month(incidents.incident_fact(draft.read(DETAIL, months)), "crime_timestamp")
+
+
 def _sketches(detail: DataFrame) -> DataFrame:
     return _by_month(profile.column_sketches(detail, F.col("crime_date"), PROFILED), "day")
 
@@ -123,14 +137,29 @@ def _latest(keys: DataFrame) -> DataFrame:
     return keys.groupBy("id").agg(F.max_by("month", "since").alias("month"))
 
 
-def outcome(spark: SparkSession, held: VersionedTables, changes: DataFrame) -> DataFrame:
-    """What each of the changes, one row per id, does to the detail. Reads keys in their range, and the months that hold them."""
+def _words(spark: SparkSession, draft: Draft, name: str, ids: DataFrame) -> DataFrame | None:
+    """The ids as stored words, or None if they are too many to be broadcast."""
+    path = draft.path(name)
+    few = write_table(maintain.id_words(ids, "id"), path) <= maintain.MOST_WORDS
+    return read_table(spark, path) if few else None
+
+
+def outcome(spark: SparkSession, held: VersionedTables, changes: DataFrame, draft: Draft | None = None) -> DataFrame:
+    """What each of the changes, one row per id, does to the detail. Reads keys in their range, and the months that hold them.
+
+    With a draft, the known ids are kept beside it, and of the detail only rows with such ids are shuffled.
+    """
     low, high = changes.agg(F.min("id"), F.max("id")).first()
     ids = changes.select("id")
     known = _latest(maintain.in_range(held.read(KEYS), "id", low, high).join(ids, "id", "left_semi"))
+    if draft is not None:
+        path = draft.path("known")
+        write_table(known, path)
+        known = read_table(spark, path)
     months = _months(known, "month")
     base = maintain.in_range(held.read(DETAIL, months), "id", low, high)
-    old = base.join(ids, "id", "left_semi")
+    words = None if draft is None else _words(spark, draft, "known_words", known)
+    old = base.join(ids, "id", "left_semi") if words is None else maintain.chosen(base, "id", words, True)
     found = maintain.outcome_of(changes.select(*base.columns), old, "id", "updated_timestamp", LINEAGE)
     return found.withColumns(
         {"old_month": F.when(F.col("old").isNotNull(), maintain.month_of(F.col("old.crime_date"))), "new_month": maintain.month_of(F.col("new.crime_date"))}
@@ -142,7 +171,10 @@ def apply(spark: SparkSession, zones: pipeline.Zones, changes: DataFrame) -> dic
     held = tables(spark, zones)
     draft = held.begin()
     path = draft.path("outcome")
-    write_table(outcome(spark, held, changes), path)
+    all_ = outcome(spark, held, changes, draft)
+    # versions that change nothing are counted only
+    takes_part = F.col("outcome").isin("inserted", "updated")
+    write_table(all_.withColumns({c: F.when(takes_part, F.col(c)) for c in ("old", "new")}), path)
     found = read_table(spark, path)
     counts = {f"{r[0]}_changes": r[1] for r in found.groupBy("outcome").count().collect()}
     applied = found.where(F.col("outcome").isin("inserted", "updated"))
@@ -151,15 +183,9 @@ def apply(spark: SparkSession, zones: pipeline.Zones, changes: DataFrame) -> dic
         return {n: 0 for n in ("inserted_changes", "updated_changes")} | counts
     added = applied.select("new.*")
     removed = applied.where("old is not null").select("old.*")
-    ids = applied.select("id")
-
-    def replaced(name: str, fresh: DataFrame, moment: str) -> None:
-        kept = held.read(name, months).join(ids, "id", "left_anti")
-        draft.replace_parts(name, _by_month(kept.select(*fresh.columns).unionByName(fresh), moment), months)
-
-    replaced(DETAIL, added, "crime_date")
+    _replace_detail(spark, held, draft, added, removed.select("id"), months)
     draft.replace_parts(SKETCHES, _sketches(draft.read(DETAIL, months)), months)
-    replaced(FACT, incidents.incident_fact(added), "crime_timestamp")
+    draft.replace_parts(FACT, _fact(draft, months), months, laid_out=True)
     for name, (grain, kind) in SUMMARIES.items():
         _refresh_summary(spark, held, draft, name, added, removed, grain, kind)
     for name, dim in incidents.dimensions().items():
@@ -172,6 +198,18 @@ def apply(spark: SparkSession, zones: pipeline.Zones, changes: DataFrame) -> dic
     return {"inserted_changes": 0, "updated_changes": 0} | counts | draft.rows
 
 
+def _replace_detail(spark: SparkSession, held: VersionedTables, draft: Draft, added: DataFrame, gone: DataFrame, months: Sequence[str]) -> None:
+    stored, words = held.read(DETAIL, months), _words(spark, draft, "gone_words", gone)
+    if words is None:
+        kept = stored.join(gone, "id", "left_anti").select(*added.columns)
+        draft.replace_parts(DETAIL, _by_month(kept.unionByName(added), "crime_date"), months)
+        return
+    # what stays lies in files of a month each; only new rows are gathered
+    kept = maintain.chosen(stored, "id", words, False).select(*added.columns)
+    fresh = _by_month(added, "crime_date").hint("rebalance", PART)
+    draft.replace_parts(DETAIL, _by_month(kept, "crime_date").unionByName(fresh), months, laid_out=True)
+
+
 def _refresh_summary(
     spark: SparkSession, held: VersionedTables, draft: Draft, name: str, added: DataFrame, removed: DataFrame, grain: Sequence[str], kind: str
 ) -> None:

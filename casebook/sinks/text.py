@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from casebook.sources.landing import CSV_DIALECT
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """CSV with header in the dialect the landing scan reads, one file per partition."""
     df.write.mode("overwrite").csv(
         path,
+        compression=compression,
         header=True,
         quote=CSV_DIALECT["quote"],
         escape=CSV_DIALECT["escape"],

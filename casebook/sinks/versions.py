@@ -12,7 +12,8 @@ for each refresh), so a manifest is small whatever the data.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,18 @@ from pyspark.sql import types as T
 from casebook.sinks.tables import _write_counted
 
 PART = "part"
+PARTS_AT_ONCE = 16  # parts that a task writes without sorting its rows by part; beyond that it sorts
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _open_at_once(spark: SparkSession, files: int) -> Iterator[None]:
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, files)
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
 
 
 class Folder:
@@ -164,13 +177,18 @@ class Draft:
         self.rows[name] = rows
         return rows
 
-    def replace_parts(self, name: str, df: DataFrame, touched: Sequence[str] | None = None) -> int:
+    def replace_parts(self, name: str, df: DataFrame, touched: Sequence[str] | None = None, laid_out: bool = False) -> int:
         """Writes ``df``, laid out by its column ``part``, in place of the ``touched`` parts (all, if not given).
 
         A touched part without rows is gone in the new version; all other parts are shared with the old one.
-        Small parts are gathered in few files, and a part that holds much is split over tasks.
+        Small parts are gathered in few files, and a part that holds much is split over tasks. Rows that are ``laid_out``
+        already, few parts to a task, are written by the tasks that have them: nothing is shuffled.
         """
-        rows = _write_counted(df.hint("rebalance", PART), self.path(name), "overwrite", (PART,), partitionOverwriteMode="static")
+        if laid_out:
+            with _open_at_once(self.base.spark, PARTS_AT_ONCE):
+                rows = _write_counted(df, self.path(name), "overwrite", (PART,), partitionOverwriteMode="static")
+        else:
+            rows = _write_counted(df.hint("rebalance", PART), self.path(name), "overwrite", (PART,), partitionOverwriteMode="static")
         schema = T.StructType([f for f in df.schema.fields if f.name != PART])
         old = self.tables[name].parts if name in self.tables and touched is not None else {}
         parts = {p: f for p, f in old.items() if p not in set(touched or ())}

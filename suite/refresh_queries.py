@@ -79,12 +79,12 @@ def refresh_all(spark, sf_dir, root: str) -> list[dict[str, int]]:
     """Full load of the dirty rows, the store, and both batches; what each batch did."""
     zones = pipeline.Zones(root)
     run = quality.Run("load", "2026-01-01", "2026-01-01T00:00:00+00:00", "incidents")
-    pipeline.run_pipeline(spark, landed_rows(spark, selected(table(spark, sf_dir, "events"), base_columns("spark"))), zones, run, MIN_ROWS, MAX_ROWS, False, now())
+    pipeline.run_pipeline(spark, landed_rows(spark, selected(table(spark, sf_dir, "events"), base_columns("spark")), "gzip"), zones, run, MIN_ROWS, MAX_ROWS, False, now())
     maintained.create(spark, zones)
     done = []
     for batch in (1, 2):
         run = quality.Run(f"batch {batch}", "2026-01-01", "2026-01-01T00:00:00+00:00", "incidents")
-        landed = landed_rows(spark, batch_rows(spark, sf_dir, batch))
+        landed = landed_rows(spark, batch_rows(spark, sf_dir, batch), "gzip")
         done.append(maintained.refresh(spark, zones, landed, run, MIN_ROWS, MAX_ROWS, True, now()))
     return done
 

@@ -162,9 +162,9 @@ def rolling_avg_days_between(spark, sf_dir):
 RUN = quality.Run("manual_run", "2026-01-01", "2026-01-01T00:00:00+00:00", "incidents")
 
 
-def landed_rows(spark, rows) -> str:
+def landed_rows(spark, rows, compression: str = "none") -> str:
     path = shared_dir(spark, "landing")
-    write_csv(rows, path)
+    write_csv(rows, path, compression)
     return path
 
 

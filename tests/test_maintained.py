@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import merge, star
+from casebook.operators import maintain, merge, star
 from casebook.plans import incidents, maintained, pipeline
 from casebook.sinks import ConcurrentWriteError, Draft, VersionedTables, write_csv, write_table
 from casebook.sources import read_table
@@ -214,3 +214,52 @@ def test_several_versions_of_an_id_pass_the_gate(spark, run_dir):
     with pytest.raises(pipeline.QualityError) as stopped:
         maintained.refresh(spark, zones, run_dir + "/twice", run, now=now)
     assert stopped.value.failed == ["duplicate_id_group_count", "duplicate_record_count"]
+
+
+def test_words_choose_the_same_rows_as_joins(spark):
+    ids = [-(2**63), -65, -64, -1, 0, 1, 62, 63, 64, 127, 1_000_000_000, 2**63 - 1]
+    df = spark.createDataFrame([(i, str(i)) for i in [*ids, *ids[:3], 2, 65, None]], "id long, word string")
+    wanted = spark.createDataFrame([(i,) for i in [*ids[::2], ids[0], 3]], "id long")
+    words = maintain.id_words(wanted, "id")
+    assert words.count() == wanted.select(F.floor(F.col("id") / 64)).distinct().count()
+    for among, how in ((True, "left_semi"), (False, "left_anti")):
+        found = maintain.chosen(df, "id", words, among)
+        assert found.columns == df.columns
+        assert bag(found) == bag(df.join(wanted, "id", how))
+    assert "Exchange hashpartitioning" not in plan_of(maintain.chosen(df, "id", words.localCheckpoint(), False))
+
+
+@pytest.mark.parametrize("most", [0, maintain.MOST_WORDS])
+def test_rows_that_stay_are_not_shuffled(spark, run_dir, monkeypatch, most):
+    rng = random.Random(11)
+    zones, _ = created(spark, run_dir, [a_row(rng, i) for i in range(80)])
+    before = maintained.read(spark, zones, "detail").localCheckpoint()
+    changes = [a_row(rng, i, MONTHS[:2]) for i in rng.sample(range(120), 30)]
+    merged = merge.upsert_latest(before, cleaned(spark, changes), ["id"], "updated_timestamp").localCheckpoint()
+    plans, replace = {}, Draft.replace_parts
+
+    def spied(self, name, df, touched=None, **more):
+        plans[name] = plan_of(df) if more.get("laid_out") else "Exchange"
+        return replace(self, name, df, touched, **more)
+
+    monkeypatch.setattr(maintain, "MOST_WORDS", most)
+    monkeypatch.setattr(Draft, "replace_parts", spied)
+    applied(spark, zones, changes)
+    assert "Exchange" not in plans["fact_crime_incident"]
+    if most:
+        kept = plans["detail"].partition("Union")[2].partition("REBALANCE")[0] or plans["detail"]
+        assert "Exchange hashpartitioning" not in kept.partition("BroadcastExchange")[0]
+    else:
+        assert plans["detail"] == "Exchange"
+    assert bag(maintained.read(spark, zones, "detail")) == bag(merged)
+    assert bag(maintained.read(spark, zones, "fact_crime_incident")) == bag(incidents.incident_fact(merged))
+
+
+def test_detail_is_gathered_only_where_files_would_be_small(spark, run_dir, monkeypatch):
+    rng = random.Random(3)
+    write_table(cleaned(spark, [a_row(rng, i) for i in range(60)]), run_dir + "/detail")
+    detail = read_table(spark, run_dir + "/detail")
+    assert not maintained._fills_files(detail)
+    assert not maintained._fills_files(detail.limit(0))
+    monkeypatch.setattr(maintained, "ROWS_PER_FILE", 1)
+    assert maintained._fills_files(detail)
