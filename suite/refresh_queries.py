@@ -12,7 +12,7 @@ from suite.landing import ANY_TIME, BIGINT, CATEGORY, TIME_FORMATS, TYPED, detai
 from suite.quality_queries import MAX_ROWS, MIN_ROWS, OFFENDS_SQL, now
 from suite.registry import query, table
 from suite.report_queries import landed_rows
-from suite.star_queries import FACT_SQL, POINT_COLUMNS, TYPE_COLUMNS, built, dimension_sql
+from suite.star_queries import FACT_SQL, POINT_COLUMNS, TYPE_COLUMNS, dimension_sql
 
 NEW_ID = "CASE event_id % 5 WHEN 0 THEN CAST(event_id + 1000000000 AS STRING) ELSE CAST(event_id AS STRING) END"
 
@@ -90,16 +90,16 @@ def refresh_all(spark, sf_dir, root: str) -> list[dict[str, int]]:
 
 
 def refreshed(spark, sf_dir) -> pipeline.Zones:
-    """The store after both batches; built once per session, ``refresh_outcomes`` times it."""
-    return pipeline.Zones(built(spark, "refreshed", lambda at: refresh_all(spark, sf_dir, at), sf_dir))
+    """The store after both batches, built for each query: its figures do not depend on what ran before in the session."""
+    root = shared_dir(spark, "refreshed")
+    refresh_all(spark, sf_dir, root)
+    return pipeline.Zones(root)
 
 
 def swept(spark, sf_dir) -> pipeline.Zones:
-    def build(root):
-        refresh_all(spark, sf_dir, root)
-        maintained.sweep(spark, pipeline.Zones(root))
-
-    return pipeline.Zones(built(spark, "swept", build, sf_dir))
+    zones = refreshed(spark, sf_dir)
+    maintained.sweep(spark, zones)
+    return zones
 
 
 def outcome_sql(batch: int, before: str) -> str:

@@ -263,3 +263,13 @@ def test_detail_is_gathered_only_where_files_would_be_small(spark, run_dir, monk
     assert not maintained._fills_files(detail.limit(0))
     monkeypatch.setattr(maintained, "ROWS_PER_FILE", 1)
     assert maintained._fills_files(detail)
+
+
+def test_each_refresh_query_builds_its_store(spark, monkeypatch):
+    from suite import refresh_queries
+
+    built = []
+    monkeypatch.setattr(refresh_queries, "refresh_all", lambda spark, sf_dir, root: built.append(root))
+    for _ in range(2):
+        refresh_queries.refreshed(spark, "anywhere")
+    assert len(set(built)) == 2
